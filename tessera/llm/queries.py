@@ -11,6 +11,8 @@ from tessera.session import table
 
 #: Fixed value: the number of equal signature rows from which a compared pair counts as a match.
 VERIFY_MIN_AGREE = 21
+#: Fixed value: characters of a preview.
+PREVIEW_CHARS = 280
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -42,5 +44,63 @@ def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     return keep_fraction(table(spark, folder, "doc_scores"), table(spark, folder, "keep_targets"))[0]
 
 
+def _language_model(spark: SparkSession, folder: str) -> dict:
+    """Dictionaries from a bounded sample of the labelled documents and previews."""
+    from tessera.llm import language as L
+
+    names = L.code_names(table(spark, folder, "lang_codes"))
+    docs, drops = table(spark, folder, "documents"), table(spark, folder, "drops")
+    sample = L.training_sample(docs, L.label_code(F.col("lang"), names), "text", "doc_id")
+    return L.train(sample + L.training_sample(drops, L.label_code(F.col("language"), names), "preview", "drop_id"))
+
+
+def _language_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Segments of every document and preview, written once: ``tab, rec, shard_id, label, segments``."""
+    from tessera.llm import language as L
+    from tessera.session import materialize
+
+    names = L.code_names(table(spark, folder, "lang_codes"))
+    model = _language_model(spark, folder)
+    docs = table(spark, folder, "documents").select(F.lit("documents").alias("tab"), F.col("doc_id").cast("string").alias("rec"), "shard_id", L.label_code(F.col("lang"), names).alias("label"), "text")
+    drops = table(spark, folder, "drops").select(F.lit("drops").alias("tab"), F.col("drop_id").cast("string").alias("rec"), F.col("shard").alias("shard_id"), L.label_code(F.col("language"), names).alias("label"), "preview")
+    keep = ["tab", "rec", "shard_id", "label"]
+    return materialize(L.identify(docs, "text", "label", model, keep).unionByName(L.identify(drops, "preview", "label", model, keep, cut_at=PREVIEW_CHARS)), "languages")
+
+
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages that labels do not name."""
+    from tessera.llm import language as L
+
+    profile = _language_profile(spark, folder)
+    sure = F.expr("filter(segments, s -> s.lang is not null and (s.sentences > 0 or s.confidence >= 0.5 or label is null or label <> s.lang)).lang")
+    texts = profile.select("tab", "rec", "label", F.explode(F.array_distinct(sure)).alias("lang")).where("label is null or label <> lang").select("tab", "rec", "lang").distinct()
+    # a document's main language is the one with most characters; a shard's the one of most of its documents
+    size = "aggregate(filter(segments, s -> s.lang = l), 0L, (n, s) -> n + s.chars)"
+    main = F.expr(f"element_at(array_sort(transform(array_distinct(filter(segments.lang, l -> l is not null)), l -> struct(-{size} as n, l as lang))), 1).lang")
+    of_shard = profile.where("tab = 'documents'").select("shard_id", main.alias("lang")).where("lang is not null and shard_id is not null").groupBy("shard_id", "lang").count()
+    most = of_shard.groupBy("shard_id").agg(F.max(F.struct("count", "lang")).alias("m")).select("shard_id", F.col("m.lang").alias("lang"))
+    names = L.code_names(table(spark, folder, "lang_codes"))
+    labels = table(spark, folder, "registry_shards").select("shard_id", L.label_code(F.col("language"), names).alias("label")).groupBy("shard_id").agg(F.collect_set("label").alias("labels"))
+    shards = most.join(F.broadcast(labels), "shard_id").where("not array_contains(labels, lang)")
+    return texts.unionByName(shards.select(F.lit("registry_shards").alias("tab"), F.col("shard_id").alias("rec"), "lang"))
+
+
+def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Every segment of every document and preview with its language and confidence, in order."""
+    return _language_profile(spark, folder).select("tab", "rec", "label", F.posexplode("segments").alias("segment", "s")).select("tab", "rec", "label", "segment", F.col("s.lang").alias("lang"), F.round("s.confidence", 4).alias("confidence"), F.col("s.chars").alias("chars"))
+
+
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents any part of which was wrongly decoded."""
+    return p9_restored(spark, folder).select("doc_id")
+
+
+def p9_restored(spark: SparkSession, folder: str) -> DataFrame:
+    """The restored text of every such document, with the spans replaced and the characters lost."""
+    from tessera.llm.encodings import restore_garbled
+
+    return restore_garbled(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in sorted(globals().items()) if k[0] == "p" and k[1:2].isdigit()}
