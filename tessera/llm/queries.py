@@ -76,7 +76,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     texts = profile.select("tab", "rec", "label", F.explode(F.array_distinct(sure)).alias("lang")).where("label is null or label <> lang").select("tab", "rec", "lang").distinct()
     # a document's main language is the one with most characters; a shard's the one of most of its documents
     size = "aggregate(filter(segments, s -> s.lang = l), 0L, (n, s) -> n + s.chars)"
-    main = F.expr(f"element_at(array_sort(transform(array_distinct(filter(segments.lang, l -> l is not null)), l -> struct(-{size} as n, l as lang))), 1).lang")
+    main = F.expr(f"try_element_at(array_sort(transform(array_distinct(filter(segments.lang, l -> l is not null)), l -> struct(-{size} as n, l as lang))), 1).lang")
     of_shard = profile.where("tab = 'documents'").select("shard_id", main.alias("lang")).where("lang is not null and shard_id is not null").groupBy("shard_id", "lang").count()
     most = of_shard.groupBy("shard_id").agg(F.max(F.struct("count", "lang")).alias("m")).select("shard_id", F.col("m.lang").alias("lang"))
     names = L.code_names(table(spark, folder, "lang_codes"))
@@ -90,6 +90,22 @@ def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
     return _language_profile(spark, folder).select("tab", "rec", "label", F.posexplode("segments").alias("segment", "s")).select("tab", "rec", "label", "segment", F.col("s.lang").alias("lang"), F.round("s.confidence", 4).alias("confidence"), F.col("s.chars").alias("chars"))
 
 
+def _leaks(spark: SparkSession, folder: str) -> DataFrame:
+    from tessera.llm.leaks import leaks
+
+    return leaks(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_set"), "id", "text")
+
+
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of which at least eight consecutive words occur in a document."""
+    return _leaks(spark, folder).where("kind = 'run'").select("doc_id", "eval_id")
+
+
+def p8_paraphrases(spark: SparkSession, folder: str) -> DataFrame:
+    """Items of which a sentence recurs in a document, word for word or with gaps and changes."""
+    return _leaks(spark, folder).where("kind = 'paraphrase'").select("doc_id", "eval_id", "words", F.round("cosine", 4).alias("cosine"))
+
+
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     """Documents any part of which was wrongly decoded."""
     return p9_restored(spark, folder).select("doc_id")
