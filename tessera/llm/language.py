@@ -11,6 +11,7 @@ import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
@@ -22,6 +23,8 @@ from tessera.llm.encodings import restore
 TEXTS_PER_LABEL, SENTENCES_PER_TEXT = 320, 24
 #: Bytes of a dictionary and zstandard's level.
 DICTIONARY_BYTES, LEVEL = 32_000, -3
+#: Bytes compressed at once where a whole text is classified, few enough that the dictionary still tells.
+BLOCK_BYTES = 4096
 #: A sentence has this many words and letters at least.
 SENTENCE_WORDS, SENTENCE_LETTERS = 4, 12
 #: The share of itself by which the second smallest size is larger than the smallest: below MARGIN it is narrow, and a sentence
@@ -206,6 +209,27 @@ class Classifier:
         margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
         return sizes[0][1], min(1.0, margin / (2 * MARGIN))
 
+    def main(self, text: str | None) -> str | None:
+        """The language most of a whole text is written in: of the languages of its commonest script, the one whose
+        dictionary makes the text, block by block, smallest. Null for null, empty and unknown scripts."""
+        if not text:
+            return None
+        data = np.frombuffer(restore(text)[0].lower().encode(), np.uint8)
+        first = np.bincount(data, minlength=256)
+        second = np.bincount(data[1:][data[:-1] == 0xE0], minlength=256)
+        sizes = {"latn": int(first[97:123].sum()), "arab": int(first[0xD8:0xDC].sum()), "cyrl": int(first[0xD0:0xD4].sum())}
+        for i, name in enumerate(("deva", "beng", "guru", "gujr", "orya", "taml", "telu", "knda", "mlym")):
+            sizes[name] = int(second[0xA4 + 2 * i : 0xA6 + 2 * i].sum())
+        sc = max(sizes, key=sizes.get)
+        langs = self.by.get(sc) if sizes[sc] else None
+        if not langs:
+            return None
+        if len(langs) == 1:
+            return langs[0][0]
+        raw = data.tobytes()
+        blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
+        return min((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in langs)[1]
+
     def segments(self, text: str | None, label: str | None = None, cut_at: int | None = None) -> list[tuple[str | None, float, int, int]]:
         """``(language, confidence, characters, whole sentences)`` of the segments of a text, in order.
 

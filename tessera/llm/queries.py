@@ -15,6 +15,40 @@ VERIFY_MIN_AGREE = 21
 PREVIEW_CHARS = 280
 
 
+def p1_budget(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens by registered source, true language and domain, with the bytes of the full passes beside them."""
+    from tessera.llm import language as L
+    from tessera.llm import tokens as K
+
+    names = L.code_names(table(spark, folder, "lang_codes"))
+    registry = K.registered_sources(table(spark, folder, "registry_shards"))
+    counted = p1_doc_tokens(spark, folder).join(F.broadcast(registry), "shard_id", "left")
+    cube = K.budget(counted, ["source", "language", "domain"])
+    passes = K.latest_full_pass(table(spark, folder, "shard_stats"), registry, lambda c: L.label_code(c, names))
+    # full passes are not known by domain, so they stand beside the totals over domains
+    joined = cube.alias("c").join(F.broadcast(passes).alias("p"), F.expr("c.source <=> p.source and c.language <=> p.language and c.level = p.stats_level * 2 + 1"), "left")
+    ratio = F.col("c.doc_bytes") / F.nullif(F.col("c.tokens"), F.lit(0))
+    return joined.select("c.source", "c.language", "c.domain", "c.level", "c.docs", "c.doc_bytes", "c.tokens", F.round(ratio, 4).alias("bytes_per_token"), "p.full_pass_bytes", F.floor(F.col("p.full_pass_bytes") / ratio).alias("full_pass_tokens"))
+
+
+def p1_doc_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens, bytes, main language and domain of every document."""
+    from tessera.functions.domain import classify
+    from tessera.llm import language as L
+    from tessera.llm import tokens as K
+
+    names = L.code_names(table(spark, folder, "lang_codes"))
+    docs = table(spark, folder, "documents")
+    label = L.label_code(F.col("lang"), names)
+    model = L.train(L.training_sample(docs, label, "text", "doc_id"))
+    # the language decides only between the last two domains
+    tagged = docs.withColumn("domain", F.coalesce(F.nullif(F.trim("domain_tag"), F.lit("")), classify(F.col("text"), F.lit(None).cast("string"))))
+    tagged = tagged.withColumn("untagged", F.coalesce(F.trim("domain_tag"), F.lit("")) == "")
+    counted = K.token_counts(tagged, "text", ["doc_id", "shard_id", "domain", "untagged"], model=model)
+    domain = F.when(F.col("untagged") & (F.col("domain") == "general") & (F.col("language") != "eng"), "indic").otherwise(F.col("domain"))
+    return counted.select("doc_id", "shard_id", "language", domain.alias("domain"), "n_tokens", "n_bytes")
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """Group of every linked document hash."""
     from tessera.llm.components import connected_components
@@ -90,6 +124,22 @@ def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
     return _language_profile(spark, folder).select("tab", "rec", "label", F.posexplode("segments").alias("segment", "s")).select("tab", "rec", "label", "segment", F.col("s.lang").alias("lang"), F.round("s.confidence", 4).alias("confidence"), F.col("s.chars").alias("chars"))
 
 
+def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
+    """Container, tier and training step of every document for every capacity."""
+    from tessera.llm.packing import pack
+    from tessera.llm.tokens import token_counts
+
+    return pack(token_counts(table(spark, folder, "documents"), "text", ["doc_id"]), "doc_id", "n_tokens", table(spark, folder, "pack_sizes"))
+
+
+def p7_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Containers, tokens and unused space of each capacity."""
+    placed = p7_packed(spark, folder)
+    by = placed.groupBy("pack_id").agg(F.countDistinct("container").alias("containers"), F.sum("n_tokens").alias("tokens"), F.count("*").alias("pieces"), F.countDistinct("doc_id").alias("docs"))
+    sizes = table(spark, folder, "pack_sizes").groupBy("pack_id").agg(F.max("capacity_tokens").cast("long").alias("capacity_tokens"))
+    return by.join(F.broadcast(sizes), "pack_id").withColumn("unused_share", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6))
+
+
 def _leaks(spark: SparkSession, folder: str) -> DataFrame:
     from tessera.llm.leaks import leaks
 
