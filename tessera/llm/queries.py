@@ -64,6 +64,24 @@ def p2_sweep(spark: SparkSession, folder: str) -> DataFrame:
     return sizes.agg(F.count("*").alias("clusters"), F.coalesce(F.sum("n"), F.lit(0)).alias("hashes_in_clusters"), F.coalesce(F.max("n"), F.lit(0)).alias("largest_cluster"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("dropped_unique_hashes"))
 
 
+def _personal(spark: SparkSession, folder: str) -> DataFrame:
+    from tessera.llm.pii import detect
+
+    drops = table(spark, folder, "drops").select(F.lit("drops").alias("tab"), F.col("drop_id").cast("string").alias("rec"), F.col("preview").alias("text"))
+    items = table(spark, folder, "eval_set").select(F.lit("eval_set").alias("tab"), F.col("id").alias("rec"), "text")
+    return detect(drops.unionByName(items), "text", ["tab", "rec"])
+
+
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Kinds of personal information in each preview and evaluation item."""
+    return _personal(spark, folder).select("tab", "rec", F.explode(F.array_distinct("spans.kind")).alias("kind")).distinct()
+
+
+def p3_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Every text that holds personal information, with typed placeholders in its place."""
+    return _personal(spark, folder).where("size(spans) > 0").select("tab", "rec", "redacted", F.size("spans").alias("n_spans")).distinct()
+
+
 def p4_found(spark: SparkSession, folder: str) -> DataFrame:
     """Records above their shard's cutoff."""
     from tessera.llm.cutoffs import keep_fraction
