@@ -33,7 +33,6 @@ def p1_budget(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_doc_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens, bytes, main language and domain of every document."""
-    from tessera.functions.domain import classify
     from tessera.llm import language as L
     from tessera.llm import tokens as K
 
@@ -41,12 +40,7 @@ def p1_doc_tokens(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     label = L.label_code(F.col("lang"), names)
     model = L.train(L.training_sample(docs, label, "text", "doc_id"))
-    # the language decides only between the last two domains
-    tagged = docs.withColumn("domain", F.coalesce(F.nullif(F.trim("domain_tag"), F.lit("")), classify(F.col("text"), F.lit(None).cast("string"))))
-    tagged = tagged.withColumn("untagged", F.coalesce(F.trim("domain_tag"), F.lit("")) == "")
-    counted = K.token_counts(tagged, "text", ["doc_id", "shard_id", "domain", "untagged"], model=model)
-    domain = F.when(F.col("untagged") & (F.col("domain") == "general") & (F.col("language") != "eng"), "indic").otherwise(F.col("domain"))
-    return counted.select("doc_id", "shard_id", "language", domain.alias("domain"), "n_tokens", "n_bytes")
+    return K.token_counts(docs, "text", ["doc_id", "shard_id", "domain_tag"], model=model, tag="domain_tag").select("doc_id", "shard_id", "language", "domain", "n_tokens", "n_bytes")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
