@@ -90,6 +90,33 @@ def p4_report(spark: SparkSession, folder: str) -> DataFrame:
     return keep_fraction(table(spark, folder, "doc_scores"), table(spark, folder, "keep_targets"))[0]
 
 
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Drops whose preview is abusive, hateful or sexually explicit."""
+    from tessera.llm.abuse import CASE
+
+    return p5_scores(spark, folder).where(F.col("score") >= CASE).select("drop_id").distinct()
+
+
+def p5_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Score and evidence of every row of the drops log."""
+    from tessera.llm import abuse as A
+
+    drops = table(spark, folder, "drops")
+    sample = A.labelled_sample(drops, "drop_id", "preview", table(spark, folder, "labels"), "toxic")
+    return A.scores(drops, "preview", ["drop_id", "shard"], sample)
+
+
+def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
+    """Share of abusive previews by source and shard, with totals; a drop logged twice counts once."""
+    from tessera.llm.abuse import CASE
+    from tessera.llm.tokens import registered_sources
+
+    sources = registered_sources(table(spark, folder, "registry_shards"))
+    once = p5_scores(spark, folder).groupBy("drop_id", "shard").agg(F.max("score").alias("score"))
+    named = once.join(F.broadcast(sources.withColumnRenamed("shard_id", "shard")), "shard", "left")
+    return named.rollup("source", "shard").agg(F.count("*").alias("drops"), F.sum((F.col("score") >= CASE).cast("long")).alias("abusive"), F.round(F.avg((F.col("score") >= CASE).cast("double")), 6).alias("rate"), F.grouping_id().cast("long").alias("level"))
+
+
 def _language_model(spark: SparkSession, folder: str) -> dict:
     """Dictionaries from a bounded sample of the labelled documents and previews."""
     from tessera.llm import language as L
