@@ -82,5 +82,4 @@ def folded(text: Column) -> Column:
 
 def words_of(folded_text: Column) -> Column:
     """Words of a folded text, inside the JVM. Explicit classes, since shorthand classes differ between engines."""
-    found = F.regexp_extract_all(folded_text, F.lit(r"([\p{L}\p{N}_\p{M}]+)"), F.lit(1))
-    return F.filter(found, lambda w: w.rlike(r"[\p{L}\p{N}_]"))
+    return F.regexp_extract_all(folded_text, F.lit(r"(\p{M}*[\p{L}\p{N}_][\p{L}\p{N}_\p{M}]*)"), F.lit(1))
