@@ -70,6 +70,11 @@ def runs(text: str) -> list[str]:
     return _patterns()[2].findall(fold(text))
 
 
+def plain_runs(folded: str) -> list[str]:
+    """The same of a text that is folded already."""
+    return _patterns()[2].findall(folded)
+
+
 @F.pandas_udf(T.StringType())
 def _fold_udf(texts):
     return texts.map(lambda t: None if t is None else fold(t))
