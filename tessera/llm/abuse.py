@@ -18,54 +18,58 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.words import fold, runs
+from tessera.functions.words import fold, plain_runs
 from tessera.llm.language import sentences
+from tessera.session import materialize
 
 #: Labelled texts of each class that examples are taken from; example sentences of each class in the index.
 LABELLED_PER_CLASS, EXAMPLES_PER_CLASS = 8000, 6000
 #: Neighbours that vote, examples in a block, and the least cosine that counts as near.
 NEIGHBOURS, BLOCK, LEAST_COSINE = 9, 64, 0.12
-#: Texts scored at once, which bounds the memory of a worker.
-SLICE = 256
+#: Sentences looked up at once, which bounds the memory of a worker.
+SLICE = 1024
 #: Calibrated score from which a text counts as a case.
 CASE = 0.5
 
 # Characters that stand for Latin letters in disguised spellings.
 _LEET = str.maketrans("013457@$!|", "oieastasii")
 _LIKE = str.maketrans("аеорсухіѕјԁһ", "aeopcyxisjdh")
-_SINGLE = re.compile(r"(?<![^\W_])(?:[^\W\d_][\W_]{1,2}){2,}[^\W\d_](?![^\W_])")
+_SINGLE = re.compile(r"(?<![^\W_])(?:[a-z][ .\-*_]{1,2}){2,}[a-z](?![^\W_])")
 _INNER = re.compile(r"(?<=[^\s.])[.\-_·•](?=[^\s.])")
 _REPEAT = re.compile(r"(.)\1{2,}")
 _HIDDEN = re.compile(r"(?<=\w)\*+(?=\w)|(?<=\w)\*+")
+_LEETHINT = re.compile(r"[a-z][013457@$!|][a-z]|[a-z][013457@$|]|[013457@$!|][a-z]")
 _LEETWORD = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[013457@$!|])[a-z013457@$!|]{3,}(?=[^\w]*(?:\s|$))")
+_ALIKE = re.compile("[аеорсухіѕјԁһ]")
 
 
 def plain(s: str) -> str:
-    """The sentence with disguises removed: look-alike characters, letters set apart, stretched letters, invisible signs."""
+    """A text with disguises removed: look-alike characters, letters set apart, stretched letters, invisible signs."""
     s = fold(s)
-    if not s.isascii() and any(c in s for c in "аеорсухіѕјԁһ"):
+    if not s.isascii() and _ALIKE.search(s):
         s = s.translate(_LIKE)
     s = _INNER.sub("", s)
     s = _SINGLE.sub(lambda m: re.sub(r"[\W_]+", "", m.group()), s)
-    s = _LEETWORD.sub(lambda m: m.group().translate(_LEET), s)
+    if _LEETHINT.search(s):
+        s = _LEETWORD.sub(lambda m: m.group().translate(_LEET), s)
     s = _REPEAT.sub(r"\1", s)
-    return _HIDDEN.sub("*", s)
+    return _HIDDEN.sub("*", s) if "*" in s else s
 
 
-def features(s: str) -> list[str]:
-    """Words and pairs of words of the undisguised sentence; numbers are all alike, and a word with hidden letters is one kind."""
-    words = []
-    for part in plain(s).split():
-        if "*" in part and any(c.isalpha() for c in part):
-            words.append("\x01")
-        else:
-            words += ["0" if w.isdigit() else w for w in runs(part)]
-    return words + [f"{a} {b}" for a, b in zip(words, words[1:])]
+def parts(text: str | None) -> list[str]:
+    """Sentences of a text without disguises. Line ends within the text are blanks here, since disguised text is broken anywhere."""
+    return [s for s in sentences(plain(text.replace("\r", " ").replace("\n", " "))) if s.strip()] if text else []
 
 
-def parts(text: str | None) -> list[str]:
-    """Sentences of a text. Line ends within the text are blanks here, since disguised text is broken anywhere."""
-    return [s for s in sentences(text.replace("\r", " ").replace("\n", " ")) if s.strip()] if text else []
+def features(sentence: str) -> list[str]:
+    """Words and pairs of words of a plain sentence; numbers are all alike, and a word with hidden letters is one kind."""
+    if "*" in sentence:
+        words = []
+        for part in sentence.split():
+            words += ["\x01"] if "*" in part and any(c.isalpha() for c in part) else ["0" if w.isdigit() else w for w in plain_runs(part)]
+    else:
+        words = ["0" if w.isdigit() else w for w in plain_runs(sentence)]
+    return words + list(map(" ".join, zip(words, words[1:])))
 
 
 class BlockMaxIndex:
@@ -182,54 +186,69 @@ class Scorer:
         self.examples = [examples[i] for i in order]
         self.label = np.array([examples[i][1] for i in order] + [0], np.float32)
         self.index = BlockMaxIndex([rows[i] for i in order], len(self.vocab))
+        blocks = [b for b in range(self.index.maxima.shape[1]) if self.label[b * BLOCK : min((b + 1) * BLOCK, len(rows))].any()]
+        self.abusive_most = self.index.maxima[:, blocks].max(axis=1) if blocks else np.zeros(len(self.vocab), np.float32)
         self.bins = None
 
-    def _queries(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        terms, weights, starts, owner = [], [], [], []
-        for i, sents in enumerate(texts):
-            for s in sents:
-                c = Counter(features(s))
-                known, norm = [], 0.0
-                for f, k in c.items():
-                    t = self.vocab.get(f)
-                    w = (1 + np.log(k) if k > 1 else 1.0) * (self.unknown if t is None else self.idf[t])
-                    norm += w * w
-                    if t is not None:
-                        known.append((t, w))
-                if known:
-                    starts.append(len(terms))
-                    root = norm**0.5
-                    terms += [t for t, _ in known]
-                    weights += [w / root for _, w in known]
-                    owner.append(i)
-        return np.array(terms, np.int64), np.array(weights, np.float32), np.array(starts, np.int64), np.array(owner, np.int64)
-
-    def raw(self, texts: list[list[str]], without_self: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Vote, nearest abusive example and its cosine of each text: those of its most abusive sentence."""
-        score, near, cos = np.zeros(len(texts)), np.full(len(texts), -1), np.zeros(len(texts))
-        if len(texts) > SLICE:
-            cut = [self.raw(texts[i : i + SLICE], without_self) for i in range(0, len(texts), SLICE)]
-            return tuple(np.concatenate(x) for x in zip(*cut, strict=True))
-        terms, weights, starts, owner = self._queries(texts)
-        if len(starts):
-            ids, sims = self.index.search(terms, weights, starts, NEIGHBOURS + without_self)
+    def encode(self, sents: list[str]) -> tuple[list[int], list[float], list[int], list[float]]:
+        """Known features of a text's sentences, their term frequency weights, how many each sentence has, and the sum of
+        squares of the weights of its unknown features."""
+        return encode(self.vocab, sents)
+
+    def raw(self, ids: np.ndarray, tfs: np.ndarray, lens: np.ndarray, unknown: np.ndarray, without_self: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Vote of each sentence, its nearest abusive example and the cosine; sentences are consecutive runs of ``lens`` features.
+
+        A sentence whose bound over the blocks of abusive examples is below LEAST_COSINE has no abusive example near, so
+        its vote is 0 and it is not looked up among the others.
+        """
+        n = len(lens)
+        vote, near, cos = np.zeros(n), np.full(n, -1), np.zeros(n)
+        starts = np.concatenate([[0], np.cumsum(lens)[:-1]]).astype(np.int64)
+        w = tfs * self.idf[ids]
+        square = np.bincount(np.repeat(np.arange(n), lens), w * w, n) if len(ids) else np.zeros(n)
+        norm = np.sqrt(square + unknown * self.unknown**2)
+        w = (w / np.repeat(np.maximum(norm, 1e-9), lens)).astype(np.float32)
+        have = np.nonzero(lens > 0)[0]
+        bound = np.zeros(n)
+        if len(have):
+            bound[have] = np.add.reduceat(w * self.abusive_most[ids], starts[have])
+        for at in range(0, n, SLICE):
+            pick = np.nonzero(bound[at : at + SLICE] >= LEAST_COSINE)[0] + at
+            if not len(pick):
+                continue
+            sizes = lens[pick]
+            new = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+            take = np.repeat(starts[pick] - new, sizes) + np.arange(sizes.sum())
+            found, sims = self.index.search(ids[take], w[take], new, NEIGHBOURS + without_self)
             if without_self:  # an example is its own nearest
-                ids, sims = ids[:, 1:], sims[:, 1:]
-            w = np.where(sims >= LEAST_COSINE, sims, 0) ** 2
-            y = self.label[ids]
-            vote = (w * y).sum(axis=1) / (w.sum(axis=1) + 0.01)
+                found, sims = found[:, 1:], sims[:, 1:]
+            weight = np.where(sims >= LEAST_COSINE, sims, 0) ** 2
+            y = self.label[found]
+            vote[pick] = (weight * y).sum(axis=1) / (weight.sum(axis=1) + 0.01)
             first = np.where(y > 0, sims, -1).argmax(axis=1)
-            for i, o in enumerate(owner.tolist()):
-                if vote[i] > score[o]:
-                    score[o] = vote[i]
-                    near[o] = ids[i, first[i]] if y[i, first[i]] > 0 else -1
-                    cos[o] = sims[i, first[i]] if y[i, first[i]] > 0 else 0
-        return score, near, cos
+            rows = np.arange(len(pick))
+            hit = y[rows, first] > 0
+            near[pick] = np.where(hit, found[rows, first], -1)
+            cos[pick] = np.where(hit, sims[rows, first], 0)
+        return vote, near, cos
+
+    def of_texts(self, counts: np.ndarray, *sentences_: np.ndarray, without_self: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of each text: its most abusive sentence's. ``counts`` are the texts' numbers of sentences."""
+        vote, near, cos = self.raw(*sentences_, without_self=without_self)
+        n = len(counts)
+        score, best = np.zeros(n), np.full(n, -1)
+        owner = np.repeat(np.arange(n), counts)
+        order = np.lexsort((-np.arange(len(vote)), vote, owner))  # the last of each owner is its highest, the earlier of equals
+        last = np.nonzero(np.append(owner[order][1:] != owner[order][:-1], True))[0] if len(order) else order
+        best[owner[order][last]] = order[last]
+        ok = best >= 0
+        score[ok] = vote[best[ok]]
+        return score, np.where(ok & (score > 0), near[best], -1) if len(near) else best, np.where(ok & (score > 0), cos[best], 0) if len(cos) else score
 
     def calibrate(self, labelled: list[tuple[str, int]]) -> None:
         """Monotone map from votes to the share of labelled texts with such votes that are abusive (pooled adjacent violators).
         A text's own sentences may be among the examples, so each sentence's nearest example is left out."""
-        score, _, _ = self.raw([parts(t) for t, _ in labelled], without_self=True)
+        score, _, _ = self.of_texts(*pack([encode(self.vocab, parts(t)) for t, _ in labelled]), without_self=True)
         pools: list[list[float]] = []
         for s, y in sorted(zip(score.tolist(), [y for _, y in labelled], strict=True)):
             pools.append([s, float(y), 1.0])
@@ -240,13 +259,50 @@ class Scorer:
                 pools[-1][0] = s1
         self.bins = (np.array([p[0] for p in pools]), np.array([p[1] / p[2] for p in pools]))
 
-    def score(self, texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        raw, near, cos = self.raw(texts)
+    def score(self, *packed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        raw, near, cos = self.of_texts(*packed)
         if self.bins is not None and len(self.bins[0]):
             raw = np.where(raw > 0, np.interp(raw, *self.bins), 0.0)
         return raw, near, cos
 
 
+def encode(vocab: dict[str, int], sents: list[str]) -> tuple[list[int], list[float], list[int], list[float]]:
+    """Known features of the sentences, their term frequency weights, how many each sentence has, and the unknown ones' squares."""
+    ids, tfs, lens, unknown = [], [], [], []
+    get = vocab.get
+    for s in sents:
+        fs = features(s)
+        n, u = 0, 0.0
+        once = set(fs)
+        if len(once) == len(fs):
+            for f in fs:
+                t = get(f)
+                if t is None:
+                    u += 1.0
+                else:
+                    ids.append(t)
+                    tfs.append(1.0)
+                    n += 1
+        else:
+            for f, k in Counter(fs).items():
+                t, w = get(f), 1 + float(np.log(k))
+                if t is None:
+                    u += w * w
+                else:
+                    ids.append(t)
+                    tfs.append(w)
+                    n += 1
+        lens.append(n)
+        unknown.append(u)
+    return ids, tfs, lens, unknown
+
+
+def pack(encoded: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Encoded texts laid end to end: sentences of each text, then the four arrays of all sentences."""
+    flat = lambda i, kind: np.array([x for e in encoded for x in e[i]], kind)
+    return np.array([len(e[2]) for e in encoded], np.int64), flat(0, np.int64), flat(1, np.float64), flat(2, np.int64), flat(3, np.float64)
+
+
 def labelled_sample(texts: DataFrame, key: str, text: str, labels: DataFrame, label: str) -> list[tuple[str, int]]:
     """At most LABELLED_PER_CLASS texts of each class with their label, the same for any order of the rows.
 
@@ -265,58 +321,75 @@ def labelled_sample(texts: DataFrame, key: str, text: str, labels: DataFrame, la
     return [(r["text"], r["y"]) for r in found.orderBy(key).collect()]
 
 
-def frequencies(df: DataFrame, text: str, wanted: set[str]) -> tuple[dict[str, int], int]:
-    """In how many of all texts each wanted feature occurs, and how many texts there are. One small row leaves each task."""
-    names = sorted(wanted)
-    at = {f: i for i, f in enumerate(names)}
-    held = df.sparkSession.sparkContext.broadcast(at)
+def _encoded(df: DataFrame, text: str, keep: list[str], vocab: list[str]) -> tuple[DataFrame, dict[int, int], int]:
+    """The texts' features by number, written once, with document frequencies over all rows and the number of rows.
+
+    Every task writes its texts' rows and one last row of counts (``n`` not null), so texts are read and cut only once.
+    """
+    held = df.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(vocab)})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts, n = held.value, np.zeros(len(held.value), np.int64), 0
         for batch in batches:
-            for t in batch.column(0).to_pylist():
+            m = batch.num_columns - 1
+            rows = [encode(known, parts(t)) for t in batch.column(m).to_pylist()]
+            for r in rows:
                 n += 1
-                hit = {known[f] for s in parts(t) for f in features(s) if f in known}
-                if hit:
-                    counts[list(hit)] += 1
-        ids = np.nonzero(counts)[0]
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(ids, -1), pa.int64()), pa.array(np.append(counts[ids], n), pa.int64())], ["f", "n"])
-
-    sums = {r["f"]: r["n"] for r in df.select(F.col(text)).mapInArrow(run, "f long, n long").groupBy("f").agg(F.sum("n").alias("n")).collect()}
-    return {f: sums.get(i, 0) for f, i in at.items()}, sums.get(-1, 0)
-
-
+                if r[0]:
+                    counts[list(set(r[0]))] += 1
+            cols = [pa.array([r[i] for r in rows], pa.list_(kind)) for i, kind in enumerate((pa.int32(), pa.float32(), pa.int32(), pa.float32()))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(m)), *cols, pa.nulls(len(rows), pa.int64())], [*batch.schema.names[:m], *_COLUMNS, "n"])
+            kinds = [batch.column(i).type for i in range(m)]
+        if n:
+            ids = np.nonzero(counts)[0]
+            last = [*(pa.nulls(1, k) for k in kinds), pa.array([ids.tolist()], pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.float32())), pa.array([counts[ids].tolist()], pa.list_(pa.int32())), pa.nulls(1, pa.list_(pa.float32())), pa.array([n], pa.int64())]
+            yield pa.RecordBatch.from_arrays(last, [*batch.schema.names[:m], *_COLUMNS, "n"])
+
+    kinds_of = dict(df.dtypes)
+    schema = ", ".join([*(f"`{k}` {kinds_of[k]}" for k in keep), "ids array<int>, tfs array<float>, lens array<int>, unknown array<float>, n long"])
+    made = materialize(df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema), "features")
+    tail = made.where("n is not null")
+    sums = tail.select(F.explode(F.arrays_zip("ids", "lens")).alias("z")).groupBy("z.ids").agg(F.sum("z.lens").alias("n")).collect()
+    total = tail.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return made.where("n is null").drop("n"), {r[0]: r[1] for r in sums}, total
+
+
+_COLUMNS = ("ids", "tfs", "lens", "unknown")
 _SCORERS: dict[str, Scorer] = {}
 
 
 def scores(df: DataFrame, text: str, keep: list[str], labelled: list[tuple[str, int]]) -> DataFrame:
     """``keep`` columns with ``score`` (the calibrated share of such texts that are abusive), ``evidence`` (the nearest abusive
-    example sentence) and ``cosine`` of every row's text.
+    example sentence, undisguised) and ``cosine`` of every row's text.
 
     Document frequencies are those of all rows. Null and empty texts score 0 without evidence; without labelled texts of
     both classes all score 0. Texts are read whole; repeated rows give repeated rows.
     """
     examples = choose(labelled) if {y for _, y in labelled} == {0, 1} else []
-    wanted = {f for s, _ in examples for f in features(s)}
-    df_counts, n = frequencies(df, text, wanted) if wanted else ({}, 0)
-    scorer = Scorer(examples, df_counts, n)
+    vocab = sorted({f for s, _ in examples for f in features(s)})
+    rows, counts, n = _encoded(df, text, keep, vocab)
+    by_name = {vocab[i]: k for i, k in counts.items()}
+    scorer = Scorer(examples, by_name, n)
     scorer.calibrate(labelled)
-    mark = hashlib.blake2b(repr((examples, sorted(df_counts.items()), n)).encode()).hexdigest()
-    held = df.sparkSession.sparkContext.broadcast((examples, df_counts, n, scorer.bins, mark))
+    mark = hashlib.blake2b(repr((examples, sorted(counts.items()), n)).encode()).hexdigest()
+    held = df.sparkSession.sparkContext.broadcast((examples, by_name, n, scorer.bins, mark))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ex, counts, total, bins, key = held.value
+        ex, known, total, bins, key = held.value
         if key not in _SCORERS:
             _SCORERS.clear()
-            _SCORERS[key] = Scorer(ex, counts, total)
+            _SCORERS[key] = Scorer(ex, known, total)
             _SCORERS[key].bins = bins
         s = _SCORERS[key]
         for batch in batches:
-            m = batch.num_columns - 1
-            value, near, cos = s.score([parts(t) for t in batch.column(m).to_pylist()])
+            m = batch.num_columns - 4
+            ids, tfs, lens, unknown = (batch.column(m + i) for i in range(4))
+            per = np.diff(lens.offsets.to_numpy())
+            flat = lambda c, kind: c.flatten().to_numpy(zero_copy_only=False).astype(kind)
+            value, near, cos = s.score(per, flat(ids, np.int64), flat(tfs, np.float64), flat(lens, np.int64), flat(unknown, np.float64))
             evidence = [s.examples[i][0] if i >= 0 else None for i in near.tolist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(m)), pa.array(value, pa.float64()), pa.array(evidence, pa.string()), pa.array(cos, pa.float64())], [*batch.schema.names[:m], "score", "evidence", "cosine"])
 
     kinds = dict(df.dtypes)
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "score double, evidence string, cosine double"])
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
