@@ -26,38 +26,36 @@ def ranges(codes: list[int]) -> str:
     return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in out)
 
 
-@lru_cache(1)
-def tables() -> tuple[str, str]:
-    """Class bodies of combining marks and of characters that are invisible inside words."""
-    marks, hidden = [], []
-    for c in range(0x80, sys.maxunicode + 1):
-        kind = unicodedata.category(chr(c))
-        if kind == "Cf" or c == 0x34F or 0x180B <= c <= 0x180F or 0xFE00 <= c <= 0xFE0F or 0xE0100 <= c <= 0xE01EF:
-            hidden.append(c)
-        elif kind[0] == "M":
-            marks.append(c)
-    return ranges(marks), ranges(hidden)
+@lru_cache(2)
+def _patterns(astral: bool = True) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """Hidden characters, words, and runs. Without characters beyond the basic plane a class is one table lookup, with
+    them a search through its ranges, so texts without any have patterns of their own."""
+    last = sys.maxunicode if astral else 0xFFFF
+    codes = [c for c in range(last + 1) if not 0xD800 <= c < 0xE000]
+    hidden = [c for c in codes if c >= 0x80 and (unicodedata.category(chr(c)) == "Cf" or c == 0x34F or 0x180B <= c <= 0x180F or 0xFE00 <= c <= 0xFE0F or 0xE0100 <= c <= 0xE01EF)]
+    run = [c for c in codes if chr(c).isalnum() or unicodedata.category(chr(c))[0] == "M"]
+    return re.compile(f"[{ranges(hidden)}]+"), re.compile(f"[{ranges(sorted({*run, 95}))}]+"), re.compile(f"[{ranges(run)}]+")
 
 
-@lru_cache(1)
-def _patterns() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
-    marks, hidden = tables()
-    return re.compile(f"[{hidden}]+"), re.compile(f"[\\w{marks}]+"), re.compile(f"(?:[^\\W_]|[{marks}])+")
+def _for(text: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    return _patterns(bool(text) and max(text) > "\uffff")
 
 
 def fold(text: str) -> str:
     """Lower case for ASCII; else compatibility composition, case folding, and no invisible characters."""
     if text.isascii():
         return text.lower()
-    hidden = _patterns()[0]
-    t = unicodedata.normalize("NFKC", text).casefold()
-    t = hidden.sub("", t)
+    hidden = _for(text)[0]
+    t = text if unicodedata.is_normalized("NFKC", text) else unicodedata.normalize("NFKC", text)
+    t = t.casefold()
+    if hidden.search(t):
+        t = hidden.sub("", t)
     return t if unicodedata.is_normalized("NFKC", t) else unicodedata.normalize("NFKC", t)
 
 
 def split_words(folded: str) -> list[str]:
     """Maximal runs of letters, digits, underscores and marks that hold more than marks."""
-    return [w for w in _patterns()[1].findall(folded) if w.isascii() or any(c.isalnum() or c == "_" for c in w)]
+    return [w for w in _for(folded)[1].findall(folded) if w.isascii() or any(c.isalnum() or c == "_" for c in w)]
 
 
 def normalize_words(text: str | None) -> list[str]:
@@ -67,12 +65,12 @@ def normalize_words(text: str | None) -> list[str]:
 
 def runs(text: str) -> list[str]:
     """Maximal runs of letters, marks and digits of the folded text; an underscore parts words here."""
-    return _patterns()[2].findall(fold(text))
+    return plain_runs(fold(text))
 
 
 def plain_runs(folded: str) -> list[str]:
     """The same of a text that is folded already."""
-    return _patterns()[2].findall(folded)
+    return _for(folded)[2].findall(folded)
 
 
 @F.pandas_udf(T.StringType())

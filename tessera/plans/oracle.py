@@ -92,7 +92,7 @@ g AS (SELECT *, CASE WHEN nth > 1 AND shard_id IS NOT NULL THEN 'duplicate shard
 
 _TRI = f"""
 WITH d AS (SELECT doc_id, {_LANG} AS lang, ' ' || trim(text) || ' ' AS p, ' ' || trim(substring(text, 1, 512)) || ' ' AS probe FROM documents WHERE text IS NOT NULL),
-t AS (SELECT lang, unnest(list_transform(range(1, length(p) - 1), lambda i: substring(p, i, 3))) AS g FROM (SELECT * FROM d WHERE lang IS NOT NULL AND length(p) >= 3)),
+t AS (SELECT lang, unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS g FROM (SELECT *, string_split(p, '') AS cs FROM d WHERE lang IS NOT NULL AND length(p) >= 3)),
 c AS (SELECT lang, substring(g, 1, 2) AS ctx, substring(g, 3, 1) AS nxt, count(*) AS n FROM t GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, ctx ORDER BY n DESC, nxt) AS k FROM c),
 top AS (SELECT lang, ctx FROM (SELECT lang, ctx, row_number() OVER (PARTITION BY lang ORDER BY sum(n) DESC, ctx) AS k FROM c GROUP BY lang, ctx) WHERE k <= 100000),
@@ -101,7 +101,7 @@ model AS (SELECT r.lang, r.ctx, r.nxt, r.n FROM r SEMI JOIN top USING (lang, ctx
 _BITS = (
     _TRI
     + """,
-u AS (SELECT lang, unnest(list_transform(range(1, length(p) + 1), lambda i: substring(p, i, 1))) AS ch FROM d WHERE lang IS NOT NULL),
+u AS (SELECT lang, unnest(string_split(p, '')) AS ch FROM d WHERE lang IS NOT NULL),
 uni AS (SELECT lang, ch, count(*) AS n FROM u GROUP BY ALL),
 tot AS (SELECT lang, sum(n) AS n, greatest(count(*), 2) AS v FROM uni GROUP BY lang),
 cx AS (SELECT lang, ctx, sum(n) AS t FROM model GROUP BY ALL),
