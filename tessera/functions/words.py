@@ -37,8 +37,11 @@ def _patterns(astral: bool = True) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
     return re.compile(f"[{ranges(hidden)}]+"), re.compile(f"[{ranges(sorted({*run, 95}))}]+"), re.compile(f"[{ranges(run)}]+")
 
 
+_ASTRAL = re.compile("[\U00010000-\U0010ffff]")
+
+
 def _for(text: str) -> tuple[re.Pattern, re.Pattern, re.Pattern]:
-    return _patterns(bool(text) and max(text) > "\uffff")
+    return _patterns(_ASTRAL.search(text) is not None)
 
 
 def fold(text: str) -> str:
