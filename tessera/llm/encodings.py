@@ -64,7 +64,9 @@ def patterns() -> dict[str, tuple[tuple[str, str], ...]]:
                     for cut in (1, 2):  # a byte that the wrong decoder had no character for, shown as lost or left out
                         add(_decode(data[:cut], codec) + LOST + _decode(data[cut + 1 :], codec), codec, LOST)
                     add(_decode(data[:2], codec) + LOST, codec, LOST)
-                    if first >= 0x0900 and last < 0x1000:
+                    if codec == "latin-1" and all(0x80 <= b < 0xA0 for b in data[1:]):
+                        add(_decode(data[:1] + data[2:], codec), codec, char)  # a control character was removed as invisible
+                    if (first >= 0x0900 and last < 0x1000) or (0x2000 <= first < 0x2100 and codec in ("cp1252", "mac_roman", "cp437")):
                         add(_decode(data[:2], codec), codec, LOST)
     return {k: tuple(v.items()) for k, v in found.items()}
 
