@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ LABELLED_PER_CLASS, EXAMPLES_PER_CLASS = 8000, 6000
 #: Neighbours that vote, examples in a block, and the least cosine that counts as near.
 NEIGHBOURS, BLOCK, LEAST_COSINE = 9, 64, 0.12
 #: Sentences looked up at once, which bounds the memory of a worker.
-SLICE = 1024
+SLICE = 8192
 #: Calibrated score from which a text counts as a case.
 CASE = 0.5
 
@@ -40,6 +41,7 @@ _REPEAT = re.compile(r"(.)\1{2,}")
 _HIDDEN = re.compile(r"(?<=\w)\*+(?=\w)|(?<=\w)\*+")
 _LEETHINT = re.compile(r"[a-z][013457@$!|][a-z]|[a-z][013457@$|]|[013457@$!|][a-z]")
 _LEETWORD = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[013457@$!|])[a-z013457@$!|]{3,}(?=[^\w]*(?:\s|$))")
+_DIGIT = re.compile(r"\d|[²³¹]")
 _ALIKE = re.compile("[аеорсухіѕјԁһ]")
 
 
@@ -68,7 +70,9 @@ def features(sentence: str) -> list[str]:
         for part in sentence.split():
             words += ["\x01"] if "*" in part and any(c.isalpha() for c in part) else ["0" if w.isdigit() else w for w in plain_runs(part)]
     else:
-        words = ["0" if w.isdigit() else w for w in plain_runs(sentence)]
+        words = plain_runs(sentence)
+        if _DIGIT.search(sentence):
+            words = ["0" if w.isdigit() else w for w in words]
     return words + list(map(" ".join, zip(words, words[1:])))
 
 
@@ -187,7 +191,8 @@ class Scorer:
         self.label = np.array([examples[i][1] for i in order] + [0], np.float32)
         self.index = BlockMaxIndex([rows[i] for i in order], len(self.vocab))
         blocks = [b for b in range(self.index.maxima.shape[1]) if self.label[b * BLOCK : min((b + 1) * BLOCK, len(rows))].any()]
-        self.abusive_most = self.index.maxima[:, blocks].max(axis=1) if blocks else np.zeros(len(self.vocab), np.float32)
+        self.abusive = np.ascontiguousarray(self.index.maxima[:, blocks])
+        self.abusive_most = self.abusive.max(axis=1) if blocks else np.zeros(len(self.vocab), np.float32)
         self.bins = None
 
     def encode(self, sents: list[str]) -> tuple[list[int], list[float], list[int], list[float]]:
@@ -216,9 +221,12 @@ class Scorer:
             pick = np.nonzero(bound[at : at + SLICE] >= LEAST_COSINE)[0] + at
             if not len(pick):
                 continue
-            sizes = lens[pick]
-            new = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-            take = np.repeat(starts[pick] - new, sizes) + np.arange(sizes.sum())
+            # a closer bound: the best of the abusive blocks instead of the best of each term
+            take, new, _ = _take(pick, starts, lens)
+            pick = pick[np.add.reduceat(self.abusive[ids[take]] * w[take][:, None], new, axis=0).max(axis=1) >= LEAST_COSINE]
+            if not len(pick):
+                continue
+            take, new, sizes = _take(pick, starts, lens)
             found, sims = self.index.search(ids[take], w[take], new, NEIGHBOURS + without_self)
             if without_self:  # an example is its own nearest
                 found, sims = found[:, 1:], sims[:, 1:]
@@ -266,6 +274,13 @@ class Scorer:
         return raw, near, cos
 
 
+def _take(pick: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the picked runs' items laid end to end, where each run then starts, and the runs' sizes."""
+    sizes = lens[pick]
+    new = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
+    return np.repeat(starts[pick] - new, sizes) + np.arange(sizes.sum()), new, sizes
+
+
 def encode(vocab: dict[str, int], sents: list[str]) -> tuple[list[int], list[float], list[int], list[float]]:
     """Known features of the sentences, their term frequency weights, how many each sentence has, and the unknown ones' squares."""
     ids, tfs, lens, unknown = [], [], [], []
@@ -273,19 +288,14 @@ def encode(vocab: dict[str, int], sents: list[str]) -> tuple[list[int], list[flo
     for s in sents:
         fs = features(s)
         n, u = 0, 0.0
-        once = set(fs)
-        if len(once) == len(fs):
-            for f in fs:
-                t = get(f)
-                if t is None:
-                    u += 1.0
-                else:
-                    ids.append(t)
-                    tfs.append(1.0)
-                    n += 1
+        if len(set(fs)) == len(fs):
+            known = [t for t in map(get, fs) if t is not None]
+            n, u = len(known), float(len(fs) - len(known))
+            ids += known
+            tfs += [1.0] * n
         else:
             for f, k in Counter(fs).items():
-                t, w = get(f), 1 + float(np.log(k))
+                t, w = get(f), 1.0 if k == 1 else 1 + log(k)
                 if t is None:
                     u += w * w
                 else:
