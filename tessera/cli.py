@@ -154,6 +154,65 @@ def extract(a: argparse.Namespace) -> int:
     return 0
 
 
+def eval_set(a: argparse.Namespace) -> int:
+    """An evaluation set of files, lines or fields of JSON lines: long enough items, each text once."""
+    from tessera.operators import contamination
+    from tessera.sources import corpus, sinks
+
+    spark, items = _session(), None
+    for kind, paths in (("dir", a.from_dir), ("lines", a.from_lines), ("jsonl", a.from_jsonl)):
+        for path in paths or []:
+            one = corpus.eval_sources(spark, path, kind, a.field)
+            items = one if items is None else items.unionByName(one)
+    if items is None:
+        raise ValueError("no source was given")
+    sinks.json_lines(contamination.build_eval_set(items, "source", "text", a.min_chars), a.out)
+    return 0
+
+
+def train_lm(a: argparse.Namespace) -> int:
+    """Language models of the accepted shards, one for each language."""
+    from tessera.operators import lm, sampling
+    from tessera.plans import pipeline
+    from tessera.sources import sinks
+
+    _, docs = pipeline.read(_session(), a.registry, a.shards)
+    sample = sampling.byte_budget(sampling.stride(docs, a.every), "shard_id", "doc_index", "n_bytes", int(a.max_mb * 1e6))
+    for r in sample.groupBy("language").agg(F.count("*").alias("docs"), F.sum("n_bytes").alias("bytes")).collect():
+        if r["docs"] < 50 or r["bytes"] < 200_000:
+            print(f"warning: the model of {r['language']} is thin: {r['docs']} documents, {r['bytes']} bytes", file=sys.stderr)
+    sinks.model(*lm.train(sample, "language", "text"), a.out)
+    return 0
+
+
+def neardup(a: argparse.Namespace) -> int:
+    """Signatures, clusters and the drop list of near duplicates."""
+    from tessera.functions.hashing import droplist_sha256
+    from tessera.operators import neardup as N
+    from tessera.plans import pipeline
+    from tessera.sources import sinks
+
+    _, docs = pipeline.read(_session(), a.registry, a.shards)
+    d = docs.withColumn("key", F.concat_ws(":", F.format_string("%06d", "shard_ord"), F.format_string("%012d", "doc_index")))
+    clustered = N.clusters(d, "key", "text", a.min_agree, a.max_words).join(d.select("key", "doc_hash"), "key")
+    ids = N.drop_list(clustered, "doc_hash")
+    sinks.drop_list(ids, f"{a.out}/drop")
+    print(sinks.manifest(f"{a.out}/NEARDUP.json", N.cluster_stats(clustered).first().asDict() | {"droplist_sha256": droplist_sha256(ids), "min_agree": a.min_agree}))
+    return 0
+
+
+def pipeline_(a: argparse.Namespace) -> int:
+    """Check, measure, build and report in this order; stops at the first step that fails."""
+    refused = check(a)
+    if refused and not a.allow_refusals:
+        return refused
+    for step in (run, build):
+        if code := step(a):
+            return code
+    a.manifest, a.out = f"{a.out}/BUILD-MANIFEST.json", f"{a.out}/REPORT.md"
+    return summary(a)
+
+
 def plugins(_: argparse.Namespace) -> int:
     """Installed filter plugins."""
     from tessera.plugins import available
@@ -186,6 +245,14 @@ def parser() -> argparse.ArgumentParser:
     verb(summary, reg, (["--manifest"], {}), out, name="report")
     verb(extract, (["folder"], {}), out, (["--min-chars"], {"type": int, "default": 80}))
     verb(plugins)
+    source = {"action": "append"}
+    verb(eval_set, (["--from-dir"], source), (["--from-lines"], source), (["--from-jsonl"], source), (["--field"], {"default": "text"}), (["--min-chars"], {"type": int, "default": 40}), out, name="eval-set")
+    verb(train_lm, reg, out, shards, (["--every"], {"type": int, "default": 50}), (["--max-mb"], {"type": float, "default": 64.0}), name="train-lm")
+    verb(neardup, reg, out, shards, (["--min-agree"], {"type": int, "default": 21}), (["--max-words"], {"type": int}))
+    verb(
+        pipeline_, reg, out, shards, (["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--plugin"], {"action": "append"}),
+        (["--pii"], {"choices": ["keep", "redact", "drop"], "default": "redact"}), (["--emit"], {"action": "store_true"}), (["--min-scored"], {"type": int, "default": 200}), (["--allow-refusals"], {"action": "store_true"}), name="pipeline",
+    )
     return p
 
 

@@ -110,6 +110,12 @@ def test_command_line(spark, tmp_path, two_shards, capsys):
     assert cli.main(["run", two_shards, "--out", str(tmp_path / "run"), "--every", "1"]) == 0
     assert corpus.runs(str(tmp_path)) == [str(tmp_path / "run")]
     assert cli.main(["report", two_shards, "--out", str(tmp_path / "r.md")]) == 0
+    _write(tmp_path / "q.txt", f"{LONG}\nshort\n{LONG}\n")
+    assert cli.main(["eval-set", "--from-lines", str(tmp_path / "q.txt"), "--out", str(tmp_path / "ev")]) == 0 and spark.read.json(str(tmp_path / "ev")).count() == 1
+    assert cli.main(["train-lm", two_shards, "--every", "1", "--out", str(tmp_path / "lm")]) == 0 and spark.read.parquet(str(tmp_path / "lm/trigram")).count() > 50
+    assert cli.main(["neardup", two_shards, "--out", str(tmp_path / "nd")]) == 0 and spark.read.parquet(str(tmp_path / "nd/drop")).count() == 2
+    assert cli.main(["pipeline", two_shards, "--out", str(tmp_path / "all"), "--every", "1"]) == 2
+    assert cli.main(["pipeline", two_shards, "--out", str(tmp_path / "all"), "--every", "1", "--allow-refusals", "--emit"]) == 0 and (tmp_path / "all/REPORT.md").is_file()
     assert cli.main(["check", _write(tmp_path / "bad.json", '{"registry_version": 2, "shards": []}')]) == 2
 
 
