@@ -80,21 +80,20 @@ class BlockMaxIndex:
     """Exact nearest examples by cosine. Examples lie in blocks of alike ones; a term's largest weight in a block bounds
     what any example of the block can score, so only blocks whose bound beats the k-th best found so far are opened."""
 
-    def __init__(self, rows: list[dict[int, float]], size: int):
-        self.n, self.size = len(rows), size
-        nb = -(-len(rows) // BLOCK)
+    def __init__(self, terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, size: int):
+        """Examples are consecutive runs of terms; ``starts`` has one more entry than there are examples."""
+        self.n, self.size = len(starts) - 1, size
+        nb = -(-self.n // BLOCK)
         self.maxima = np.zeros((size, nb), np.float32)
         self.blocks = []
         for b in range(nb):
-            chunk = rows[b * BLOCK : (b + 1) * BLOCK]
-            terms = sorted({t for r in chunk for t in r})
-            local = {t: i for i, t in enumerate(terms)}
-            dense = np.zeros((len(terms) + 1, BLOCK), np.float32)  # the last row is for terms the block lacks
-            for j, r in enumerate(chunk):
-                for t, w in r.items():
-                    dense[local[t], j] = w
-            self.maxima[terms, b] = dense[:-1].max(axis=1)
-            self.blocks.append((np.array(terms, np.int64), dense))
+            first, last = b * BLOCK, min((b + 1) * BLOCK, self.n)
+            span = slice(starts[first], starts[last])
+            known, place = np.unique(terms[span], return_inverse=True)
+            dense = np.zeros((len(known) + 1, BLOCK), np.float32)  # the last row is for terms the block lacks
+            dense[place, np.repeat(np.arange(last - first), np.diff(starts[first : last + 1]))] = weights[span]
+            self.maxima[known, b] = dense[:-1].max(axis=1, initial=0)
+            self.blocks.append((known, dense))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, cosines)`` of the k nearest of each query; queries are consecutive runs of terms from ``starts``."""
@@ -182,18 +181,35 @@ class Scorer:
         self.idf = np.array([np.log((n + 1) / (df.get(f, 0) + 1)) + 1 for f in self.vocab])
         rows = []
         for c in fs:
-            r = {self.vocab[f]: (1 + np.log(k)) * self.idf[self.vocab[f]] for f, k in c.items()}
-            norm = float(np.sqrt(sum(w * w for w in r.values()))) or 1.0
-            rows.append({t: float(w / norm) for t, w in r.items()})
+            r = {self.vocab[f]: (1 + log(k)) * self.idf[self.vocab[f]] for f, k in c.items()}
+            norm = sum(w * w for w in r.values()) ** 0.5 or 1.0
+            rows.append({t: w / norm for t, w in r.items()})
         # alike examples share blocks: order by label and heaviest terms
         order = sorted(range(len(rows)), key=lambda i: (examples[i][1], sorted(rows[i], key=lambda t: -rows[i][t])[:2], i))
-        self.examples = [examples[i] for i in order]
-        self.label = np.array([examples[i][1] for i in order] + [0], np.float32)
-        self.index = BlockMaxIndex([rows[i] for i in order], len(self.vocab))
-        blocks = [b for b in range(self.index.maxima.shape[1]) if self.label[b * BLOCK : min((b + 1) * BLOCK, len(rows))].any()]
+        terms = np.array([t for i in order for t in rows[i]], np.int64)
+        weights = np.array([w for i in order for w in rows[i].values()], np.float32)
+        starts = np.concatenate([[0], np.cumsum([len(rows[i]) for i in order])]).astype(np.int64)
+        self._load([examples[i] for i in order], terms, weights, starts, self.idf, self.unknown, None)
+
+    def _load(self, examples: list[tuple[str, int]], terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, idf: np.ndarray, unknown: float, bins) -> None:
+        self.examples, self.idf, self.unknown, self.bins = examples, idf, unknown, bins
+        self.arrays = (terms, weights, starts)
+        self.label = np.array([y for _, y in examples] + [0], np.float32)
+        self.index = BlockMaxIndex(terms, weights, starts, len(idf))
+        n = self.index.n
+        blocks = [b for b in range(self.index.maxima.shape[1]) if self.label[b * BLOCK : min((b + 1) * BLOCK, n)].any()]
         self.abusive = np.ascontiguousarray(self.index.maxima[:, blocks])
-        self.abusive_most = self.abusive.max(axis=1) if blocks else np.zeros(len(self.vocab), np.float32)
-        self.bins = None
+        self.abusive_most = self.abusive.max(axis=1) if blocks else np.zeros(len(idf), np.float32)
+
+    def state(self) -> tuple:
+        """What a worker needs to score encoded texts: bounded by the number of examples."""
+        return self.examples, *self.arrays, self.idf, self.unknown, self.bins
+
+    @classmethod
+    def of_state(cls, state: tuple) -> Scorer:
+        made = cls.__new__(cls)
+        made._load(*state)
+        return made
 
     def encode(self, sents: list[str]) -> tuple[list[int], list[float], list[int], list[float]]:
         """Known features of a text's sentences, their term frequency weights, how many each sentence has, and the sum of
@@ -382,14 +398,13 @@ def scores(df: DataFrame, text: str, keep: list[str], labelled: list[tuple[str,
     scorer = Scorer(examples, by_name, n)
     scorer.calibrate(labelled)
     mark = hashlib.blake2b(repr((examples, sorted(counts.items()), n)).encode()).hexdigest()
-    held = df.sparkSession.sparkContext.broadcast((examples, by_name, n, scorer.bins, mark))
+    held = df.sparkSession.sparkContext.broadcast((mark, scorer.state()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ex, known, total, bins, key = held.value
+        key, state = held.value
         if key not in _SCORERS:
             _SCORERS.clear()
-            _SCORERS[key] = Scorer(ex, known, total)
-            _SCORERS[key].bins = bins
+            _SCORERS[key] = Scorer.of_state(state)
         s = _SCORERS[key]
         for batch in batches:
             m = batch.num_columns - 4
