@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tessera.functions.binding import let
+
 # Scripts in the order in which ties are decided, and the languages they are written in.
 PROBE_CHARS = 2000
 SCRIPT_CLASSES = {
@@ -31,16 +33,20 @@ ISO_CODES = {
 
 def script_counts(text: Column) -> Column:
     """Characters of each script in the probe, as a map in order."""
-    probe = F.substring(text, 1, PROBE_CHARS)
-    return F.create_map(*[x for name, cls in SCRIPT_CLASSES.items() for x in (F.lit(name), F.length(F.regexp_replace(probe, f"[^{cls}]+", "")))])
+    count = lambda probe, cls: F.length(F.regexp_replace(probe, f"[^{cls}]+", ""))
+    return let(F.substring(text, 1, PROBE_CHARS), lambda probe: F.create_map(*[x for name, cls in SCRIPT_CLASSES.items() for x in (F.lit(name), count(probe, cls))]))
 
 
 def dominant(counts: Column) -> Column:
     """``struct(script, share)`` from the counts: the commonest script, the earlier of equal ones; none for no script."""
-    best = F.array_max(F.map_values(counts))
-    total = F.aggregate(F.map_values(counts), F.lit(0), lambda a, x: a + x)
-    name = F.element_at(F.map_keys(counts), F.array_position(F.map_values(counts), best).cast("int"))
-    return F.when(total > 0, F.struct(name.alias("script"), (best / total).alias("share"))).otherwise(F.struct(F.lit(None).cast("string").alias("script"), F.lit(0.0).alias("share")))
+
+    def of(m: Column) -> Column:
+        best = F.array_max(F.map_values(m))
+        total = F.aggregate(F.map_values(m), F.lit(0), lambda a, x: a + x)
+        name = F.element_at(F.map_keys(m), F.array_position(F.map_values(m), best).cast("int"))
+        return F.when(total > 0, F.struct(name.alias("script"), (best / total).alias("share"))).otherwise(F.struct(F.lit(None).cast("string").alias("script"), F.lit(0.0).alias("share")))
+
+    return let(counts, of)  # the counts are made once
 
 
 def _lookup(pairs: dict[str, str], key: Column) -> Column:

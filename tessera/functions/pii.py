@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 # Patterns that must equal the published definition, in the order of redaction. W is a word character.
 PROBE_CHARS = 8000
 W, NOT_AFTER, NOT_BEFORE = r"[\p{L}\p{N}_]", r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-IBAN = NOT_AFTER + r"[A-Z]{2}\p{Nd}{2}(?:[ \t\n\r]?[A-Z0-9]{4}){2,7}(?:[ \t\n\r]?[A-Z0-9]{1,3})?"
-CARD = r"(?<!\p{Nd})(?:\p{Nd}[ -]?){13,19}(?!\p{Nd})"
+IBAN = NOT_AFTER + r"[A-Z]{2}[0-9]{2}(?:[ \t\n\r]?[A-Z0-9]{4}){2,7}(?:[ \t\n\r]?[A-Z0-9]{1,3})?"
+CARD = r"(?<!\p{Nd})(?:[0-9][ -]?){13,19}(?!\p{Nd})"  # checksums are defined on ASCII digits
 PATTERNS = {
     "email": NOT_AFTER + r"[\p{L}\p{N}_.+-]+@[\p{L}\p{N}_-]+(?:\.[\p{L}\p{N}_-]+)*\.[A-Za-z]{2,}" + NOT_BEFORE,
     "phone_in": r"(?<![\p{Nd}\p{L}\p{N}_])(?:\+91[\s-]?|0)?[6-9]\p{Nd}{9}(?!\p{Nd})",

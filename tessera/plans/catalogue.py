@@ -11,7 +11,7 @@ from tessera.functions import domain, hashing, html, lid, pii, quality, toxicity
 from tessera.operators import contamination, dedup, gate, lm, manifest, neardup, sampling, verdict
 from tessera.plans import oracle
 from tessera.plugins import min_words
-from tessera.session import materialize, table
+from tessera.session import materialize, spread, table
 
 #: Parameters of the queries, shared with the SQL.
 STRIDE, NESTED, BUDGET = 50, 4, 20_000
@@ -56,45 +56,45 @@ def licence_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    q = quality.metrics(table(spark, folder, "documents").select("doc_id", "text"))
+    q = quality.metrics(spread(table(spark, folder, "documents").select("doc_id", "text")))
     r = [F.round(c, 6).alias(c) for c in ("symbol_ratio", "digit_ratio", "mean_word_len", "dup_line_frac", "top_bigram_frac")]
     return q.select("doc_id", *r, F.col("boilerplate_hits").cast("long").alias("boilerplate_hits"), F.round("quality_score", 3).alias("quality_score"), "quality_bucket")
 
 
 def quality_buckets(spark: SparkSession, folder: str) -> DataFrame:
-    q = quality.metrics(table(spark, folder, "documents").select("shard_id", "text"))
+    q = quality.metrics(spread(table(spark, folder, "documents").select("shard_id", "text")))
     return q.groupBy("shard_id", "quality_bucket").agg(F.count("*").alias("docs"), F.round(F.avg("digit_ratio"), 6).alias("mean_digit_ratio"))
 
 
 def quality_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    q = quality.metrics(table(spark, folder, "documents").select("text"))
+    q = quality.metrics(spread(table(spark, folder, "documents").select("text")))
     return q.groupBy(quality.histogram_bin(F.col("quality_score") + 1e-9).alias("bin")).agg(F.count("*").alias("docs"))
 
 
 def script_lid(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").withColumn("s", lid.dominant(lid.script_counts(F.col("text"))))
+    d = spread(table(spark, folder, "documents")).withColumn("s", lid.dominant(lid.script_counts(F.col("text"))))
     return d.select("doc_id", F.col("s.script").alias("script"), F.round("s.share", 6).alias("share"), lid.language_of(F.col("s.script")).alias("language"))
 
 
 def lid_purity(spark: SparkSession, folder: str) -> DataFrame:
     registry = table(spark, folder, "registry_shards").where("shard_id is not null").groupBy("shard_id").agg(F.max("language").alias("declared"))
-    d = table(spark, folder, "documents").join(F.broadcast(registry), "shard_id").withColumn("s", lid.dominant(lid.script_counts(F.col("text"))))
+    d = spread(table(spark, folder, "documents")).join(F.broadcast(registry), "shard_id").withColumn("s", lid.dominant(lid.script_counts(F.col("text"))))
     own = lid.consistent(F.col("s.script"), F.lower("declared"))
     return d.groupBy("shard_id", "declared").agg(F.count("*").alias("docs"), F.round(F.avg(own.cast("double")), 6).alias("purity"), F.round(F.avg("s.share"), 6).alias("mean_share"))
 
 
 def top_languages(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").select(lid.effective_language(lid.dominant(lid.script_counts(F.col("text")))["script"], F.lower(F.trim("lang"))).alias("l"))
+    d = spread(table(spark, folder, "documents")).select(lid.effective_language(lid.dominant(lid.script_counts(F.col("text")))["script"], F.lower(F.trim("lang"))).alias("l"))
     return d.groupBy(F.coalesce("l", F.lit("und")).alias("language")).agg(F.count("*").alias("docs")).orderBy(F.desc("docs"), "language").limit(25)
 
 
 def domain_mix(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").select("shard_id", domain.classify(F.col("text"), F.lower(F.trim("lang"))).alias("domain"))
+    d = spread(table(spark, folder, "documents")).select("shard_id", domain.classify(F.col("text"), F.lower(F.trim("lang"))).alias("domain"))
     return d.groupBy("shard_id", "domain").agg(F.count("*").alias("docs"))
 
 
 def word_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", F.size(words.words_of(words.folded(F.col("text")))).alias("words"))
+    return spread(table(spark, folder, "documents")).select("doc_id", F.size(words.words_of(words.folded(F.col("text")))).alias("words"))
 
 
 def _lexicon(spark: SparkSession, folder: str) -> toxicity.Lexicon:
@@ -109,12 +109,12 @@ def lexicon_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def toxicity_flags(spark: SparkSession, folder: str) -> DataFrame:
-    d = toxicity.flag(table(spark, folder, "drops"), F.col("preview"), _lexicon(spark, folder), "s").select("drop_id", "s").where("s.hits > 0")
+    d = toxicity.flag(spread(table(spark, folder, "drops")), F.col("preview"), _lexicon(spark, folder), "s").select("drop_id", "s").where("s.hits > 0")
     return d.select("drop_id", F.col("s.hits").alias("hits"), F.col("s.distinct").alias("distinct_terms"), F.round("s.density", 6).alias("density"), F.col("s.flagged").alias("flagged"))
 
 
 def contamination_hits(spark: SparkSession, folder: str) -> DataFrame:
-    return contamination.screen(table(spark, folder, "documents"), "doc_id", "text", table(spark, folder, "eval_set"), "id", "text")
+    return contamination.screen(spread(table(spark, folder, "documents")), "doc_id", "text", table(spark, folder, "eval_set"), "id", "text")
 
 
 def eval_grams(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,12 +127,12 @@ def eval_set_build(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pii_scan(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "drops").select("drop_id", F.explode(pii.scan(F.col("preview"))).alias("kind", "n"))
+    d = spread(table(spark, folder, "drops")).select("drop_id", F.explode(pii.scan(F.col("preview"))).alias("kind", "n"))
     return d.groupBy("kind").agg(F.sum("n").alias("spans"), F.countDistinct("drop_id").alias("drops"))
 
 
 def pii_redact(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "drops").where(F.size(pii.scan(F.col("preview"))) > 0)
+    d = spread(table(spark, folder, "drops")).where(F.size(pii.scan(F.col("preview"))) > 0)
     return d.select("drop_id", pii.redact(F.col("preview"))["text"].alias("redacted")).distinct()
 
 
@@ -145,7 +145,7 @@ def _language(c: str = "lang"):
 
 
 def _docs(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").withColumn("language", _language())
+    return spread(table(spark, folder, "documents")).withColumn("language", _language())
 
 
 def char_trigram_train(spark: SparkSession, folder: str) -> DataFrame:
@@ -181,18 +181,18 @@ def score_percentiles(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def minhash_sql(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").select("doc_id", neardup.sql_signature(neardup.shingles(neardup.words_for_shingles(F.col("text"))), 8).alias("sig"))
+    d = spread(table(spark, folder, "documents")).select("doc_id", neardup.sql_signature(neardup.shingles(neardup.words_for_shingles(F.col("text"))), 8).alias("sig"))
     return d.where("sig is not null").select("doc_id", *[F.get("sig", F.lit(i)).alias(f"h{i}") for i in range(8)])
 
 
 def lsh_bands(spark: SparkSession, folder: str) -> DataFrame:
-    d = table(spark, folder, "documents").select("doc_id", neardup.sql_signature(neardup.shingles(neardup.words_for_shingles(F.col("text"))), 8).alias("sig")).where("sig is not null")
+    d = spread(table(spark, folder, "documents")).select("doc_id", neardup.sql_signature(neardup.shingles(neardup.words_for_shingles(F.col("text"))), 8).alias("sig")).where("sig is not null")
     bands = d.select("doc_id", F.posexplode(F.array(*[F.slice("sig", 4 * i + 1, 4) for i in range(2)])).alias("band", "key"))
     return bands.groupBy("band", F.array_join(F.transform("key", lambda x: x.cast("string")), "-").alias("key")).agg(F.count("*").alias("docs"), F.min("doc_id").alias("representative"))
 
 
 def _clusters(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.clusters(table(spark, folder, "documents").select("doc_id", "text"), "doc_id", "text")
+    return neardup.clusters(spread(table(spark, folder, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 def neardup_clusters(spark: SparkSession, folder: str) -> DataFrame:

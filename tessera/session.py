@@ -62,6 +62,13 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in at least as many partitions as there are cores: few files with large row groups give few tasks, too few for
+    work that costs more than a shuffle of its input. Inputs of many files stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One table of a data folder."""
     return spark.read.parquet(f"{folder}/{name}.parquet")

@@ -83,6 +83,7 @@ def test_toxicity(spark):
         ("GB82 WEST 1234 5698 7654 32", {"iban": 1}),
         ("GB82 WEST 1234 5698 7654 33", {}),
         ("host 10.0.0.1", {"ip": 1}),
+        ("४१११ ११११ ११११ ११११", {}),
         ("", {}),
     ],
 )
