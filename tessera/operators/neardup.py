@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,6 +21,8 @@ from tessera.session import materialize
 SHINGLE_WORDS, NUM_PERM, BANDS, ROWS, VERIFY_MIN_AGREE, SEED = 5, 32, 8, 4, 21, 7
 #: Modulus of the variant that SQL can compute, and its multipliers' seed.
 SQL_PRIME = 2147483647
+#: Members of a bucket that one worker compares among themselves; larger buckets are divided.
+MOST_HELD = 4096
 
 
 def words_for_shingles(text: Column, max_words: int | None = None) -> Column:
@@ -93,22 +97,93 @@ def agree(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def links(signed: DataFrame, key: str, min_agree: int = VERIFY_MIN_AGREE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(left, right)``: verified links from members of a band's bucket to its representative, the member with the least key.
+def _part(sig: Column, mask: int) -> Column:
+    """Identity of a bucket: the rows of the mask and their values."""
+    return F.struct(F.lit(mask).cast("long").alias("mask"), F.xxhash64(F.array(*[F.get(sig, F.lit(i)) for i in range(NUM_PERM) if mask >> i & 1])).alias("code"))
 
-    Buckets are aggregated to their representative and joined back, so a bucket that holds a third of all rows is never
-    collected, and links grow with its members, not with their pairs. Signatures that are equal are linked once before
+
+def _finer(mask: int, min_agree: int) -> list[int]:
+    """Masks that divide a bucket without loss. Members that agree in ``min_agree`` rows differ in at most NUM_PERM - min_agree,
+    so of one block more than that, cut from the rows outside the mask, at least one is equal."""
+    free = [i for i in range(NUM_PERM) if not mask >> i & 1]
+    blocks = NUM_PERM - min_agree + 1
+    return [mask | sum(1 << i for i in free[at::blocks]) for at in range(blocks)] if len(free) >= blocks else []
+
+
+def _link_buckets(min_agree: int):
+    """Links between members of whole buckets, which come sorted: every member is compared with all later ones not connected to it yet."""
+
+    def of_bucket(keys: list, sigs: np.ndarray, known: list) -> Iterator[tuple]:
+        ids = {}
+        group = np.array([ids.setdefault(x, len(ids)) for x in known])
+        for i in range(len(keys) - 1):
+            other = i + 1 + np.flatnonzero(group[i + 1 :] != group[i])
+            hits = other[(sigs[other] == sigs[i]).sum(axis=1) >= min_agree] if len(other) else other
+            for g in np.unique(group[hits]).tolist():
+                yield keys[hits[group[hits] == g][0]], keys[i]
+                group[group == g] = group[i]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, ([], [], [])
+        kind = None
+        for batch in batches:
+            kind = batch.column(2).type
+            out = []
+            for mask, code, k, sig, label in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+                if (mask, code) != at:
+                    out += of_bucket(held[0], np.array(held[1], np.int64), held[2])
+                    at, held = (mask, code), ([], [], [])
+                for column, value in zip(held, (k, sig, label), strict=True):
+                    column.append(value)
+            yield _pairs(out, kind)
+        if held[0]:
+            yield _pairs(list(of_bucket(held[0], np.array(held[1], np.int64), held[2])), kind)
+
+    return run
+
+
+def _pairs(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], kind) for i in range(2)], ["left", "right"])
+
+
+def links(signed: DataFrame, key: str, min_agree: int = VERIFY_MIN_AGREE, bands: int = BANDS, rows: int = ROWS, most_held: int = MOST_HELD) -> DataFrame:
+    """``(left, right)``: verified links that connect all members of a band's bucket which agree, directly or over others of it.
+
+    Buckets are aggregated to their least key and joined back, so a bucket that holds a third of all rows is never
+    collected, and links grow with its members, not with their pairs. Where that key rejects members, those and the
+    accepted ones are compared among themselves: in one worker up to ``most_held`` members, larger buckets after they
+    are divided by further rows, which separates no members that agree. Signatures that are equal are linked once before
     the banding, so copies do not pass through every band.
     """
     have = signed.where(F.col("sig").isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), "sig")
+    kind = have.schema["k"].dataType.simpleString()
     same = have.groupBy("sig").agg(F.min("k").alias("rep"))
-    copies = have.join(same, "sig").where("k <> rep").select(F.col("k").alias("left"), F.col("rep").alias("right")).distinct()
-    band = F.posexplode(F.array(*[F.xxhash64(F.slice("sig", rows * i + 1, rows)) for i in range(bands)]))
-    # the representative's signature travels with the least key, so verification needs no second join
-    banded = materialize(same.select(F.col("rep").alias("k"), "sig", band.alias("band", "code")), "bands")
-    reps = banded.groupBy("band", "code").agg(F.min(F.struct("k", "sig")).alias("r"), F.count("*").alias("n")).where("n > 1").drop("n")
-    near = banded.join(reps, ["band", "code"]).where(F.col("k") != F.col("r.k")).where(agree(F.col("sig"), F.col("r.sig")) >= min_agree)
-    return near.select(F.col("k").alias("left"), F.col("r.k").alias("right")).unionByName(copies).distinct()
+    found = have.join(same, "sig").where("k <> rep").select(F.col("k").alias("left"), F.col("rep").alias("right")).distinct()
+    first = F.array(*[_part(F.col("sig"), (1 << rows) - 1 << rows * i) for i in range(bands)])
+    # members that have the same label are connected already
+    at = same.select(F.col("rep").alias("k"), "sig", F.col("rep").alias("label"), F.explode(first).alias("b"))
+    while True:
+        members = materialize(at.select("b.mask", "b.code", "k", "sig", "label"), "bands")
+        # the representative's signature travels with the least key, so verification needs no second join
+        reps = members.groupBy("mask", "code").agg(F.min(F.struct("k", "sig", "label")).alias("r"), F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("z")).where("n > 1 and a <> z").drop("a", "z")
+        near = F.col("k").eqNullSafe(F.col("r.k")) | (agree(F.col("sig"), F.col("r.sig")) >= min_agree)
+        met = materialize(members.join(reps, ["mask", "code"]).select("mask", "code", "k", "sig", "n", F.col("r.k").alias("rep"), near.alias("near"), F.when(near, F.col("r.label")).otherwise(F.col("label")).alias("label")), "met")
+        found = found.unionByName(met.where("near and k <> rep").select(F.col("k").alias("left"), F.col("rep").alias("right")))
+        unlike = met.where("n > 2").groupBy("mask", "code").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select("mask", "code")
+        # the representative has been compared with all
+        open_ = materialize(met.where("n > 2 and k <> rep").join(unlike, ["mask", "code"]).select("mask", "code", "k", "sig", "label", "n"), "open")
+        held = open_.where(F.col("n") <= most_held).drop("n").repartition("mask", "code").sortWithinPartitions("mask", "code", "k")
+        found = found.unionByName(held.mapInArrow(_link_buckets(min_agree), f"left {kind}, right {kind}"))
+        large = open_.where(F.col("n") > most_held)
+        masks = [r[0] for r in large.select("mask").distinct().collect()]
+        if not masks:
+            return found.distinct()
+        pieces = F.lit(None).cast("array<struct<mask: bigint, code: bigint>>")
+        for mask in masks:
+            if finer := _finer(mask, min_agree):
+                pieces = F.when(F.col("mask") == mask, F.array(*[_part(F.col("sig"), m) for m in finer])).otherwise(pieces)
+        # one division may be reached over several others
+        at = large.select("k", "sig", "label", F.explode(pieces).alias("b")).groupBy("b", "k").agg(F.first("sig").alias("sig"), F.min("label").alias("label"))
 
 
 def components(edges: DataFrame, left: str = "left", right: str = "right", most_rounds: int = 60) -> DataFrame:

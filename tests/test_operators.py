@@ -86,6 +86,30 @@ def test_near_duplicates(spark, parts):
     assert neardup.clusters(d.limit(0), "doc_id", "text").count() == 0
 
 
+@pytest.mark.parametrize("held", [4096, 4])
+def test_links_in_a_bucket_whose_least_key_is_unlike_the_rest(spark, held):
+    rng = random.Random(5)
+    base = [rng.randint(0, 1 << 40) for _ in range(32)]
+    free = iter(range(1 << 41, 1 << 42))
+    change = lambda sig, rows: [next(free) if i in rows else x for i, x in enumerate(sig)]
+    # all share the first band only with key 0; 1 and 2 agree in 22 rows, 2 and 3 in 21, 1 and 3 in fewer; every other band of a pair differs in a row
+    one = change(base, range(4, 32, 4))
+    two = change(one, (5, 9, 13, 17, 21, 25, 29, 6, 10, 14))
+    three = change(two, (5, 9, 13, 17, 21, 25, 29, 7, 11, 15, 19))
+    rest = [change(base, range(4, 32)) for _ in range(6)]
+    sigs = [change(base, range(4, 32)), one, two, three, *rest]
+    got = neardup.links(spark.createDataFrame(list(enumerate(sigs)), "k long, sig array<long>"), "k", most_held=held).collect()
+    assert {(max(r), min(r)) for r in got} == {(2, 1), (3, 2)}
+
+
+def test_divided_buckets_lose_no_pair():
+    for mask in (15, 15 << 28, neardup._finer(15, 21)[3]):
+        for _ in range(300):
+            differ = set(random.Random(_).sample([i for i in range(32) if not mask >> i & 1], 11))
+            assert any(not any(m >> i & 1 for i in differ) for m in neardup._finer(mask, 21))
+    assert neardup._finer((1 << 21) - 1, 21) == []
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(3)
     edges = [(rng.randint(0, 200), rng.randint(0, 200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 340)] + [(5, 5)]
