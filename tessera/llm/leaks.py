@@ -1,13 +1,14 @@
 """Evaluation texts that leaked into training texts (problem 8).
 
-Latent semantic retrieval. The corpus's passages are stretches of words of the evaluation vocabulary, which any
-leaked run of words lies in. A distributed randomised SVD of their TF-IDF vectors gives a latent space; passages
-whose cosine with an evaluation passage is high are candidates; exact runs, or the longest common subsequence
+Latent semantic retrieval. The corpus's passages are runs of words of the evaluation vocabulary, and for paraphrases
+windows of a sentence's length. A distributed randomised SVD of the TF-IDF vectors of runs gives a latent space;
+passages whose cosine with an evaluation passage is high are candidates; exact runs, or the longest common subsequence
 and the answer's rare words, decide.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -28,6 +29,8 @@ RANK, EXTRA = 64, 16
 COSINE_RUN, COSINE_PARAPHRASE = 0.95, 0.6
 #: Share of a sentence's words that its paraphrase keeps in order, and of its rarest words ("answer") that it names.
 KEPT_ORDER, KEPT_ANSWER = 0.6, 0.6
+#: Known words of the shortest paraphrase.
+LEAST_KEPT = math.ceil(KEPT_ORDER * RUN_WORDS)
 #: The evaluation set is held by every worker; larger sets must be given in blocks of items.
 MOST_ITEMS, MOST_CHARS = 200_000, 200_000_000
 
@@ -51,23 +54,26 @@ class EvalIndex:
         self.run_keys = [sorted(at[tuple(r)]) for r in self.run_ids.tolist()]
         self.sentences = sorted(sentences)
         self.sentence_keys = [sorted(sentences[s]) for s in self.sentences]
+        # words of like weight have the cosine only in windows up to this length, unknown ones in between counted too
+        self.window = [math.ceil(len(s) / COSINE_PARAPHRASE**2) for s in self.sentences]
+        self.longest = max(self.window, default=GAP)
 
 
-def _stretches(ids: list[int]) -> Iterator[tuple[int, list[int]]]:
-    """Start and ids of the stretches with at least RUN_WORDS known words and at most GAP unknown ones (-1) in a row."""
+def _stretches(ids: list[int], least: int = RUN_WORDS, gap: int = GAP) -> Iterator[tuple[int, list[int]]]:
+    """Start and ids of the stretches with at least ``least`` known words and at most ``gap`` unknown ones (-1) in a row."""
     start, known, last = -1, 0, -1
     for i, w in enumerate(ids):
         if w < 0:
             continue
-        if start >= 0 and i - last - 1 > GAP:
-            if known >= RUN_WORDS:
+        if start >= 0 and i - last - 1 > gap:
+            if known >= least:
                 yield start, ids[start : last + 1]
             start = -1
         if start < 0:
             start, known = i, 0
         known += 1
         last = i
-    if start >= 0 and known >= RUN_WORDS:
+    if start >= 0 and known >= least:
         yield start, ids[start : last + 1]
 
 
@@ -91,7 +97,7 @@ def _passages(index: EvalIndex):
                 seen.discard(-1)
                 if seen:
                     df[list(seen)] += 1
-                    for start, s in _stretches(ids):
+                    for start, s in _stretches(ids, LEAST_KEPT, index.longest):
                         keys.append(key)
                         starts.append(start)
                         out.append(s)
@@ -181,6 +187,80 @@ def lcs(a: list[int], b: tuple[int, ...]) -> int:
     return row[-1]
 
 
+class Paraphrases:
+    """Sentences that recur in a text within a window of their length, with gaps and changes.
+
+    A passage reaches from one of the sentence's words to another, is no longer than the window and must name enough of the
+    answer, so only surroundings of answer words are looked at: all passages that can pass are tried.
+    """
+
+    def __init__(self, index: EvalIndex, weighted: np.ndarray, sents_at: np.ndarray, answers: list[set[int]]):
+        self.index, self.weighted, self.sents_at, self.answers = index, weighted, sents_at, answers
+        self.words = [np.array(sorted(set(s)), np.int32) for s in index.sentences]
+        self.window = np.array(index.window, np.int64)
+        self.least_answer = np.array([max(1, math.ceil(KEPT_ANSWER * len(a) - 1e-9)) for a in answers], np.int64)
+        self.least_kept = [math.ceil(KEPT_ORDER * len(s) - 1e-9) for s in index.sentences]
+        pairs = np.array(sorted((w, j) for j, a in enumerate(answers) for w in a), np.int64).reshape(-1, 2)
+        self.sents = pairs[:, 1]
+        self.first = np.searchsorted(pairs[:, 0], np.arange(len(weighted) + 1))
+
+    def regions(self, flat: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """Sentence, start and end of the places whose windows hold enough of its answer words."""
+        pos = np.flatnonzero(flat >= 0)
+        w = flat[pos]
+        n = self.first[w + 1] - self.first[w]
+        pos, w, n = pos[n > 0], w[n > 0], n[n > 0]
+        if not len(pos):
+            return
+        at = np.repeat(pos, n)
+        sent = self.sents[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[w], n)]
+        order = np.lexsort((at, sent))
+        at, sent = at[order], sent[order]
+        last = np.arange(len(at)) + self.least_answer[sent] - 1
+        inside = np.flatnonzero(last < len(at))
+        inside = inside[(sent[last[inside]] == sent[inside]) & (at[last[inside]] - at[inside] < self.window[sent[inside]])]
+        s, size = sent[inside], self.window[sent[inside]]
+        begin, end = np.maximum(at[last[inside]] - size + 1, 0), np.minimum(at[inside] + size, len(flat))
+        if not len(s):
+            return
+        new = np.r_[True, (s[1:] != s[:-1]) | (begin[1:] > end[:-1])]
+        yield from zip(s[new].tolist(), begin[new].tolist(), end[np.r_[new[1:], True]].tolist(), strict=True)
+
+    def find(self, stretches: list[list[int]]) -> Iterator[tuple[int, int, int, float]]:
+        """Stretch, sentence, words kept in order and cosine of the passages that pass."""
+        between = [-1] * self.index.longest
+        starts = np.cumsum([0, *(len(s) + len(between) for s in stretches)])
+        flat = np.array([w for s in stretches for part in (s, between) for w in part], np.int64)
+        for j, begin, end in self.regions(flat):
+            part, least, size = flat[begin:end], self.least_kept[j], int(self.window[j])
+            mine = np.flatnonzero(np.isin(part, self.words[j]))
+            if len(mine) < least:
+                continue
+            first = np.flatnonzero(mine[least - 1 :] - mine[: len(mine) - least + 1] < size)
+            if not len(first):
+                continue
+            sums, sentence = None, self.index.sentences[j]
+            kept = part[mine].tolist()
+            for a in first.tolist():
+                row, named = [0] * (len(sentence) + 1), set()
+                for b in range(a, len(mine)):
+                    if mine[b] - mine[a] >= size:
+                        break
+                    x, diagonal = kept[b], 0
+                    for k, y in enumerate(sentence, 1):
+                        diagonal, row[k] = row[k], diagonal + 1 if x == y else max(row[k], row[k - 1])
+                    if x in self.answers[j]:
+                        named.add(x)
+                    if row[-1] >= least and len(named) >= self.least_answer[j]:
+                        if sums is None:
+                            each = np.where((part >= 0)[:, None], self.weighted[np.maximum(part, 0)], 0)
+                            sums = np.vstack([np.zeros_like(each[:1]), each.cumsum(axis=0)])
+                        v = sums[mine[b] + 1] - sums[mine[a]]
+                        cos = float(v @ self.sents_at[j] / max(np.linalg.norm(v), 1e-12))
+                        if cos >= COSINE_PARAPHRASE:
+                            yield int(np.searchsorted(starts, begin + mine[a], "right")) - 1, j, row[-1], cos
+
+
 def _decide(index: EvalIndex, words: np.ndarray, idf: np.ndarray):
     """Candidates by cosine in the latent space, then the exact run or the paraphrase test."""
     weighted = words * idf[:, None].astype(np.float32)
@@ -188,6 +268,8 @@ def _decide(index: EvalIndex, words: np.ndarray, idf: np.ndarray):
     sents_at = _unit(np.array([weighted[list(s)].sum(axis=0) for s in index.sentences], np.float32)) if index.sentences else runs_at[:0]
     answers = [set(sorted(set(s), key=lambda w: (-idf[w], w))[: max(2, len(set(s)) // 4)]) for s in index.sentences]
 
+    paraphrases = Paraphrases(index, weighted, sents_at, answers)
+
     def near(x: np.ndarray, to: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
         for at in range(0, len(x), 1024):
             for to_at in range(0, len(to), 8192):
@@ -198,7 +280,12 @@ def _decide(index: EvalIndex, words: np.ndarray, idf: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[str, str, str], tuple[int, float]] = {}
-            keys, stretches = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            wide_keys, wide = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            keys, stretches = [], []
+            for key, ids in zip(wide_keys, wide, strict=True):
+                for _, s in _stretches(ids):
+                    keys.append(key)
+                    stretches.append(s)
             windows = [_windows(s) for s in stretches]
             owner = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
             every = np.concatenate(windows) if windows else np.zeros((0, RUN_WORDS), np.int32)
@@ -213,15 +300,10 @@ def _decide(index: EvalIndex, words: np.ndarray, idf: np.ndarray):
                             for e in index.run_keys[j]:
                                 n, c = found.get((keys[o], e, "run"), (0, 0.0))
                                 found[keys[o], e, "run"] = (n + 1, max(c, cos))
-            known = [[w for w in s if w >= 0] for s in stretches]
-            if known and len(sents_at):
-                at = _unit(np.array([weighted[k].sum(axis=0) for k in known], np.float32))
-                for i, j, cos in near(at, sents_at, COSINE_PARAPHRASE):
-                    s = index.sentences[j]
-                    if len(answers[j] & set(known[i])) >= KEPT_ANSWER * len(answers[j]) and (n := lcs(known[i], s)) >= KEPT_ORDER * len(s):
-                        for e in index.sentence_keys[j]:
-                            old = found.get((keys[i], e, "paraphrase"), (0, 0.0))
-                            found[keys[i], e, "paraphrase"] = max(old, (n, cos))
+            for i, j, n, cos in paraphrases.find(wide):
+                for e in index.sentence_keys[j]:
+                    old = found.get((wide_keys[i], e, "paraphrase"), (0, 0.0))
+                    found[wide_keys[i], e, "paraphrase"] = max(old, (n, cos))
             rows = [(*k, *v) for k, v in sorted(found.items())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.float64())],
@@ -254,4 +336,4 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     passages = made.where("ids is not null").select("key", "ids")
     words = latent_space(passages, index.run_ids, idf) if len(index.run_ids) else np.zeros((len(idf), 1), np.float32)
     hits = passages.mapInArrow(_decide(index, words, idf), "key string, eval_id string, kind string, words long, cosine double")
-    return hits.groupBy("key", "eval_id", "kind").agg(F.sum("words").alias("words"), F.max("cosine").alias("cosine")).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
+    return hits.groupBy("key", "eval_id", "kind").agg(F.when(F.col("kind") == "run", F.sum("words")).otherwise(F.max("words")).alias("words"), F.max("cosine").alias("cosine")).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)

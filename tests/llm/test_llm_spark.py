@@ -128,6 +128,18 @@ def test_leaks_paraphrase_and_empty(spark):
     assert leaks.leaks(docs, "doc_id", "text", items.limit(0), "id", "text").count() == 0
 
 
+def test_leaks_paraphrases_inside_long_documents(spark):
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(300)]
+    sentences = [rng.sample(vocab, n) for n in (8, 12, 20) for _ in range(6)]
+    items = spark.createDataFrame([(f"i{k}", " ".join(s) + ".") for k, s in enumerate(sentences)], "id string, text string")
+    # a foreign word after every fourth, in documents of evaluation words throughout
+    around = lambda: [rng.choice(vocab) for _ in range(200)]
+    docs = [(k, " ".join([*around(), *(x for i, w in enumerate(s) for x in ([w, "new"] if i % 4 == 3 else [w])), *around()])) for k, s in enumerate(sentences)]
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", items, "id", "text").where("kind = 'paraphrase'")
+    assert {(r["doc_id"], r["eval_id"]) for r in got.collect()} >= {(k, f"i{k}") for k in range(len(sentences))}
+
+
 def test_restoring_and_redacting_tables(spark):
     bad = encodings._decode("हमारे गाँव में".encode(), "cp1252")
     df = spark.createDataFrame([(1, bad), (2, "fine"), (3, None), (4, ""), (1, bad)], "doc_id long, text string").withColumn("spans", F.lit(3))

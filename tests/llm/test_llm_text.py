@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tessera.llm import abuse, encodings, language, leaks, pii, tokens
@@ -161,3 +162,12 @@ def test_abuse_is_told_from_talk_about_it():
 
 def test_longest_common_subsequence():
     assert leaks.lcs([1, 2, 3, 4], (2, 4, 5)) == 2 and leaks.lcs([], (1,)) == 0
+
+
+def test_paraphrases_shorter_than_a_run():
+    index = leaks.EvalIndex([("i", "alpha beta gamma delta epsilon zeta eta theta.")])
+    near = leaks.Paraphrases(index, np.eye(8, dtype=np.float32), np.full((1, 8), 8**-0.5, np.float32), [{0, 7}])
+    for kept, found in (([0, 2, 3, 5, 7], [(1, 0, 5)]), ([0, 2, 5, 7], []), ([0, 1, 2, 3, 4], []), ([7, 5, 3, 2, 0], [])):
+        text = [-1] * 60 + [w for k in kept for w in (k, -1, -1)] + [-1] * 60
+        held = [ids for _, ids in leaks._stretches(text, leaks.LEAST_KEPT, index.longest)]
+        assert list(dict.fromkeys(x[:3] for x in near.find([[1, 1], *held]))) == found
