@@ -141,7 +141,7 @@ def token_counts(df: DataFrame, text: str, keep: list[str], path: str | None = N
     """``keep`` columns, ``n_tokens`` and ``n_bytes`` of every row's text, and with ``model`` its main ``language`` and its
     ``domain``: the kept column ``tag``, or where that is null or blank the classifier's.
 
-    Null texts have 0 tokens and bytes and no language. Texts are counted whole; repeated rows are counted again.
+    Null texts have 0 tokens and bytes and no language. Texts are counted and classified whole; repeated rows are counted again.
     """
     spark = df.sparkSession
     ranks = spark.sparkContext.broadcast(vocabulary(path or f"{TOKENIZERS}/{VOCABULARY}"))
@@ -163,7 +163,7 @@ def token_counts(df: DataFrame, text: str, keep: list[str], path: str | None = N
             if classifier:
                 langs = [classifier.main(t) for t in texts]
                 tags = batch.column(keep.index(tag)).to_pylist() if tag else [None] * len(texts)
-                domains = [g if g and g.strip() else classify_text(t, lang) for g, t, lang in zip(tags, texts, langs, strict=True)]
+                domains = [g if g and g.strip() else classify_text(t, lang, probe=None) for g, t, lang in zip(tags, texts, langs, strict=True)]
                 cols += [pa.array(langs, pa.string()), pa.array(domains, pa.string())]
                 names += ["language", "domain"]
             yield pa.RecordBatch.from_arrays(cols, names)

@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 
+from tessera.functions import domain
 from tessera.llm import abuse, encodings, language, leaks, pii, tokens
 
 HIN = ["यह पुराना बाजार बहुत बड़ा है और लोगों को पसंद है।", "हमारे गाँव में नदी के पास एक मंदिर बनाया गया।", "लोग कहते हैं कि स्कूल अब बंद रहता है।"]
@@ -171,3 +172,11 @@ def test_paraphrases_shorter_than_a_run():
         text = [-1] * 60 + [w for k in kept for w in (k, -1, -1)] + [-1] * 60
         held = [ids for _, ids in leaks._stretches(text, leaks.LEAST_KEPT, index.longest)]
         assert list(dict.fromkeys(x[:3] for x in near.find([[1, 1], *held]))) == found
+
+
+def test_domain_of_whole_texts():
+    long = "plain words " * 500 + " loan interest bank credit insurance mortgage deposit " * 3
+    signals = "\nimport os\ndef f(x):\n    return x\nclass A:\n    pass\n#include <a.h>\nconst x = 1;\n"
+    for text in (long, "plain words " * 500 + signals):
+        assert domain.classify_text(text, "eng") == "general"
+        assert domain.classify_text(text, "eng", probe=None) == domain.classify_text(text[5900:], "eng") != "general"
