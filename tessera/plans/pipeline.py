@@ -41,7 +41,7 @@ def read(spark: SparkSession, registry_path: str, only: list[str] | None = None)
     for ordinal, r in enumerate(rows):
         path = r["path"] if os.path.isabs(r["path"]) else os.path.join(root, r["path"])
         with open(path, "rb") as f:
-            returns = b"\r" in f.read(1 << 20)
+            returns = any(b"\r" in part for part in iter(lambda: f.read(1 << 20), b""))
         one = corpus.documents(spark, path, normalize=returns).select(F.lit(r["shard_id"]).alias("shard_id"), F.lit(ordinal).alias("shard_ord"), F.lit(r["language"]).alias("language"), "doc_index", "text")
         docs = one if docs is None else docs.unionByName(one)
     return gated, materialize(docs.withColumn("doc_hash", hashing.doc_hash(F.col("text"))).withColumn("n_bytes", F.octet_length("text")), "corpus")

@@ -127,3 +127,11 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 5 and got.where("script = 'latn' and quality_score is not null").count() == 5
+
+
+def test_carriage_returns_late_in_a_file(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"word " * 220_000 + b"\n\nsecond\r\n\r\nthird\r\nline\r\n\r\nfourth")
+    row = {"shard_id": "a", "path": "a.txt", "source": "s", "license": "l", "date_acquired": "2025-01-01", "data_class": "public", "language": "eng"}
+    (tmp_path / "registry.json").write_text(json.dumps({"registry_version": 1, "shards": [row]}))
+    docs = pipeline.read(spark, str(tmp_path / "registry.json"))[1].where("doc_index > 0").orderBy("doc_index").collect()
+    assert [r["text"] for r in docs] == ["second", "third\nline", "fourth"]
