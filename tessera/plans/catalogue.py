@@ -270,7 +270,7 @@ def html_strip(spark: SparkSession, folder: str) -> DataFrame:
 def token_ratio(spark: SparkSession, folder: str) -> DataFrame:
     from tessera.operators.tokenizer_lab import token_ratios
 
-    return token_ratios(sampling.stride(table(spark, folder, "documents"), 5), "lang", "text")
+    return token_ratios(table(spark, folder, "documents"), "lang", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.toxicity import Lexicon
 from tessera.operators import contamination, dedup, gate, lm, manifest, neardup, sampling, verdict
+from tessera.plans import catalogue
 from tessera.plugins import TextPlugin, identities, load, min_words
 
 BASE = "the quick brown fox jumps over the lazy dog while the farmer counts every sheep on the green hill near the old mill and the river runs slowly past the stone bridge toward the quiet sea at dawn"
@@ -201,3 +202,9 @@ def test_roll_ups_and_unions(spark):
         with pytest.raises(ValueError):
             manifest.unite([m, m | bad])
     assert manifest.build_warnings(0, 5)[0].startswith("EMPTY") and manifest.build_warnings(1, 5)[0].startswith("HIGH") and manifest.build_warnings(4, 5) == []
+
+
+def test_token_ratio_measures_every_document(spark, tmp_path):
+    docs = spark.createDataFrame([(i, lang, "a few words") for i, lang in ((0, "eng"), (1, "eng"), (2, "Rare"))], "doc_index long, lang string, text string")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert sum(r["measured_docs"] for r in catalogue.queries()["token_ratio"](spark, str(tmp_path)).collect()) == 3
