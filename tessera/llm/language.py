@@ -1,15 +1,17 @@
 """Language of texts and of the segments of mixed texts (problem 6).
 
 Compression classification: for every language, and every script it is written in, raw text becomes a zstandard
-dictionary; a sentence belongs to the language whose dictionary makes it smallest. A narrow margin decides nothing.
+dictionary; a sentence belongs to the language whose dictionary makes it smallest. A narrow margin decides nothing, and a
+sentence that no dictionary makes small enough has no language.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,8 @@ from tessera.llm.encodings import restore
 TEXTS_PER_LABEL, SENTENCES_PER_TEXT = 320, 24
 #: Bytes of a dictionary and zstandard's level.
 DICTIONARY_BYTES, LEVEL = 32_000, -3
+#: Rounds in which a dictionary is filled.
+FILL_ROUNDS = 8
 #: Bytes compressed at once where a whole text is classified, few enough that the dictionary still tells.
 BLOCK_BYTES = 4096
 #: A sentence has this many words and letters at least.
@@ -30,8 +34,11 @@ SENTENCE_WORDS, SENTENCE_LETTERS = 4, 12
 #: The share of itself by which the second smallest size is larger than the smallest: below MARGIN it is narrow, and a sentence
 #: is then only told from languages that are not the rest of the text's or its label's; below LEAST_MARGIN it decides nothing.
 MARGIN, LEAST_MARGIN = 0.2, 0.05
-#: Median size with the own dictionary, as a share of the best other one's, below which a written form is a language form of its own.
-DISTINCT = 0.85
+#: Sentences of a label in a script from which it is tried as a language of that script, and the share of them that their own
+#: half-made dictionary must claim against those of all other labels.
+LEAST_SENTENCES, OWN_SHARE = 8, 2 / 3
+#: A sentence is rejected if it stays larger than this many times what nine in ten unseen sentences of the language come to.
+REJECT = 1.6
 
 # Scripts by Unicode block (first, last).
 SCRIPTS = {
@@ -124,94 +131,153 @@ def is_code(s: str) -> bool:
     return len(_CODE.findall(s)) >= 3 or bool(_CODE_START.match(s) and _CODE.search(s))
 
 
+def _letters(s: str) -> int:
+    """Letters of a sentence; counting stops once there are enough for a whole one."""
+    n = len(_LETTERS.findall(s, 0, 60))
+    return n if n >= SENTENCE_LETTERS else n + len(_LETTERS.findall(s, 60))
+
+
 def _sizer(data: bytes) -> zstandard.ZstdCompressor:
     d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
     d.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-def _fill(parts: list[bytes]) -> bytes:
-    out, n = [], 0
-    for p in dict.fromkeys(parts):
-        if n + len(p) > DICTIONARY_BYTES:
+def _fill(parts: list[bytes], rounds: int = 1) -> bytes:
+    """Raw content of at most DICTIONARY_BYTES: the first sentences, then, in rounds, those that what is chosen so far makes
+    least small, so that a bounded dictionary covers what the language's sentences say and not only how often."""
+    left, out, n = list(dict.fromkeys(parts)), [], 0
+    while left and n < DICTIONARY_BYTES:
+        if out:
+            have = _sizer(b"\n".join(out))
+            left.sort(key=lambda b: -len(have.compress(b)) / max(1, len(b)))
+        room, at = n + DICTIONARY_BYTES // rounds, 0
+        while at < len(left) and n < room and n + len(left[at]) < DICTIONARY_BYTES:
+            n += len(left[at]) + 1
+            at += 1
+        if not at:
             break
-        out.append(p)
-        n += len(p) + 1
+        out, left = out + left[:at], left[at:]
     return b"\n".join(out)
 
 
-def train(labelled: list[tuple[str, str]]) -> dict[tuple[str, str], bytes]:
-    """``{(language, script): raw content}`` from ``(language, text)`` pairs whose labels may be wrong.
+def _claimed(pools: dict[str, list[bytes]]) -> dict[str, list[list[str]]]:
+    """The labels that explain each sentence best, by dictionaries made of the other half of every label's sentences."""
+    halves = [{k: _sizer(_fill(p[h::2])) for k, p in pools.items()} for h in (0, 1)]
+    out: dict[str, list[list[str]]] = {}
+    for lang, parts in pools.items():
+        out[lang] = []
+        for i, b in enumerate(parts):
+            sizes = {k: len(c.compress(b)) for k, c in halves[1 - i % 2].items()}
+            least = min(sizes.values())
+            out[lang].append([k for k, n in sizes.items() if n == least])
+    return out
+
+
+def languages_of_script(pools: dict[str, list[bytes]], shares: dict[str, float]) -> dict[str, list[bytes]]:
+    """The labels that are languages of a script, each with its own sentences.
 
-    A language has a dictionary in a script only if its sentences there compress clearly better with their own
-    sentences than with the other languages of that script; sentences that fit another language better are removed.
+    The script that most of a label's sentences are in is one of its language. Elsewhere wrong labels and foreign sentences
+    put one language's sentences under several labels, and then no dictionary claims most of its own unseen sentences: as
+    long as such a label falls short of OWN_SHARE, it or the one that claims most of the rest is removed, namely the one
+    with the smaller share of its sentences in this script; the pair with the smallest such share comes first. The labels'
+    sizes and order make no difference. Of the languages left, sentences that are likelier another one's are removed.
     """
+    pools = dict(pools)
+    home = {k for k in pools if 2 * shares[k] > 1}
+    while len(pools) > 1 and pools.keys() - home:
+        pairs = []
+        for k, c in _claimed(pools).items():
+            claims = {o: sum((o in best) / len(best) for best in c) / len(c) for o in pools}
+            if k not in home and claims[k] < OWN_SHARE:
+                other = max((o for o in pools if o != k), key=lambda o: (claims[o], shares[o], o))
+                pairs.append(min((shares[k], k), (shares[other], other)) if other not in home else (shares[k], k))
+        if not pairs:
+            break
+        del pools[min(pairs)[1]]
+    return _own(pools)
+
+
+def _own(pools: dict[str, list[bytes]]) -> dict[str, list[bytes]]:
+    """Each language's sentences without those whose words are likelier under another one, twice over. Shares of words
+    tell where the foreign sentences of a small pool repeat each other, which dictionaries would take for its own."""
+    for _ in range(2 if len(pools) > 1 else 0):
+        counts = {k: Counter(w for b in p for w in b.split()) for k, p in pools.items()}
+        kinds = len(set().union(*counts.values()))
+        totals = {k: c.total() + kinds / 2 for k, c in counts.items()}
+
+        def likely(k: str, words: list[bytes]) -> float:
+            return sum(log((counts[k][w] + 0.5) / totals[k]) for w in words)
+
+        pools = {k: [b for b in p if likely(k, b.split()) >= max(likely(o, b.split()) for o in pools)] for k, p in pools.items()}
+    return pools
+
+
+def _limit(parts: list[bytes]) -> float:
+    """The size, as a share of itself, from which a sentence is not the language's; judged by unseen sentences."""
+    halves = [_sizer(_fill(parts[h::2])) for h in (0, 1)]
+    ratios = sorted(len(halves[1 - i % 2].compress(b)) / len(b) for i, b in enumerate(parts) if b)
+    return REJECT * ratios[len(ratios) * 9 // 10] if ratios else 0.0
+
+
+Model = dict[tuple[str, str], tuple[bytes, float]]
+
+
+def train(labelled: list[tuple[str, str]]) -> Model:
+    """``{(language, script): (raw content, largest share)}`` from ``(language, text)`` pairs whose labels may be wrong."""
     pool: dict[tuple[str, str], list[bytes]] = defaultdict(list)
+    total: dict[str, int] = defaultdict(int)
     for lang, text in labelled:
         text = restore(text)[0] or ""
-        got = [s for s in sentences(text) if len(s.split()) >= SENTENCE_WORDS][:SENTENCES_PER_TEXT]
-        for s in got:
+        for s in [s for s in sentences(text) if len(s.split()) >= SENTENCE_WORDS][:SENTENCES_PER_TEXT]:
             sc = script_of(s)
             if sc and not (sc == "latn" and is_code(s)):
                 pool[lang, sc].append(clean(s).encode())
-    by_script: dict[str, list[str]] = defaultdict(list)
-    for (lang, sc), parts in sorted(pool.items(), key=lambda x: (-len(x[1]), x[0])):
-        if len(parts) >= 40:
-            by_script[sc].append(lang)
-    model: dict[tuple[str, str], bytes] = {}
-    for sc, langs in by_script.items():
-        accepted: dict[str, list[bytes]] = {}
-        for lang in langs:
-            mine = pool[lang, sc]
-            if not accepted:
-                accepted[lang] = mine
-                continue
-            own, test = _sizer(_fill(mine[::2])), mine[1::2][:600]
-            others = [_sizer(_fill(p)) for p in accepted.values()]
-            ratios = sorted(len(own.compress(b)) / min(len(c.compress(b)) for c in others) for b in test)
-            if ratios[len(ratios) // 2] < DISTINCT:
-                accepted[lang] = mine
-        for _ in range(2):  # drop wrongly labelled and foreign sentences, judged by dictionaries of the other half
-            if len(accepted) == 1:
-                break
-            kept: dict[str, list[bytes]] = {}
-            halves = [{k: _sizer(_fill(p[h::2])) for k, p in accepted.items()} for h in (0, 1)]
-            for lang, parts in accepted.items():
-                keep = []
-                for i, b in enumerate(parts[:4000]):
-                    sizes = {k: len(c.compress(b)) for k, c in halves[1 - i % 2].items()}
-                    if sizes[lang] == min(sizes.values()):
-                        keep.append(b)
-                kept[lang] = keep or parts
-            accepted = kept
-        for lang, parts in accepted.items():
-            model[lang, sc] = _fill(parts)
+                total[lang] += 1
+    by_script: dict[str, dict[str, list[bytes]]] = defaultdict(dict)
+    for (lang, sc), parts in sorted(pool.items()):
+        if len(parts) >= LEAST_SENTENCES:
+            by_script[sc][lang] = parts
+    model: Model = {}
+    for sc, pools in by_script.items():
+        for lang, parts in languages_of_script(pools, {k: len(p) / total[k] for k, p in pools.items()}).items():
+            if parts:
+                model[lang, sc] = (_fill(parts, FILL_ROUNDS), _limit(parts))
     return model
 
 
 class Classifier:
     """Sizes under every dictionary; one per Python worker."""
 
-    def __init__(self, model: dict[tuple[str, str], bytes]):
-        self.by: dict[str, list[tuple[str, zstandard.ZstdCompressor]]] = defaultdict(list)
-        for (lang, sc), data in sorted(model.items()):
-            self.by[sc].append((lang, _sizer(data)))
+    def __init__(self, model: Model):
+        self.by: dict[str, list[tuple[str, zstandard.ZstdCompressor, float]]] = defaultdict(list)
+        for (lang, sc), (data, limit) in sorted(model.items()):
+            self.by[sc].append((lang, _sizer(data), limit))
+
+    def decide(self, s: str, sc: str | None, reject: bool = True) -> tuple[str | None, float]:
+        """Language and confidence of one sentence, None where no dictionary has its script or makes it small enough.
 
-    def decide(self, s: str, sc: str | None) -> tuple[str | None, float]:
-        """Language and confidence of one sentence; the confidence is 0.5 at MARGIN, None if no dictionary has its script."""
+        Between languages of one script the confidence is 0.5 at MARGIN. A script with one language has nothing to compare
+        with; there the confidence falls to 0.5 as the sentence's size comes to the limit. ``reject`` False, for what is
+        shorter than a sentence, takes the smallest whatever its size.
+        """
         langs = self.by.get(sc)
         if not langs:
             return None, 0.0
-        if len(langs) == 1:
-            return langs[0][0], 1.0
         b = clean(s).encode()
-        sizes = sorted((len(c.compress(b)), lang) for lang, c in langs)
-        margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
-        return sizes[0][1], min(1.0, margin / (2 * MARGIN))
+        sizes = sorted((len(c.compress(b)), lang, limit) for lang, c, limit in langs)
+        first, lang, limit = sizes[0]
+        ratio = first / max(1, len(b))
+        if reject and ratio > limit:
+            return None, 0.0
+        if len(sizes) == 1:
+            return lang, 0.5 + 0.5 * max(0.0, 1 - ratio / limit) if limit else 0.5
+        return lang, min(1.0, (sizes[1][0] - first) / sizes[1][0] / (2 * MARGIN))
 
     def main(self, text: str | None) -> str | None:
         """The language most of a whole text is written in: of the languages of its commonest script, the one whose
-        dictionary makes the text, block by block, smallest. Null for null, empty and unknown scripts."""
+        dictionary makes the text, block by block, smallest. Null for null and empty texts, unknown scripts, and texts that
+        no language of the script makes small enough."""
         if not text:
             return None
         data = np.frombuffer(restore(text)[0].lower().encode(), np.uint8)
@@ -224,11 +290,11 @@ class Classifier:
         langs = self.by.get(sc) if sizes[sc] else None
         if not langs:
             return None
-        if len(langs) == 1:
-            return langs[0][0]
         raw = data.tobytes()
         blocks = [raw[i : i + BLOCK_BYTES] for i in range(0, len(raw), BLOCK_BYTES)]
-        return min((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in langs)[1]
+        size, lang, limit = min((sum(len(c.compress(b)) for b in blocks), lang, limit) for lang, c, limit in langs)
+        long = text.count(" ") >= SENTENCE_WORDS - 1 and sizes[sc] >= SENTENCE_LETTERS
+        return None if long and size > limit * len(raw) else lang
 
     def segments(self, text: str | None, label: str | None = None, cut_at: int | None = None) -> list[tuple[str | None, float, int, int]]:
         """``(language, confidence, characters, whole sentences)`` of the segments of a text, in order.
@@ -247,7 +313,7 @@ class Classifier:
         weight: dict[str, float] = defaultdict(float)
         for i, s in enumerate(parts):
             sc = script_of(s)
-            full = (whole or i < len(parts) - 1) and s.count(" ") >= SENTENCE_WORDS - 1 and len(_LETTERS.findall(s, 0, 60)) >= SENTENCE_LETTERS
+            full = (whole or i < len(parts) - 1) and s.count(" ") >= SENTENCE_WORDS - 1 and _letters(s) >= SENTENCE_LETTERS
             lang, conf = self.decide(s, sc) if full and not (sc == "latn" and is_code(s)) else (None, 0.0)
             if lang:
                 weight[lang] += conf * len(s)
@@ -257,7 +323,7 @@ class Classifier:
         main = max(weight, key=lambda k: (weight[k], k)) if weight else label
         rows: list[list] = []
         for s, (lang, conf, sc) in zip(parts, seen, strict=True):
-            if lang and lang != main and conf < 0.5 and (2 * MARGIN * conf < LEAST_MARGIN or any(k == main for k, _ in self.by[sc])):
+            if lang and lang != main and conf < 0.5 and (2 * MARGIN * conf < LEAST_MARGIN or any(k == main for k, *_ in self.by[sc])):
                 lang = None
             if lang is None:
                 if rows:
@@ -273,8 +339,8 @@ class Classifier:
         if len(rows) == 1 and rows[0][0] is None:  # shorter than a sentence, or nothing was decided: the text as one
             sc = script_of(text)
             if not (sc == "latn" and is_code(text)) and len(_LETTERS.findall(text)) >= 3:
-                lang, conf = self.decide(text, sc)
-                if conf < 0.5 and any(k == label for k, _ in self.by.get(sc, ())):
+                lang, conf = self.decide(text, sc, text.count(" ") >= SENTENCE_WORDS - 1 and _letters(text) >= SENTENCE_LETTERS)
+                if conf < 0.5 and any(k == label for k, *_ in self.by.get(sc, ())):
                     lang = label
                 rows[0][:2] = lang, conf
         return [tuple(r) for r in rows]
@@ -284,14 +350,16 @@ _SEGMENT = pa.struct([("lang", pa.string()), ("confidence", pa.float64()), ("cha
 SCHEMA = "segments array<struct<lang:string,confidence:double,chars:bigint,sentences:bigint>>"
 
 
-def identify(df: DataFrame, text: str, label: str, model: dict[tuple[str, str], bytes], keep: list[str], cut_at: int | None = None) -> DataFrame:
+def identify(df: DataFrame, text: str, label: str, model: Model, keep: list[str], cut_at: int | None = None) -> DataFrame:
     """``keep`` columns and the language segments of ``text`` for every row; null and empty texts have no segments.
 
-    ``label`` holds a language code or null. Repeated rows give repeated rows.
+    ``label`` holds a language code or null. Repeated rows give repeated rows. The model, at most DICTIONARY_BYTES for each
+    language and script, is broadcast once.
     """
+    held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = Classifier(model)
+        c = Classifier(held.value)
         for batch in batches:
             n = batch.num_columns
             pairs = zip(batch.column(n - 1).to_pylist(), batch.column(n - 2).to_pylist(), strict=True)

@@ -33,14 +33,10 @@ def p1_budget(spark: SparkSession, folder: str) -> DataFrame:
 
 def p1_doc_tokens(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens, bytes, main language and domain of every document."""
-    from tessera.llm import language as L
     from tessera.llm import tokens as K
 
-    names = L.code_names(table(spark, folder, "lang_codes"))
     docs = table(spark, folder, "documents")
-    label = L.label_code(F.col("lang"), names)
-    model = L.train(L.training_sample(docs, label, "text", "doc_id"))
-    return K.token_counts(docs, "text", ["doc_id", "shard_id", "domain_tag"], model=model, tag="domain_tag").select("doc_id", "shard_id", "language", "domain", "n_tokens", "n_bytes")
+    return K.token_counts(docs, "text", ["doc_id", "shard_id", "domain_tag"], model=_language_model(spark, folder), tag="domain_tag").select("doc_id", "shard_id", "language", "domain", "n_tokens", "n_bytes")
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

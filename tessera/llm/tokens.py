@@ -145,15 +145,16 @@ def token_counts(df: DataFrame, text: str, keep: list[str], path: str | None = N
     """
     spark = df.sparkSession
     ranks = spark.sparkContext.broadcast(vocabulary(path or f"{TOKENIZERS}/{VOCABULARY}"))
+    held = spark.sparkContext.broadcast(model)
     kinds = dict(df.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = _counter(ranks.value)
         classifier = None
-        if model is not None:
+        if held.value is not None:
             from tessera.llm.language import Classifier
 
-            classifier = Classifier(model)
+            classifier = Classifier(held.value)
         for batch in batches:
             n = batch.num_columns - 1
             texts = batch.column(n).to_pylist()

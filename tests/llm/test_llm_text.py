@@ -66,6 +66,45 @@ def test_language_of_garbled_text_and_code():
     assert all(s[0] != "eng" for s in c.segments(f"{HIN[0]}\nfor (let i = 0; i < 9; i++) {{ log(x[i]); }}", "hin"))
 
 
+def _drawn(seed, sizes):
+    """Labelled texts of invented languages: two share a script, one of them is also romanised, texts have foreign
+    sentences and some labels are wrong."""
+    rng = random.Random(seed)
+    word = lambda lo, hi: "".join(chr(rng.randint(lo, hi)) for _ in range(rng.randint(3, 8)))
+    vocab = {"hin": [word(0x915, 0x939) for _ in range(120)], "eng": [word(97, 122) for _ in range(120)], "tam": [word(0xB95, 0xBB9) for _ in range(120)], "rom": [word(97, 122) for _ in range(60)]}
+    vocab["mar"] = vocab["hin"][:40] + [word(0x915, 0x939) for _ in range(80)]
+    said = lambda k: " ".join(rng.choice(vocab[k]) for _ in range(rng.randint(6, 14))) + ". "
+    out, probe = [], []
+    for lang, n in sizes.items():
+        for _ in range(n):
+            kinds = [rng.choice(list(sizes)) if rng.random() < 0.05 else lang for _ in range(6)]
+            if lang == "hin" and rng.random() < 0.12:
+                kinds = ["rom"] * 6
+            out.append((rng.choice(list(sizes)) if rng.random() < 0.04 else lang, "".join(map(said, kinds))))
+    for k in vocab:
+        probe += [("hin" if k == "rom" else k, said(k).strip()) for _ in range(60)]
+    return out, probe, [word(0xB95, 0xBB9) + " " + word(0xB95, 0xBB9) + " " + " ".join(word(0xB95, 0xBB9) for _ in range(8)) + "." for _ in range(60)]
+
+
+@pytest.mark.parametrize(
+    ("seed", "sizes"),
+    [(1, {"hin": 300, "eng": 300, "tam": 200, "mar": 200}), (2, {"mar": 300, "hin": 200, "tam": 300, "eng": 150}), (3, {"tam": 300, "mar": 320, "eng": 320, "hin": 90}), (4, {"hin": 320, "mar": 60, "tam": 40, "eng": 60})],
+)
+def test_languages_hold_whatever_the_draw(seed, sizes):
+    texts, probe, strange = _drawn(seed, sizes)
+    model = language.train(texts)
+    assert set(model) == {("hin", "deva"), ("mar", "deva"), ("eng", "latn"), ("hin", "latn"), ("tam", "taml")}
+    c = language.Classifier(model)
+    right = sum(c.decide(s, language.script_of(s))[0] == lang for lang, s in probe)
+    assert right >= 0.97 * len(probe)
+    assert sum(c.decide(s, "taml")[0] is None for s in strange) >= 0.9 * len(strange)  # no language because of its script alone
+
+
+def test_a_long_head_of_signs_does_not_hide_a_sentence():
+    c = _model()
+    assert c.segments("1234567890 " * 8 + HIN[0], "eng")[0][0] == "hin"
+
+
 def test_token_counts_equal_the_tokenizer():
     tiktoken = pytest.importorskip("tiktoken")
     ranks = tokens.vocabulary(f"{tokens.TOKENIZERS}/{tokens.VOCABULARY}")
