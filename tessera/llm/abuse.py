@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from math import log
 
 import numpy as np
@@ -41,13 +42,16 @@ _REPEAT = re.compile(r"(.)\1{2,}")
 _HIDDEN = re.compile(r"(?<=\w)\*+(?=\w)|(?<=\w)\*+")
 _LEETHINT = re.compile(r"[a-z][013457@$!|][a-z]|[a-z][013457@$|]|[013457@$!|][a-z]")
 _LEETWORD = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[013457@$!|])[a-z013457@$!|]{3,}(?=[^\w]*(?:\s|$))")
-_DIGIT = re.compile(r"\d|[²³¹]")
 _ALIKE = re.compile("[аеорсухіѕјԁһ]")
 
 
 def plain(s: str) -> str:
     """A text with disguises removed: look-alike characters, letters set apart, stretched letters, invisible signs."""
-    s = fold(s)
+    return _bare(fold(s))
+
+
+def _bare(s: str) -> str:
+    """The same of a folded text."""
     if not s.isascii() and _ALIKE.search(s):
         s = s.translate(_LIKE)
     s = _INNER.sub("", s)
@@ -58,21 +62,63 @@ def plain(s: str) -> str:
     return _HIDDEN.sub("*", s) if "*" in s else s
 
 
+# Kinds of characters that the patterns above need, one bit each.
+_AZ, _APART, _DIGITS, _DIGITS_ALONE, _JOINS, _STAR, _LIKES, _BLANK = (1 << i for i in range(8))
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    kinds = np.zeros(0x2100, np.uint8)
+    for chars, bit in (
+        ("abcdefghijklmnopqrstuvwxyz", _AZ), (" .-*_", _APART), ("013457@$!|", _DIGITS), ("013457@$|", _DIGITS_ALONE), (".-_·•", _JOINS), ("*", _STAR), ("".join(map(chr, range(0x400, 0x530))), _LIKES),
+        ("".join(map(chr, range(33))), _BLANK),
+    ):
+        kinds[[ord(c) for c in chars]] |= bit
+    return kinds
+
+
+def disguised(folded: list[str]) -> np.ndarray:
+    """Which folded texts may hold what :func:`_bare` removes, judged by pairs and triples of characters for all texts at once.
+    It flags some texts too many but misses none."""
+    lens = np.array([len(s) for s in folded], np.int64)
+    chars = np.frombuffer("".join(["\n\n\n\n", *(x for s in folded for x in (s, "\n")), "\n\n\n\n"]).encode("utf-32-le"), np.uint32)
+    k = _kinds()[np.minimum(chars, 0x20FF)]
+    at = lambda i: k[4 + i : len(k) - 4 + i]
+    here, before, after = at(0), at(-1), at(1)
+    alone = (here & _AZ > 0) & (before & after & _APART > 0)
+    alone &= ((at(-2) & _AZ > 0) & (at(-3) & _AZ == 0)) | ((at(-2) & _APART > 0) & (at(-3) & _AZ > 0) & (at(-4) & _AZ == 0))
+    odd = alone | (here & (_STAR | _LIKES) > 0)
+    odd |= (here & _JOINS > 0) & ((before | after) & _BLANK == 0)
+    odd |= ((here & _AZ > 0) & (after & _DIGITS_ALONE > 0)) | ((here & _DIGITS > 0) & (after & _AZ > 0))
+    c = chars[4 : len(chars) - 4]
+    odd |= (c == chars[5 : len(chars) - 3]) & (c == chars[6 : len(chars) - 2])
+    out = np.zeros(len(folded) + 1, bool)
+    out[np.searchsorted(np.cumsum(lens + 1), np.flatnonzero(odd), side="right")] = True
+    return out[: len(folded)]
+
+
 def parts(text: str | None) -> list[str]:
     """Sentences of a text without disguises. Line ends within the text are blanks here, since disguised text is broken anywhere."""
-    return [s for s in sentences(plain(text.replace("\r", " ").replace("\n", " "))) if s.strip()] if text else []
+    return [s for s in sentences(plain(_one_line(text))) if s.strip()] if text else []
+
+
+def _one_line(text: str) -> str:
+    return text.replace("\r", " ").replace("\n", " ")
+
+
+def _words(sentence: str) -> list[str]:
+    """Words of a plain sentence; one with hidden letters is one kind of word."""
+    if "*" not in sentence:
+        return plain_runs(sentence)
+    words = []
+    for part in sentence.split():
+        words += ["\x01"] if "*" in part and any(c.isalpha() for c in part) else plain_runs(part)
+    return words
 
 
 def features(sentence: str) -> list[str]:
-    """Words and pairs of words of a plain sentence; numbers are all alike, and a word with hidden letters is one kind."""
-    if "*" in sentence:
-        words = []
-        for part in sentence.split():
-            words += ["\x01"] if "*" in part and any(c.isalpha() for c in part) else ["0" if w.isdigit() else w for w in plain_runs(part)]
-    else:
-        words = plain_runs(sentence)
-        if _DIGIT.search(sentence):
-            words = ["0" if w.isdigit() else w for w in words]
+    """Words and pairs of words of a plain sentence; numbers are all alike."""
+    words = ["0" if w.isdigit() else w for w in _words(sentence)]
     return words + list(map(" ".join, zip(words, words[1:])))
 
 
@@ -95,6 +141,13 @@ class BlockMaxIndex:
             self.maxima[known, b] = dense[:-1].max(axis=1, initial=0)
             self.blocks.append((known, dense))
 
+    def cosines(self, b: int, terms: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Cosines of queries, consecutive runs of terms from ``starts``, with the examples of a block."""
+        known, dense = self.blocks[b]
+        place = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+        place[known[place] != terms] = len(known)
+        return np.add.reduceat(dense[place] * weights[:, None], starts, axis=0)
+
     def search(self, terms: np.ndarray, weights: np.ndarray, starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, cosines)`` of the k nearest of each query; queries are consecutive runs of terms from ``starts``."""
         q = len(starts)
@@ -107,13 +160,8 @@ class BlockMaxIndex:
         opened = np.zeros(bounds.shape, bool)
 
         def open_(b: int, qs: np.ndarray) -> None:
-            known, dense = self.blocks[b]
-            lens = ends[qs] - starts[qs]
-            at = np.repeat(starts[qs] - np.concatenate([[0], np.cumsum(lens)[:-1]]), lens) + np.arange(lens.sum())
-            asked = terms[at]
-            place = np.minimum(np.searchsorted(known, asked), len(known) - 1)
-            place[known[place] != asked] = len(known)
-            sims = np.add.reduceat(dense[place] * weights[at][:, None], np.concatenate([[0], np.cumsum(lens)[:-1]]), axis=0)
+            at, new, _ = _take(qs, starts, ends - starts)
+            sims = self.cosines(b, terms[at], weights[at], new)
             here = np.arange(b * BLOCK, (b + 1) * BLOCK)
             both = np.concatenate([best[qs], sims], axis=1)
             who = np.concatenate([ids[qs], np.broadcast_to(np.where(here < self.n, here, -1), sims.shape)], axis=1)
@@ -198,6 +246,8 @@ class Scorer:
         self.index = BlockMaxIndex(terms, weights, starts, len(idf))
         n = self.index.n
         blocks = [b for b in range(self.index.maxima.shape[1]) if self.label[b * BLOCK : min((b + 1) * BLOCK, n)].any()]
+        self.abusive_blocks = blocks
+        self.label_of = [np.append(self.label[b * BLOCK : min((b + 1) * BLOCK, n)], np.zeros(max(0, (b + 1) * BLOCK - n), np.float32)) for b in range(self.index.maxima.shape[1])]
         self.abusive = np.ascontiguousarray(self.index.maxima[:, blocks])
         self.abusive_most = self.abusive.max(axis=1) if blocks else np.zeros(len(idf), np.float32)
 
@@ -237,12 +287,19 @@ class Scorer:
             pick = np.nonzero(bound[at : at + SLICE] >= LEAST_COSINE)[0] + at
             if not len(pick):
                 continue
-            # a closer bound: the best of the abusive blocks instead of the best of each term
+            # a closer bound, the best of the abusive blocks instead of the best of each term, and then the blocks themselves
             take, new, _ = _take(pick, starts, lens)
-            pick = pick[np.add.reduceat(self.abusive[ids[take]] * w[take][:, None], new, axis=0).max(axis=1) >= LEAST_COSINE]
+            bounds = np.add.reduceat(self.abusive[ids[take]] * w[take][:, None], new, axis=0)
+            close = np.zeros(len(pick), bool)
+            for i, b in enumerate(self.abusive_blocks):
+                asked = np.nonzero(~close & (bounds[:, i] >= LEAST_COSINE))[0]
+                if len(asked):
+                    take, new, _ = _take(pick[asked], starts, lens)
+                    close[asked] = ((self.index.cosines(b, ids[take], w[take], new) >= LEAST_COSINE) & (self.label_of[b] > 0)).any(axis=1)
+            pick = pick[close]
             if not len(pick):
                 continue
-            take, new, sizes = _take(pick, starts, lens)
+            take, new, _ = _take(pick, starts, lens)
             found, sims = self.index.search(ids[take], w[take], new, NEIGHBOURS + without_self)
             if without_self:  # an example is its own nearest
                 found, sims = found[:, 1:], sims[:, 1:]
@@ -323,6 +380,59 @@ def encode(vocab: dict[str, int], sents: list[str]) -> tuple[list[int], list[flo
     return ids, tfs, lens, unknown
 
 
+class Encoder:
+    """:func:`encode` of many texts at once: words are numbered by their dictionary in Arrow, the rest is arithmetic."""
+
+    def __init__(self, vocab: list[str]):
+        self.vocab = {f: i for i, f in enumerate(vocab)}
+        self.size = max(1, len(vocab))
+        pairs = sorted((self.vocab[a] * self.size + self.vocab[b], i) for f, i in self.vocab.items() if " " in f for a, b in [f.split(" ")])
+        self.pair_keys = np.array([k for k, _ in pairs] or [-1], np.int64)
+        self.pair_ids = np.array([i for _, i in pairs] or [-1], np.int64)
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        """What :func:`pack` makes of the texts' encodings."""
+        plain_ = [fold(_one_line(t)) if t else "" for t in texts]
+        for i in np.flatnonzero(disguised(plain_)).tolist():
+            plain_[i] = _bare(plain_[i])
+        counts, words, per = [], [], []
+        for text in plain_:
+            n = 0
+            for s in sentences(text) if text else ():
+                if s.strip():
+                    got = _words(s)
+                    words += got
+                    per.append(len(got))
+                    n += 1
+            counts.append(n)
+        per = np.array(per, np.int64)
+        n, empty = len(per), np.zeros(0, np.int64)
+        if not words:
+            return np.array(counts, np.int64), empty, empty.astype(np.float64), np.zeros(n, np.int64), np.zeros(n)
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        kinds = ["0" if w.isdigit() else w for w in coded.dictionary.to_pylist()]
+        first: dict[str, int] = {}
+        same = np.array([first.setdefault(w, i) for i, w in enumerate(kinds)], np.int64)
+        known = np.array([self.vocab.get(w, -1) for w in kinds], np.int64)
+        word = same[coded.indices.to_numpy()]
+        owner = np.repeat(np.arange(n), per)
+        m = len(kinds)
+        if n * m * (m + 1) >= 1 << 62:  # too much for one number: text by text
+            return pack([encode(self.vocab, parts(t)) for t in texts])
+        beside = np.flatnonzero(owner[1:] == owner[:-1])
+        a, b = word[beside], word[beside + 1]
+        at = np.minimum(np.searchsorted(self.pair_keys, known[a] * self.size + known[b]), len(self.pair_keys) - 1)
+        pair = np.where((known[a] >= 0) & (known[b] >= 0) & (self.pair_keys[at] == known[a] * self.size + known[b]), self.pair_ids[at], -1)
+        ids = np.concatenate([known[word], pair])
+        keys = np.concatenate([word, m + a * m + b])
+        owners = np.concatenate([owner, owner[beside]])
+        told = ids >= 0
+        each, k = np.unique(owners[told] * self.size + ids[told], return_counts=True)
+        _, place, j = np.unique(owners[~told] * (m + m * m) + keys[~told], return_index=True, return_counts=True)
+        unknown = np.bincount(owners[~told][place], (1 + np.log(j)) ** 2, n)
+        return np.array(counts, np.int64), each % self.size, 1 + np.log(k), np.bincount(each // self.size, minlength=n), unknown
+
+
 def pack(encoded: list[tuple]) -> tuple[np.ndarray, ...]:
     """Encoded texts laid end to end: sentences of each text, then the four arrays of all sentences."""
     flat = lambda i, kind: np.array([x for e in encoded for x in e[i]], kind)
@@ -352,19 +462,20 @@ def _encoded(df: DataFrame, text: str, keep: list[str], vocab: list[str]) -> tup
 
     Every task writes its texts' rows and one last row of counts (``n`` not null), so texts are read and cut only once.
     """
-    held = df.sparkSession.sparkContext.broadcast({f: i for i, f in enumerate(vocab)})
+    held = df.sparkSession.sparkContext.broadcast(vocab)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, n = held.value, np.zeros(len(held.value), np.int64), 0
+        cut, counts, n = Encoder(held.value), np.zeros(len(held.value), np.int64), 0
         for batch in batches:
             m = batch.num_columns - 1
-            rows = [encode(known, parts(t)) for t in batch.column(m).to_pylist()]
-            for r in rows:
-                n += 1
-                if r[0]:
-                    counts[list(set(r[0]))] += 1
-            cols = [pa.array([r[i] for r in rows], pa.list_(kind)) for i, kind in enumerate((pa.int32(), pa.float32(), pa.int32(), pa.float32()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(m)), *cols, pa.nulls(len(rows), pa.int64())], [*batch.schema.names[:m], *_COLUMNS, "n"])
+            per, ids, tfs, lens, unknown = cut(batch.column(m).to_pylist())
+            text_of = np.repeat(np.arange(len(per)), per)
+            if len(ids):
+                counts += np.bincount(np.unique(np.repeat(text_of, lens) * cut.size + ids) % cut.size, minlength=len(counts))
+            n += len(per)
+            starts = np.concatenate([[0], np.cumsum(np.bincount(text_of, lens, len(per)).astype(np.int64))])
+            cols = [_lists(starts, ids, pa.int32()), _lists(starts, tfs, pa.float32()), *(_lists(np.concatenate([[0], np.cumsum(per)]), x, k) for x, k in ((lens, pa.int32()), (unknown, pa.float32())))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(m)), *cols, pa.nulls(len(per), pa.int64())], [*batch.schema.names[:m], *_COLUMNS, "n"])
             kinds = [batch.column(i).type for i in range(m)]
         if n:
             ids = np.nonzero(counts)[0]
@@ -380,6 +491,10 @@ def _encoded(df: DataFrame, text: str, keep: list[str], vocab: list[str]) -> tup
     return made.where("n is null").drop("n"), {r[0]: r[1] for r in sums}, total
 
 
+def _lists(starts: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values).cast(kind))
+
+
 _COLUMNS = ("ids", "tfs", "lens", "unknown")
 _SCORERS: dict[str, Scorer] = {}
 
@@ -412,8 +527,8 @@ def scores(df: DataFrame, text: str, keep: list[str], labelled: list[tuple[str,
             per = np.diff(lens.offsets.to_numpy())
             flat = lambda c, kind: c.flatten().to_numpy(zero_copy_only=False).astype(kind)
             value, near, cos = s.score(per, flat(ids, np.int64), flat(tfs, np.float64), flat(lens, np.int64), flat(unknown, np.float64))
-            evidence = [s.examples[i][0] if i >= 0 else None for i in near.tolist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(m)), pa.array(value, pa.float64()), pa.array(evidence, pa.string()), pa.array(cos, pa.float64())], [*batch.schema.names[:m], "score", "evidence", "cosine"])
+            said = pa.DictionaryArray.from_arrays(pa.array(near, pa.int32(), mask=near < 0), pa.array([t for t, _ in s.examples], pa.string())).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(m)), pa.array(value, pa.float64()), said, pa.array(cos, pa.float64())], [*batch.schema.names[:m], "score", "evidence", "cosine"])
 
     kinds = dict(df.dtypes)
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "score double, evidence string, cosine double"])

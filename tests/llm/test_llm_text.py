@@ -163,6 +163,21 @@ def test_undisguised_words():
     assert "pathetic" in abuse.plain("you p4th3t1c thing") and abuse.plain("scu​m") == "scum"
 
 
+def test_texts_encoded_at_once_equal_single_ones():
+    rng = random.Random(6)
+    bits = ["you", "m o r o n", "s.c.u.m", "scuuuum", "st0pid", "1dea", "id10t!", "f**l", "**", "a", "b", "१२", "42", "7 up", "मूर्खखख", "ना.ला.य.क", "а-б", "ѕсum", "e.g.", "...", "x\ny", "i a m", "ch*ap", "no!", "Liar.", "p 4 t", "A*B", "😀😀😀"]
+    texts = [rng.choice([" ", "  ", "", ". ", "\n"]).join(rng.choice(bits) for _ in range(rng.randint(1, 9))) for _ in range(4000)] + [None, "", " ", "x" * 9000]
+    vocab = sorted({f for t in texts[:900] for p in abuse.parts(t) for f in abuse.features(p)})
+    folded = [abuse.fold(abuse._one_line(t)) if t else "" for t in texts]
+    flags = abuse.disguised(folded)
+    assert all(flag or abuse._bare(f) == f for f, flag in zip(folded, flags, strict=True))
+    counts, ids, tfs, lens, unknown = abuse.pack([abuse.encode({f: i for i, f in enumerate(vocab)}, abuse.parts(t)) for t in texts])
+    got = abuse.Encoder(vocab)(texts)
+    order = np.lexsort((ids, np.repeat(np.arange(len(lens)), lens)))
+    assert np.array_equal(got[0], counts) and np.array_equal(got[3], lens) and np.allclose(got[4], unknown)
+    assert np.array_equal(got[1], ids[order]) and np.allclose(got[2], tfs[order])
+
+
 def _abuse_sample():
     rng = random.Random(2)
     good = [f"the {a} near the {b} was {c}" for a in ("well", "school", "market", "farm") for b in ("river", "road", "mill") for c in ("painted", "closed", "mapped")]
