@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tessera.llm import abuse, language, tokens
+from tessera.llm import abuse, language, pii, tokens
 
 
 def _previews():
@@ -79,3 +79,23 @@ def test_identify_tables(spark):
     df = spark.createDataFrame([(1, "hin", f"{hin} {eng}"), (2, None, ""), (3, "eng", None), (4, "eng", eng * 3000)], "rec long, label string, text string").withColumn("segments", F.lit(1))
     got = {r["rec"]: [s["lang"] for s in r["segments"]] for r in language.identify(df, "text", "label", model, ["rec"]).collect()}
     assert got == {1: ["hin", "eng"], 2: [], 3: [], 4: ["eng"]}
+
+
+def test_names_are_learned_from_the_table(spark):
+    rng = random.Random(4)
+    first, last = ["Anvelo", "Brimka", "Corvane", "Dulsha", "Ermindo", "Fostiq"], ["Galbrecht", "Hovanu", "Istrelli", "Jumbrae", "Kelstor", "Lomvik"]
+    hindi = [("अनवेलो", "गालब्रेख"), ("ब्रिमका", "होवानू"), ("कोरवेन", "इस्त्रेली")]
+    titled = ["Mr. {} came late to the fair.", "My name is {} and the bill is wrong.", "The room of Dr {} was painted."]
+    rows = [(i, rng.choice(titled).format(f"{a} {b}")) for i, (a, b) in enumerate((a, b) for a in first for b in last)]
+    rows += [(100 + i, f"श्री {a} {b} ने शिकायत की।") for i, (a, b) in enumerate(hindi)]
+    # sentences without a form of address or any word about persons
+    bare = ["The bill went to {} by mistake.", "Nothing was left for {} in the end.", "A parcel from {}; the rest is lost.", "{} paid twice, as the ledger shows."]
+    want = [(200 + i, rng.choice(bare).format(f"{rng.choice(first)} {rng.choice(['', 'K. '])}{rng.choice(last)}")) for i in range(60)]
+    want += [(300 + i, f"दुकान से {a} {b} को पैसा मिला।") for i, (a, b) in enumerate(hindi)]
+    none = [(400, "The Lotus Road bridge near Station Cross was closed."), (401, "The market in Galbrecht stayed open."), (402, "The Corvane Hovanu road is wet."), (403, None), (404, ""), (405, "WRITE TO ANVELO_HOVANU@EXAMPLE.ORG NOW"), (406, "a " * 100_000)]
+    df = spark.createDataFrame(rows + want + none + rows[:3], "rec long, text string").withColumn("spans", F.lit("clash")).repartition(5)
+    got = pii.detect(df, "text", ["rec"]).collect()
+    assert len(got) == len(rows) + len(want) + len(none) + 3
+    named = {r["rec"] for r in got if r["spans"] and any(s["kind"] == "name" for s in r["spans"])}
+    assert {i for i, _ in want} <= named and not named & {i for i, _ in none}
+    assert pii.name_words(df.limit(0), "text") == [] and len(pii.name_words(df, "text")) == 18

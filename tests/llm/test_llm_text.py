@@ -129,7 +129,7 @@ def test_token_counts_equal_the_tokenizer():
         ("Order 9641924535449248 was shipped twice on 2024-06-15", set()),
         ("Card 4111 1111 1111 1111 was copied", {"id_number"}),
         ("Account GB82 WEST 1234 5698 7654 32 please", {"id_number"}),
-        ("Invoice GB83WEST12345698765432 has a wrong check digit", set()),
+        ("The code GB83WEST12345698765432 is printed below", set()),
         ("Identity number ABCPD1234E in the corner", {"id_number"}),
         ("Home address: Flat 16, 43 Station Cross, Kelmipur 511974", {"address"}),
         ("मेरा पता मकान नंबर 43, बगिया मार्ग, नेडनगर - 270591 है।", {"address"}),
