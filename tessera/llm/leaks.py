@@ -31,8 +31,10 @@ COSINE_RUN, COSINE_PARAPHRASE = 0.95, 0.6
 KEPT_ORDER, KEPT_ANSWER = 0.6, 0.6
 #: Known words of the shortest paraphrase.
 LEAST_KEPT = math.ceil(KEPT_ORDER * RUN_WORDS)
-#: The evaluation set is held by every worker; larger sets must be given in blocks of items.
-MOST_ITEMS, MOST_CHARS = 200_000, 200_000_000
+#: Every worker holds the evaluation items of one block, at most about so many and so many characters; larger sets take several.
+MOST_ITEMS, MOST_CHARS = 50_000, 50_000_000
+#: A query looks into every cell of the quantiser whose centre is as near as the nearest, but for rounding.
+SAME_CELL = 1e-3
 
 
 class EvalIndex:
@@ -80,10 +82,10 @@ def _stretches(ids: list[int], least: int = RUN_WORDS, gap: int = GAP) -> Iterat
 _PASSAGES = pa.schema([("key", pa.string()), ("start", pa.int64()), ("ids", pa.list_(pa.int32())), ("df", pa.list_(pa.int64()))])
 
 
-def _passages(index: EvalIndex):
-    vocab, size = index.vocab, len(index.vocab)
-
+def _passages(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = held.value
+        vocab, size = index.vocab, len(index.vocab)
         df, docs = np.zeros(size, np.int64), 0
         get = vocab.get
         for batch in batches:
@@ -120,14 +122,15 @@ def _sum_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = None
     for batch in batches:
         for blob in batch.column(0).to_pylist():
-            a = np.frombuffer(blob)
-            total = a.copy() if total is None else total + a
+            a = np.frombuffer(blob, np.float32)
+            total = a.astype(np.float64) if total is None else total + a
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
 
 
 def _gather(passages: DataFrame, part, shape: tuple[int, int]) -> np.ndarray:
-    """Sum of the matrices that ``part`` makes of each partition's windows; summed in two steps, so the driver gets at most 8."""
+    """Sum of the matrices that ``part`` makes of the windows. There is one for each of about as many tasks as there are cores,
+    however many partitions the passages have; they are summed in a tree, so the driver gets at most 4."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
@@ -135,10 +138,15 @@ def _gather(passages: DataFrame, part, shape: tuple[int, int]) -> np.ndarray:
             w = [_windows(ids) for ids in batch.column(0).to_pylist()]
             if w:
                 total += part(np.concatenate(w))
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+        yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
 
-    parts = passages.select("ids").mapInArrow(run, "part binary").repartition(8).mapInArrow(_sum_blobs, "part binary").collect()
-    return sum((np.frombuffer(bytes(r[0])).reshape(shape) for r in parts), np.zeros(shape))
+    cores = passages.sparkSession.sparkContext.defaultParallelism
+    parts = passages.select("ids").coalesce(2 * cores).mapInArrow(run, "part binary")
+    n = 2 * cores
+    while n > 4:
+        n = max(4, n // 16)
+        parts = parts.repartition(n).mapInArrow(_sum_blobs, "part binary")
+    return sum((np.frombuffer(bytes(r[0]), np.float32).reshape(shape).astype(np.float64) for r in parts.collect()), np.zeros(shape))
 
 
 def latent_space(passages: DataFrame, own: np.ndarray, idf: np.ndarray, rank: int = RANK, seed: int = 7) -> np.ndarray:
@@ -177,6 +185,40 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
+class Quantiser:
+    """Unit vectors in cells around centres, about as many as the cells have members, so that a query meets the centres and one
+    cell instead of all vectors. Equal vectors are in one cell, so none is missed among those that equal the query."""
+
+    def __init__(self, x: np.ndarray, rounds: int = 4, seed: int = 7):
+        self.x = x
+        k = max(1, math.isqrt(len(x)))
+        self.centres = x[np.sort(np.random.default_rng(seed).choice(len(x), k, replace=False))] if len(x) else x
+        for _ in range(rounds if len(x) else 0):
+            sums = np.zeros_like(self.centres, np.float64)
+            np.add.at(sums, self._nearest(x), x)
+            alive = np.linalg.norm(sums, axis=1) > 0
+            self.centres = _unit(np.where(alive[:, None], sums, self.centres)).astype(np.float32)
+        cell = self._nearest(x) if len(x) else np.zeros(0, np.int64)
+        self.members = [np.flatnonzero(cell == c) for c in range(len(self.centres))]
+
+    def _nearest(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([(x[at : at + 4096] @ self.centres.T).argmax(axis=1) for at in range(0, len(x), 4096)])
+
+    def near(self, q: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Queries, vectors and cosines of the pairs of a cell that reach ``least``."""
+        for at in range(0, len(q), 4096):
+            sims = q[at : at + 4096] @ self.centres.T
+            who, cell = np.nonzero(sims >= sims.max(axis=1, keepdims=True) - SAME_CELL)
+            order = np.argsort(cell, kind="stable")
+            who, cell = who[order], cell[order]
+            for part in np.split(np.arange(len(cell)), np.flatnonzero(np.diff(cell)) + 1):
+                if len(part):
+                    mine, some = self.members[cell[part[0]]], who[part] + at
+                    cos = q[some] @ self.x[mine].T
+                    i, j = np.nonzero(cos >= least)
+                    yield some[i], mine[j], cos[i, j]
+
+
 def lcs(a: list[int], b: tuple[int, ...]) -> int:
     """Length of the longest common subsequence."""
     row = [0] * (len(b) + 1)
@@ -261,54 +303,58 @@ class Paraphrases:
                             yield int(np.searchsorted(starts, begin + mine[a], "right")) - 1, j, row[-1], cos
 
 
-def _decide(index: EvalIndex, words: np.ndarray, idf: np.ndarray):
+class Judge:
     """Candidates by cosine in the latent space, then the exact run or the paraphrase test."""
-    weighted = words * idf[:, None].astype(np.float32)
-    runs_at = _unit(weighted[index.run_ids].sum(axis=1)) if len(index.run_ids) else np.zeros((0, words.shape[1]), np.float32)
-    sents_at = _unit(np.array([weighted[list(s)].sum(axis=0) for s in index.sentences], np.float32)) if index.sentences else runs_at[:0]
-    answers = [set(sorted(set(s), key=lambda w: (-idf[w], w))[: max(2, len(set(s)) // 4)]) for s in index.sentences]
-
-    paraphrases = Paraphrases(index, weighted, sents_at, answers)
-
-    def near(x: np.ndarray, to: np.ndarray, least: float) -> Iterator[tuple[int, int, float]]:
-        for at in range(0, len(x), 1024):
-            for to_at in range(0, len(to), 8192):
-                sims = x[at : at + 1024] @ to[to_at : to_at + 8192].T
-                i, j = np.nonzero(sims >= least)
-                yield from zip((i + at).tolist(), (j + to_at).tolist(), sims[i, j].tolist(), strict=True)
 
+    def __init__(self, index: EvalIndex, words: np.ndarray, idf: np.ndarray):
+        self.index = index
+        self.weighted = weighted = words * idf[:, None].astype(np.float32)
+        self.runs = Quantiser(self.vectors(index.run_ids))
+        sents_at = _unit(np.array([weighted[list(s)].sum(axis=0) for s in index.sentences], np.float32)) if index.sentences else np.zeros((0, words.shape[1]), np.float32)
+        answers = [set(sorted(set(s), key=lambda w: (-idf[w], w))[: max(2, len(set(s)) // 4)]) for s in index.sentences]
+        self.paraphrases = Paraphrases(index, weighted, sents_at, answers)
+
+    def vectors(self, windows: np.ndarray) -> np.ndarray:
+        """Unit vectors of runs of words, added word by word, so that equal runs have equal vectors."""
+        out = np.zeros((len(windows), self.weighted.shape[1]), np.float32)
+        for k in range(RUN_WORDS if len(windows) else 0):
+            out += self.weighted[windows[:, k]]
+        return _unit(out)
+
+    def __call__(self, keys: list[str], passages: list[list[int]]) -> list[tuple[str, str, str, int, float]]:
+        found: dict[tuple[str, str, str], tuple[int, float]] = {}
+        owner_keys, windows = [], []
+        for key, ids in zip(keys, passages, strict=True):
+            for _, s in _stretches(ids):
+                owner_keys.append(key)
+                windows.append(_windows(s))
+        every = np.concatenate(windows) if windows else np.zeros((0, RUN_WORDS), np.int32)
+        if len(every) and len(self.index.run_ids):
+            owner = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
+            kinds, back = np.unique(every, axis=0, return_inverse=True)
+            order = np.argsort(back.ravel(), kind="stable")
+            starts = np.searchsorted(back.ravel()[order], np.arange(len(kinds) + 1))
+            for i, j, cos in self.runs.near(self.vectors(kinds), COSINE_RUN):
+                same = (kinds[i] == self.index.run_ids[j]).all(axis=1)
+                for a, b, c in zip(i[same].tolist(), j[same].tolist(), cos[same].tolist(), strict=True):
+                    for o in sorted(set(owner[order[starts[a] : starts[a + 1]]].tolist())):
+                        for e in self.index.run_keys[b]:
+                            n, most = found.get((owner_keys[o], e, "run"), (0, 0.0))
+                            found[owner_keys[o], e, "run"] = (n + 1, max(most, c))
+        for i, j, n, cos in self.paraphrases.find(passages):
+            for e in self.index.sentence_keys[j]:
+                old = found.get((keys[i], e, "paraphrase"), (0, 0.0))
+                found[keys[i], e, "paraphrase"] = max(old, (n, cos))
+        return [(*k, *v) for k, v in sorted(found.items())]
+
+
+def _decide(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(*held.value)
         for batch in batches:
-            found: dict[tuple[str, str, str], tuple[int, float]] = {}
-            wide_keys, wide = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            keys, stretches = [], []
-            for key, ids in zip(wide_keys, wide, strict=True):
-                for _, s in _stretches(ids):
-                    keys.append(key)
-                    stretches.append(s)
-            windows = [_windows(s) for s in stretches]
-            owner = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
-            every = np.concatenate(windows) if windows else np.zeros((0, RUN_WORDS), np.int32)
-            if len(every) and len(runs_at):
-                kinds, back = np.unique(every, axis=0, return_inverse=True)
-                owners: dict[int, set[int]] = defaultdict(set)
-                for o, b in zip(owner.tolist(), back.ravel().tolist(), strict=True):
-                    owners[b].add(o)
-                for i, j, cos in near(_unit(weighted[kinds].sum(axis=1)), runs_at, COSINE_RUN):
-                    if np.array_equal(kinds[i], index.run_ids[j]):
-                        for o in owners[i]:
-                            for e in index.run_keys[j]:
-                                n, c = found.get((keys[o], e, "run"), (0, 0.0))
-                                found[keys[o], e, "run"] = (n + 1, max(c, cos))
-            for i, j, n, cos in paraphrases.find(wide):
-                for e in index.sentence_keys[j]:
-                    old = found.get((wide_keys[i], e, "paraphrase"), (0, 0.0))
-                    found[wide_keys[i], e, "paraphrase"] = max(old, (n, cos))
-            rows = [(*k, *v) for k, v in sorted(found.items())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.int64()), pa.array([r[4] for r in rows], pa.float64())],
-                ["key", "eval_id", "kind", "words", "cosine"],
-            )
+            rows = judge(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64()))]
+            yield pa.RecordBatch.from_arrays(cols, ["key", "eval_id", "kind", "words", "cosine"])
 
     return run
 
@@ -319,21 +365,31 @@ def leaks(docs: DataFrame, key: str, text: str, items: DataFrame, item_key: str,
     ``kind`` is ``run`` where at least RUN_WORDS consecutive words are the item's (``words`` counts such runs), or
     ``paraphrase`` where a sentence's words recur in order with gaps (``words`` of them). Case, punctuation, spacing,
     invisible characters and compatible Unicode forms make no difference. Items with a null id or text, or fewer than
-    RUN_WORDS words, have no runs; null and empty texts hold none; repeated items count once; extra columns are ignored.
+    RUN_WORDS words, have no runs; null and empty texts hold none; repeated items count once; extra columns are ignored. A
+    set that is too large for the workers is screened in blocks of items, each against all texts.
     """
     chosen = items.select(F.col(item_key).alias("id"), F.col(item_text).alias("text")).where("id is not null and text is not null").distinct()
-    held = chosen.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
-    if held[0] > MOST_ITEMS or held[1] > MOST_CHARS:
-        raise ValueError("the evaluation set is too large for one pass; give it in blocks of items")
-    index = EvalIndex([(r["id"], r["text"]) for r in chosen.collect()])
-    kind = dict(docs.dtypes)[key]
+    size = chosen.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+    blocks = max(1, -(-size[0] // MOST_ITEMS), -(-size[1] // MOST_CHARS))
     slim = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
-    made = materialize(slim.mapInArrow(_passages(index), "key string, start long, ids array<int>, df array<long>"), "passages")
+    hits = None
+    for block in range(blocks):
+        mine = chosen if blocks == 1 else chosen.where(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == block)
+        some = _leaks_of_block(slim, [(r["id"], r["text"]) for r in mine.collect()])
+        hits = some if hits is None else hits.unionByName(some)
+    best = hits.groupBy("key", "eval_id", "kind").agg(F.when(F.col("kind") == "run", F.sum("words")).otherwise(F.max("words")).alias("words"), F.max("cosine").alias("cosine"))
+    return best.withColumn("key", F.col("key").cast(dict(docs.dtypes)[key])).withColumnRenamed("key", key)
+
+
+def _leaks_of_block(slim: DataFrame, items: list[tuple[str, str]]) -> DataFrame:
+    """Hits of one block of items in all texts."""
+    spark = slim.sparkSession
+    index = EvalIndex(items)
+    made = materialize(slim.mapInArrow(_passages(spark.sparkContext.broadcast(index)), "key string, start long, ids array<int>, df array<long>"), "passages")
     n = made.where("df is not null").agg(F.coalesce(F.sum("start"), F.lit(0))).first()[0]
     counts = {r["pos"]: r["n"] for r in made.where("df is not null").select(F.posexplode("df").alias("pos", "n")).groupBy("pos").agg(F.sum("n").alias("n")).collect()}
     df = np.array([counts.get(i, 0) for i in range(len(index.vocab))], np.float64)
     idf = np.log((n + 1) / (df + 1)) + 1
     passages = made.where("ids is not null").select("key", "ids")
     words = latent_space(passages, index.run_ids, idf) if len(index.run_ids) else np.zeros((len(idf), 1), np.float32)
-    hits = passages.mapInArrow(_decide(index, words, idf), "key string, eval_id string, kind string, words long, cosine double")
-    return hits.groupBy("key", "eval_id", "kind").agg(F.when(F.col("kind") == "run", F.sum("words")).otherwise(F.max("words")).alias("words"), F.max("cosine").alias("cosine")).withColumn("key", F.col("key").cast(kind)).withColumnRenamed("key", key)
+    return passages.mapInArrow(_decide(spark.sparkContext.broadcast((index, words, idf))), "key string, eval_id string, kind string, words long, cosine double")

@@ -1,9 +1,11 @@
 """Filling containers of fixed capacity with documents (problem 7).
 
-Hierarchical packing: documents are routed to tiers by length, from the whole capacity down by halves. The longest
-tier is packed first, the gaps of its containers are filled from the shorter tiers, and what is left of a tier opens
-containers of its own. All decisions are made on the histogram of lengths, which is as small for any number of
-documents; documents are then matched to the planned places by their rank among documents of equal length.
+Hierarchical packing at several context sizes: a container of the capacity is one window of that size, or 2, 4 or 8 windows
+of a half, a quarter or an eighth of it. Documents are routed to the smallest context size that holds them. The tiers are
+packed from the longest down; what is left open in windows of longer tiers is filled from the shorter ones, and the rest of
+a tier opens windows of its own size. Containers are dealt out to training steps so that every step has its share of each
+context size and nearly equal tokens. All this is decided on the histogram of lengths, which is as small for any number of
+documents; the plan is a table, which documents are joined with by their rank among documents of equal length.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ import bisect
 from collections import defaultdict
 from collections.abc import Iterator
 
-import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -20,136 +22,156 @@ from pyspark.sql import functions as F
 
 from tessera.session import materialize
 
-#: Containers of one step of training; the containers of every pattern are spread over all steps.
+#: Context sizes at most, each half the one before, and the share of containers by which more of them may cost more space.
+CONTEXTS, CONTEXT_COST = 4, 0.002
+#: Containers of one step of training.
 STEP_CONTAINERS = 64
-#: Largest capacity whose histogram the driver plans with.
-MOST_CAPACITY = 1_000_000
+#: Units a capacity is planned in. Lengths are planned exactly up to this capacity, rounded up to units beyond it.
+UNITS = 65_536
+#: Ranks of one block of the plan's key, and rows of a plan that is broadcast; a larger one is joined by shuffle.
+BLOCK_RANKS, BROADCAST_ROWS = 256, 400_000
 
 
-def tier(size: int, capacity: int) -> int:
-    """0 for lengths over half the capacity, 1 over a quarter, and so on."""
-    return max(0, (capacity // size).bit_length() - 1)
+def route(size: int, capacity: int, contexts: int) -> int:
+    """Tier of a length: 0 for the whole capacity, 1 for half of it, and so on; the last one takes all shorter lengths."""
+    return min(contexts - 1, max(0, (capacity // size).bit_length() - 1))
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, dict[int, int]]]:
-    """``(first container, number of containers, {size: how many in each})`` for items of the given sizes.
+class Windows:
+    """Groups of equal windows by free space: ``(how many, {size: items in each}, context size's tier)``."""
 
-    Lengths are placed longest first. Each goes into the gap it fills best among containers that are open, whole groups
-    of equal containers at a time; the rest opens new containers, as full of that length as they go.
-    """
-    gaps: dict[int, list[tuple[int, dict[int, int]]]] = defaultdict(list)  # free space: groups of equal containers
-    order: list[int] = []  # free spaces in use, ascending
-    for size in sorted(histogram, reverse=True):
-        left = histogram[size]
+    def __init__(self) -> None:
+        self.groups: dict[int, list[tuple[int, dict[int, int], int]]] = defaultdict(list)
+        self.order: list[int] = []  # free spaces in use, ascending
+
+    def add(self, free: int, count: int, pattern: dict[int, int], tier: int) -> None:
+        if free not in self.groups:
+            bisect.insort(self.order, free)
+        self.groups[free].append((count, pattern, tier))
+
+    def fill(self, size: int, left: int) -> int:
+        """Puts items into the gaps they fill best, whole groups of windows at a time; returns how many found none."""
         while left:
-            at = bisect.bisect_left(order, size)
-            if at == len(order):
+            at = bisect.bisect_left(self.order, size)
+            if at == len(self.order):
                 break
-            free = order[at]
-            count, pattern = gaps[free].pop()
-            if not gaps[free]:
-                del gaps[free], order[at]
+            free = self.order[at]
+            count, pattern, tier = self.groups[free].pop()
+            if not self.groups[free]:
+                del self.groups[free], self.order[at]
             each = min(free // size, left)
             take = min(count, left // each)
             if take < count:
-                if free not in gaps:
-                    bisect.insort(order, free)
-                gaps[free].append((count - take, pattern))
-            new = dict(pattern)
-            new[size] = new.get(size, 0) + each
-            rest = free - each * size
-            if rest not in gaps:
-                bisect.insort(order, rest)
-            gaps[rest].append((take, new))
+                self.add(free, count - take, pattern, tier)
+            self.add(free - each * size, take, pattern | {size: pattern.get(size, 0) + each}, tier)
             left -= take * each
-        each = capacity // size
-        for k, m in ((left // each, each), (1, left % each)):
-            if k and m:
-                rest = capacity - m * size
-                if rest not in gaps:
-                    bisect.insort(order, rest)
-                gaps[rest].append((k, {size: m}))
-    out, first = [], 0
-    for free in sorted(gaps):
-        for count, pattern in gaps[free]:
-            out.append((first, count, pattern))
-            first += count
-    return out
-
-
-def _items(capacities: list[tuple[int, int]]):
-    """Pieces of every document for every capacity, numbered within equal lengths of this task's partition."""
+        return left
+
+
+def pack_tiers(histogram: dict[int, int], capacity: int, contexts: int) -> tuple[int, list[tuple[int, int, int, dict[int, int]]]]:
+    """Containers, and ``(tier, free space, windows, {size: items in each})`` of groups of equal windows."""
+    tiers: dict[int, list[int]] = defaultdict(list)
+    for size in sorted(histogram, reverse=True):
+        tiers[route(size, capacity, contexts)].append(size)
+    w = Windows()
+    for tier in sorted(tiers):
+        context = capacity >> tier
+        for size in tiers[tier]:
+            left = w.fill(size, histogram[size])
+            each = context // size
+            if left // each:
+                w.add(context - each * size, left // each, {size: each}, tier)
+            if left % each:
+                w.add(context - left % each * size, 1, {size: left % each}, tier)
+    groups = sorted((tier, free, count, pattern) for free, some in w.groups.items() for count, pattern, tier in some for pattern in [tuple(sorted(pattern.items()))])
+    opened: dict[int, int] = defaultdict(int)
+    for tier, _, count, _ in groups:
+        opened[tier] += count
+    return sum(-(-n >> tier) for tier, n in opened.items()), [(tier, free, count, dict(pattern)) for tier, free, count, pattern in groups]
+
+
+def plan(histogram: dict[int, int], capacity: int) -> tuple[int, list[tuple[int, int, int, dict[int, int]]]]:
+    """The same with as many context sizes as cost hardly any space: short windows need short documents to fill them."""
+    tried = [pack_tiers(histogram, capacity, n) for n in range(CONTEXTS, 0, -1) if capacity >> (n - 1)]
+    least = min(n for n, _ in tried)
+    return next(t for t in tried if t[0] <= least * (1 + CONTEXT_COST))
+
+
+def plan_rows(pack: int, histogram: dict[int, int], capacity: int, units: int) -> list[tuple[int, ...]]:
+    """Rows ``(pack_id, unit, lo, hi, first, each, tier, context, base, steps)``: the items of a length with ranks from ``lo``
+    to before ``hi`` go, ``each`` at a time, to the windows from ``first`` on of a tier whose containers begin at ``base``."""
+    containers, groups = plan(histogram, units)
+    steps = max(1, -(-containers // STEP_CONTAINERS))
+    rows, placed, first, base = [], defaultdict(int), 0, 0
+    for i, (tier, _, count, pattern) in enumerate(groups):
+        if i and groups[i - 1][0] != tier:  # a tier's windows fill containers of their own
+            base += -(-first >> groups[i - 1][0])
+            first = 0
+        for size, each in pattern.items():
+            rows.append((pack, size, placed[size], placed[size] + count * each, first, each, tier, capacity >> tier, base, steps))
+            placed[size] += count * each
+        first += count
+    return rows
+
+
+def quantum(capacity: int) -> int:
+    """Tokens of one unit."""
+    return -(-capacity // UNITS)
+
+
+def _items(capacities: list[tuple[int, int, int]]):
+    """Pieces of every document for every capacity, numbered within equal lengths, in units, of this task's partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         seen: dict[tuple[int, int], int] = {}
         for batch in batches:
-            cols: list[list] = [[] for _ in range(6)]
+            cols: list[list] = [[] for _ in range(7)]
             for doc, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for pack, cap in capacities:
+                for pack, cap, q in capacities:
                     for piece, size in enumerate([cap] * (n // cap) + [n % cap] * (n % cap > 0)):
-                        k = seen.get((pack, size), 0)
-                        seen[pack, size] = k + 1
-                        for c, v in zip(cols, (pack, doc, piece, size, part, k), strict=True):
+                        unit = min(-(-size // q), cap // q)
+                        k = seen.get((pack, unit), 0)
+                        seen[pack, unit] = k + 1
+                        for c, v in zip(cols, (pack, doc, piece, size, unit, part, k), strict=True):
                             c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["pack_id", "doc_id", "piece", "size", "part", "k"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["pack_id", "doc_id", "piece", "n_tokens", "unit", "part", "k"])
 
     return run
 
 
-def _places(plans: dict[int, list[tuple[int, int, dict[int, int]]]], caps: dict[int, int]):
-    """Container of each item by its rank among items of its length."""
-    slots: dict[tuple[int, int], list[np.ndarray]] = {}
-    totals: dict[int, int] = {}
-    for pack, groups in plans.items():
-        by: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
-        for first, count, pattern in groups:
-            for size, each in pattern.items():
-                by[size].append((first, count, each))
-        for size, rows in by.items():
-            a = np.array(rows, np.int64)
-            slots[pack, size] = [np.concatenate([[0], np.cumsum(a[:, 1] * a[:, 2])]), a[:, 0], a[:, 2]]
-        totals[pack] = sum(g[1] for g in groups)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pack, doc, piece, size, rank = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
-            container = np.zeros(len(pack), np.int64)
-            keys, back = np.unique(np.stack([pack, size], 1), axis=0, return_inverse=True)
-            for i, (p, s) in enumerate(keys.tolist()):
-                at = np.nonzero(back.ravel() == i)[0]
-                starts, first, each = slots[p, s]
-                g = np.searchsorted(starts, rank[at], side="right") - 1
-                container[at] = first[g] + (rank[at] - starts[g]) // each[g]
-            steps = np.array([max(1, -(-totals[p] // STEP_CONTAINERS)) for p in pack.tolist()], np.int64)
-            tiers = np.array([tier(s, caps[p]) for p, s in zip(pack.tolist(), size.tolist(), strict=True)], np.int64)
-            cols = [pack, container, doc, piece, size, tiers, container % steps]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["pack_id", "container", "doc_id", "piece", "n_tokens", "tier", "step"])
-
-    return run
-
-
-PLACED = "pack_id long, container long, doc_id long, piece long, n_tokens long, tier long, step long"
+_PLAN = ("pack_id", "unit", "lo", "hi", "first", "each", "tier", "context", "base", "steps")
 
 
 def pack(counted: DataFrame, doc: str, tokens: str, sizes: DataFrame) -> DataFrame:
-    """``(pack_id, container, doc_id, piece, n_tokens, tier, step)``: the place of every document for every capacity.
+    """``(pack_id, container, window, context, doc_id, piece, n_tokens, step)``: the place of every document for every capacity.
+
+    ``window`` numbers the windows of a container, each of ``context`` tokens. A text longer than the capacity is cut into
+    pieces of the capacity and a remainder; no other text is split. Rows without tokens, or with a null id, take no place.
+    A repeated id is placed once for each of its rows. Of a pack listed twice the larger capacity holds; capacities that are
+    null or below 1 are left out.
 
-    A text longer than the capacity is cut into pieces of the capacity and a remainder; no other text is split. Rows
-    without tokens, or with a null id, take no place. A repeated id is placed once for each of its rows. Of a pack listed twice the larger
-    capacity holds; capacities that are null or below 1 are left out.
+    The plan has a few rows for each length there is, so at most for each unit of the capacities, however many documents.
+    Rows of the plan and of the documents meet by blocks of ranks, so a length that a third of the documents have is no hot key.
     """
+    spark = counted.sparkSession
     caps = {r[0]: r[1] for r in sizes.where("pack_id is not null and capacity_tokens > 0").groupBy("pack_id").agg(F.max("capacity_tokens")).collect()}
-    if any(c > MOST_CAPACITY for c in caps.values()):
-        raise ValueError(f"capacities above {MOST_CAPACITY} tokens are not planned on the driver")
     slim = counted.select(F.col(doc).cast("long").alias("doc_id"), F.col(tokens).cast("long").alias("n")).where("doc_id is not null and n > 0")
-    items = materialize(slim.mapInArrow(_items(sorted(caps.items())), "pack_id long, doc_id long, piece long, size long, part long, k long"), "items")
-    counts = items.groupBy("pack_id", "size", "part").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("pack_id", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    items = materialize(slim.mapInArrow(_items([(p, c, quantum(c)) for p, c in sorted(caps.items())]), "pack_id long, doc_id long, piece long, n_tokens long, unit long, part long, k long"), "items")
+    counts = items.groupBy("pack_id", "unit", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("pack_id", "unit").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = materialize(counts.withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0))), "offsets")
     histograms: dict[int, dict[int, int]] = {p: {} for p in caps}
-    for r in offsets.groupBy("pack_id", "size").agg(F.sum("n").alias("n")).collect():
-        histograms[r["pack_id"]][r["size"]] = r["n"]
-    plans = {p: plan(h, caps[p]) for p, h in histograms.items()}
-    ranked = items.join(offsets.drop("n"), ["pack_id", "size", "part"]).select("pack_id", "doc_id", "piece", "size", (F.col("offset") + F.col("k")).alias("rank"))
-    return ranked.mapInArrow(_places(plans, caps), PLACED)
+    for r in offsets.groupBy("pack_id", "unit").agg(F.sum("n").alias("n")).collect():
+        histograms[r["pack_id"]][r["unit"]] = r["n"]
+    rows = [row for p, h in histograms.items() if h for row in plan_rows(p, h, caps[p], caps[p] // quantum(caps[p]))]
+    planned = spark.createDataFrame(pd.DataFrame(rows, columns=_PLAN, dtype="int64"), ", ".join(f"{c} long" for c in _PLAN))
+    planned = planned.withColumn("block", F.explode(F.sequence(F.expr(f"lo div {BLOCK_RANKS}"), F.expr(f"(hi - 1) div {BLOCK_RANKS}"))))
+    ranked = items.join(offsets.drop("n"), ["pack_id", "unit", "part"]).withColumn("rank", F.col("offset") + F.col("k")).withColumn("block", F.expr(f"rank div {BLOCK_RANKS}"))
+    few = len(rows) + sum(n for h in histograms.values() for n in h.values()) // BLOCK_RANKS <= BROADCAST_ROWS
+    at = ranked.join(F.broadcast(planned) if few else planned, ["pack_id", "unit", "block"]).where("rank >= lo and rank < hi").withColumn("slot", F.expr("first + (rank - lo) div each"))
+    at = at.withColumn("container", F.expr("base + shiftright(slot, int(tier))")).withColumn("window", F.expr("slot - shiftleft(shiftright(slot, int(tier)), int(tier))"))
+    # containers are in order of context size and fullness; they are dealt out forth and back
+    turn, seat = F.expr("container div steps"), F.expr("container % steps")
+    step = F.when(turn % 2 == 0, seat).otherwise(F.col("steps") - 1 - seat)
+    return at.select("pack_id", "container", "window", "context", "doc_id", "piece", "n_tokens", step.alias("step"))

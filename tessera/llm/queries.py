@@ -160,7 +160,7 @@ def p6_segments(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
-    """Container, tier and training step of every document for every capacity."""
+    """Container, window, context size and training step of every document for every capacity."""
     from tessera.llm.packing import pack
     from tessera.llm.tokens import token_counts
 
@@ -168,9 +168,13 @@ def p7_packed(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p7_report(spark: SparkSession, folder: str) -> DataFrame:
-    """Containers, tokens and unused space of each capacity."""
-    placed = p7_packed(spark, folder)
-    by = placed.groupBy("pack_id").agg(F.countDistinct("container").alias("containers"), F.sum("n_tokens").alias("tokens"), F.count("*").alias("pieces"), F.countDistinct("doc_id").alias("docs"))
+    """Containers, context sizes, tokens and unused space of each capacity, and the tokens of its lightest and heaviest full step."""
+    placed = p7_packed(spark, folder).groupBy("pack_id", "container", "context", "step").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("pieces"))
+    steps = placed.groupBy("pack_id", "step").agg(F.sum("tokens").alias("t"), F.sum("pieces").alias("pieces"), F.count("*").alias("containers"), F.collect_set("context").alias("contexts"))
+    by = steps.groupBy("pack_id").agg(
+        F.sum("containers").alias("containers"), F.sum("t").alias("tokens"), F.sum("pieces").alias("pieces"), F.size(F.array_distinct(F.flatten(F.collect_set("contexts")))).cast("long").alias("context_sizes"),
+        F.count("*").alias("steps"), F.min("t").alias("least_step_tokens"), F.max("t").alias("most_step_tokens"),
+    )
     sizes = table(spark, folder, "pack_sizes").groupBy("pack_id").agg(F.max("capacity_tokens").cast("long").alias("capacity_tokens"))
     return by.join(F.broadcast(sizes), "pack_id").withColumn("unused_share", F.round(1 - F.col("tokens") / (F.col("containers") * F.col("capacity_tokens")), 6))
 

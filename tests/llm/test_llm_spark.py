@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,24 +65,51 @@ def test_latest_score_counts(spark):
     assert got == {(1, 2.0), (3, 1.0)}
 
 
-@pytest.mark.parametrize("capacity", [10, 64, 512])
-def test_packing_places_every_piece_once(spark, capacity):
+@pytest.mark.parametrize(("capacity", "units", "broadcast"), [(10, 65_536, 400_000), (64, 65_536, 0), (512, 65_536, 400_000), (1000, 96, 0)])
+def test_packing_places_every_piece_once(spark, monkeypatch, capacity, units, broadcast):
+    monkeypatch.setattr(packing, "UNITS", units)  # below the capacity lengths are planned in units
+    monkeypatch.setattr(packing, "BROADCAST_ROWS", broadcast)
     rng = random.Random(capacity)
-    docs = [(i, rng.choice([1, 3, capacity, capacity + 1, rng.randint(1, 3 * capacity), 0, None])) for i in range(400)] + [(None, 5), (7, 7)]
+    docs = [(i, rng.choice([1, 3, capacity, capacity - 1, capacity + 1, rng.randint(1, 3 * capacity), rng.randint(1, capacity // 8), 7, 7, 0, None])) for i in range(900)] + [(None, 5), (7, 7)]
     df = spark.createDataFrame(docs, "doc_id long, n long").withColumn("container", F.lit("x")).repartition(5)
     rows = packing.pack(df, "doc_id", "n", spark.createDataFrame([(1, capacity), (2, None)], "pack_id int, capacity_tokens int")).collect()
-    total = Counter()
+    total, windows, steps, of = Counter(), Counter(), defaultdict(set), {}
     for r in rows:
         total[r["container"]] += r["n_tokens"]
-    assert max(total.values()) <= capacity
+        windows[r["container"], r["window"]] += r["n_tokens"]
+        assert of.setdefault(r["container"], r["context"]) == r["context"] and r["window"] * r["context"] < capacity
+        steps[r["step"]].add(r["container"])
+    assert max(total.values()) <= capacity and all(n <= of[c] for (c, _), n in windows.items())
     assert sum(total.values()) == sum(n for i, n in docs if n and i is not None)
+    assert sorted(c for s in steps.values() for c in s) == sorted(total)
     per = defaultdict(list)
     for r in rows:
         per[r["doc_id"]].append(r["n_tokens"])
     for i, n in docs[8:50]:
         if n:
             assert len(per[i]) == -(-n // capacity)
-    assert len(total) <= 1.35 * sum(total.values()) / capacity + 2
+    assert len(total) <= 1.05 * sum(total.values()) / capacity + 3
+
+
+def test_packing_fills_long_windows_from_shorter_tiers_and_balances_steps():
+    rng = random.Random(1)
+    h = Counter(min(4096, int(rng.lognormvariate(6.5, 1.2)) + 1) for _ in range(60_000))
+    containers, groups = packing.plan(h, 4096)
+    assert len({tier for tier, *_ in groups}) == packing.CONTEXTS
+    assert any(size <= 4096 >> 3 for tier, _, _, p in groups if tier == 0 for size in p)
+    assert sum(s * n for s, n in h.items()) > 0.998 * 4096 * containers
+    assert Counter({s: sum(c * p.get(s, 0) for _, _, c, p in groups) for s in h}) == h
+    steps: Counter = Counter()
+    used: Counter = Counter()
+    for pack_id, unit, lo, hi, first, each, tier, context, base, n in packing.plan_rows(1, h, 4096, 4096):
+        for r in range(lo, hi):
+            used[base + ((first + (r - lo) // each) >> tier)] += unit
+    for c, t in used.items():
+        turn, seat = divmod(c, n)
+        steps[seat if turn % 2 == 0 else n - 1 - seat] += t
+    assert max(steps.values()) - min(steps.values()) <= 2 * 4096  # a container more or less, and a tier's last one, which is not full
+    # where no short documents fill short windows, whole containers are used
+    assert packing.plan({1300: 900}, 4096)[0] == 300
 
 
 def test_packing_nothing(spark):
@@ -89,7 +117,9 @@ def test_packing_nothing(spark):
     assert packing.pack(empty, "doc_id", "n", spark.createDataFrame([(1, 8)], "pack_id int, capacity_tokens int")).count() == 0
 
 
-def test_leaks_equal_brute_force(spark):
+@pytest.mark.parametrize("most", [50_000, 4])
+def test_leaks_equal_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(leaks, "MOST_ITEMS", most)  # the small bound takes the items in four blocks
     rng = random.Random(4)
     vocab = [f"w{i}" for i in range(400)]
     items = [(f"i{k}", " ".join(rng.choice(vocab) for _ in range(30)) + ".") for k in range(12)] + [("short", "w1 w2 w3"), ("copy", None), (None, "w1 w2")]
@@ -128,6 +158,46 @@ def test_leaks_paraphrase_and_empty(spark):
     assert leaks.leaks(docs, "doc_id", "text", items.limit(0), "id", "text").count() == 0
 
 
+def test_paraphrases_recall_against_brute_force(spark):
+    rng = random.Random(12)
+    vocab = [f"w{i}" for i in range(260)]
+    sentences = [rng.sample(vocab, rng.randint(8, 24)) for _ in range(40)]
+    items = [(f"i{k}", " ".join(s) + ".") for k, s in enumerate(sentences)]
+    docs = []
+    for d in range(160):
+        said = [x for w in rng.choice(sentences) if rng.random() < rng.choice((0.6, 0.8, 0.95)) for x in ([w, "new"] if rng.random() < 0.3 else [w])]
+        docs.append((d, " ".join([*(rng.choice(vocab) for _ in range(rng.randint(0, 90))), *said, *(rng.choice(vocab) for _ in range(rng.randint(0, 90)))])))
+    index = leaks.EvalIndex(items)
+    counts = Counter(w for _, t in docs for w in set(t.split()))
+    want = set()
+    for d, text in docs:
+        words = text.split()
+        for j, s in enumerate(index.sentences):
+            names = {i: w for w, i in index.vocab.items()}
+            order = sorted(set(s), key=lambda w: (counts[names[w]], w))
+            answers = set(order[: max(2, len(order) // 4)])
+            ids = [index.vocab.get(w, -1) for w in words]
+            for at in range(0, max(1, len(ids) - index.window[j] + 1)):
+                part = [x for x in ids[at : at + index.window[j]] if x in set(s)]
+                if len(part) >= leaks.KEPT_ORDER * len(s) and leaks.lcs(part, s) >= leaks.KEPT_ORDER * len(s) and len(answers & set(part)) >= leaks.KEPT_ANSWER * len(answers):
+                    want |= {(d, e) for e in index.sentence_keys[j]}
+                    break
+    got = leaks.leaks(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", spark.createDataFrame(items, "id string, text string"), "id", "text")
+    found = {(r["doc_id"], r["eval_id"]) for r in got.where("kind = 'paraphrase'").collect()}
+    assert len(want) > 60 and len(found & want) >= 0.9 * len(want)
+
+
+def test_quantiser_finds_every_equal_vector():
+    rng = np.random.default_rng(3)
+    x = leaks._unit(rng.standard_normal((3000, 24))).astype(np.float32)
+    x[1000:1100] = x[:100]  # ties
+    q = leaks.Quantiser(x)
+    assert sorted(np.concatenate(q.members).tolist()) == list(range(3000))
+    got = {(int(a), int(b)) for i, j, _ in q.near(x[::7].copy(), 0.9999) for a, b in zip(i, j, strict=True)}
+    assert {(k, i) for k, i in enumerate(range(0, 3000, 7))} <= got and (0, 1000) in got
+    assert list(leaks.Quantiser(x[:0]).near(x[:0], 0.5)) == []
+
+
 def test_leaks_paraphrases_inside_long_documents(spark):
     rng = random.Random(8)
     vocab = [f"w{i}" for i in range(300)]
