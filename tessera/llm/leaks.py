@@ -8,6 +8,7 @@ and the answer's rare words, decide.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 from collections import defaultdict
@@ -15,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,22 +63,14 @@ class EvalIndex:
         self.longest = max(self.window, default=GAP)
 
 
-def _stretches(ids: list[int], least: int = RUN_WORDS, gap: int = GAP) -> Iterator[tuple[int, list[int]]]:
+def _stretches(ids: np.ndarray, least: int = RUN_WORDS, gap: int = GAP) -> list[tuple[int, np.ndarray]]:
     """Start and ids of the stretches with at least ``least`` known words and at most ``gap`` unknown ones (-1) in a row."""
-    start, known, last = -1, 0, -1
-    for i, w in enumerate(ids):
-        if w < 0:
-            continue
-        if start >= 0 and i - last - 1 > gap:
-            if known >= least:
-                yield start, ids[start : last + 1]
-            start = -1
-        if start < 0:
-            start, known = i, 0
-        known += 1
-        last = i
-    if start >= 0 and known >= least:
-        yield start, ids[start : last + 1]
+    at = np.flatnonzero(ids >= 0)
+    if len(at) < least:
+        return []
+    ends = np.append(np.flatnonzero(np.diff(at) > gap + 1), len(at) - 1)
+    starts = np.append(0, ends[:-1] + 1)
+    return [(int(at[a]), ids[at[a] : at[b] + 1]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True) if b - a + 1 >= least]
 
 
 _PASSAGES = pa.schema([("key", pa.string()), ("start", pa.int64()), ("ids", pa.list_(pa.int32())), ("df", pa.list_(pa.int64()))])
@@ -94,28 +88,33 @@ def _passages(held):
                 docs += 1
                 if not text:
                     continue
-                ids = [get(w, -1) for w in runs(text)]
-                seen = set(ids)
-                seen.discard(-1)
-                if seen:
-                    df[list(seen)] += 1
-                    for start, s in _stretches(ids, LEAST_KEPT, index.longest):
-                        keys.append(key)
-                        starts.append(start)
-                        out.append(s)
+                words = runs(text)
+                ids = np.fromiter(map(get, words, itertools.repeat(-1)), np.int32, len(words))
+                seen = np.unique(ids)
+                df[seen[seen >= 0]] += 1
+                for start, s in _stretches(ids, LEAST_KEPT, index.longest):
+                    keys.append(key)
+                    starts.append(start)
+                    out.append(s)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(starts, pa.int64()), pa.array(out, pa.list_(pa.int32())), pa.nulls(len(keys), pa.list_(pa.int64()))], schema=_PASSAGES)
         yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.string()), pa.array([docs], pa.int64()), pa.nulls(1, pa.list_(pa.int32())), pa.array([df.tolist()], pa.list_(pa.int64()))], schema=_PASSAGES)
 
     return run
 
 
-def _windows(ids: list[int]) -> np.ndarray:
-    """All runs of RUN_WORDS known words in a stretch."""
-    a = np.asarray(ids, np.int32)
-    if len(a) < RUN_WORDS:
-        return np.zeros((0, RUN_WORDS), np.int32)
-    w = np.lib.stride_tricks.sliding_window_view(a, RUN_WORDS)
-    return w[(w >= 0).all(axis=1)]
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of a batch's passages end to end, and where each passage begins (and the last one ends)."""
+    return column.flatten().to_numpy(), np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())]).astype(np.int64)
+
+
+def _windows(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All runs of RUN_WORDS known words inside passages, and the passage of each."""
+    if len(flat) < RUN_WORDS:
+        return np.zeros((0, RUN_WORDS), np.int32), np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
+    known = np.concatenate([[0], np.cumsum(flat >= 0)])
+    at = np.flatnonzero((known[RUN_WORDS:] - known[:-RUN_WORDS] == RUN_WORDS) & (owner[: len(flat) - RUN_WORDS + 1] == owner[RUN_WORDS - 1 :]))
+    return np.lib.stride_tricks.sliding_window_view(flat, RUN_WORDS)[at], owner[at]
 
 
 def _sum_blobs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,9 +134,9 @@ def _gather(passages: DataFrame, part, shape: tuple[int, int]) -> np.ndarray:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(shape)
         for batch in batches:
-            w = [_windows(ids) for ids in batch.column(0).to_pylist()]
-            if w:
-                total += part(np.concatenate(w))
+            w = _windows(*_flat(batch.column(0)))[0]
+            if len(w):
+                total += part(w)
         yield pa.RecordBatch.from_arrays([pa.array([total.astype(np.float32).tobytes()], pa.binary())], ["part"])
 
     cores = passages.sparkSession.sparkContext.defaultParallelism
@@ -268,11 +267,11 @@ class Paraphrases:
         new = np.r_[True, (s[1:] != s[:-1]) | (begin[1:] > end[:-1])]
         yield from zip(s[new].tolist(), begin[new].tolist(), end[np.r_[new[1:], True]].tolist(), strict=True)
 
-    def find(self, stretches: list[list[int]]) -> Iterator[tuple[int, int, int, float]]:
-        """Stretch, sentence, words kept in order and cosine of the passages that pass."""
-        between = [-1] * self.index.longest
-        starts = np.cumsum([0, *(len(s) + len(between) for s in stretches)])
-        flat = np.array([w for s in stretches for part in (s, between) for w in part], np.int64)
+    def find(self, ids: np.ndarray, firsts: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """Stretch, sentence, words kept in order and cosine of the passages that pass, of stretches laid end to end."""
+        starts = firsts + np.arange(len(firsts)) * self.index.longest  # unknown words keep the stretches apart
+        flat = np.full(int(starts[-1]), -1, np.int64)
+        flat[np.arange(len(ids)) + np.repeat(starts[:-1] - firsts[:-1], np.diff(firsts))] = ids
         for j, begin, end in self.regions(flat):
             part, least, size = flat[begin:end], self.least_kept[j], int(self.window[j])
             mine = np.flatnonzero(np.isin(part, self.words[j]))
@@ -321,27 +320,22 @@ class Judge:
             out += self.weighted[windows[:, k]]
         return _unit(out)
 
-    def __call__(self, keys: list[str], passages: list[list[int]]) -> list[tuple[str, str, str, int, float]]:
+    def __call__(self, keys: list[str], flat: np.ndarray, starts: np.ndarray) -> list[tuple[str, str, str, int, float]]:
+        """Hits of passages laid end to end."""
         found: dict[tuple[str, str, str], tuple[int, float]] = {}
-        owner_keys, windows = [], []
-        for key, ids in zip(keys, passages, strict=True):
-            for _, s in _stretches(ids):
-                owner_keys.append(key)
-                windows.append(_windows(s))
-        every = np.concatenate(windows) if windows else np.zeros((0, RUN_WORDS), np.int32)
+        every, owner = _windows(flat, starts)
         if len(every) and len(self.index.run_ids):
-            owner = np.repeat(np.arange(len(windows)), [len(w) for w in windows])
             kinds, back = np.unique(every, axis=0, return_inverse=True)
             order = np.argsort(back.ravel(), kind="stable")
-            starts = np.searchsorted(back.ravel()[order], np.arange(len(kinds) + 1))
+            firsts = np.searchsorted(back.ravel()[order], np.arange(len(kinds) + 1))
             for i, j, cos in self.runs.near(self.vectors(kinds), COSINE_RUN):
                 same = (kinds[i] == self.index.run_ids[j]).all(axis=1)
                 for a, b, c in zip(i[same].tolist(), j[same].tolist(), cos[same].tolist(), strict=True):
-                    for o in sorted(set(owner[order[starts[a] : starts[a + 1]]].tolist())):
+                    for o in sorted(set(owner[order[firsts[a] : firsts[a + 1]]].tolist())):
                         for e in self.index.run_keys[b]:
-                            n, most = found.get((owner_keys[o], e, "run"), (0, 0.0))
-                            found[owner_keys[o], e, "run"] = (n + 1, max(most, c))
-        for i, j, n, cos in self.paraphrases.find(passages):
+                            n, most = found.get((keys[o], e, "run"), (0, 0.0))
+                            found[keys[o], e, "run"] = (n + 1, max(most, c))
+        for i, j, n, cos in self.paraphrases.find(flat, starts):
             for e in self.index.sentence_keys[j]:
                 old = found.get((keys[i], e, "paraphrase"), (0, 0.0))
                 found[keys[i], e, "paraphrase"] = max(old, (n, cos))
@@ -352,7 +346,7 @@ def _decide(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(*held.value)
         for batch in batches:
-            rows = judge(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            rows = judge(batch.column(0).to_pylist(), *_flat(batch.column(1)))
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.string(), pa.string(), pa.string(), pa.int64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(cols, ["key", "eval_id", "kind", "words", "cosine"])
 

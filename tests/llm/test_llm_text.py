@@ -224,8 +224,8 @@ def test_paraphrases_shorter_than_a_run():
     near = leaks.Paraphrases(index, np.eye(8, dtype=np.float32), np.full((1, 8), 8**-0.5, np.float32), [{0, 7}])
     for kept, found in (([0, 2, 3, 5, 7], [(1, 0, 5)]), ([0, 2, 5, 7], []), ([0, 1, 2, 3, 4], []), ([7, 5, 3, 2, 0], [])):
         text = [-1] * 60 + [w for k in kept for w in (k, -1, -1)] + [-1] * 60
-        held = [ids for _, ids in leaks._stretches(text, leaks.LEAST_KEPT, index.longest)]
-        assert list(dict.fromkeys(x[:3] for x in near.find([[1, 1], *held]))) == found
+        held = [np.array([1, 1]), *(ids for _, ids in leaks._stretches(np.array(text), leaks.LEAST_KEPT, index.longest))]
+        assert list(dict.fromkeys(x[:3] for x in near.find(np.concatenate(held), np.cumsum([0, *map(len, held)])))) == found
 
 
 def test_domain_of_whole_texts():
