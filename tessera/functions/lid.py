@@ -31,10 +31,10 @@ ISO_CODES = {
 }
 
 
-def script_counts(text: Column) -> Column:
-    """Characters of each script in the probe, as a map in order."""
-    count = lambda probe, cls: F.length(F.regexp_replace(probe, f"[^{cls}]+", ""))
-    return let(F.substring(text, 1, PROBE_CHARS), lambda probe: F.create_map(*[x for name, cls in SCRIPT_CLASSES.items() for x in (F.lit(name), count(probe, cls))]))
+def script_counts(text: Column, probe: int | None = None) -> Column:
+    """Characters of each script in the text, or in its first ``probe`` characters, as a map in order."""
+    count = lambda part, cls: F.length(F.regexp_replace(part, f"[^{cls}]+", ""))
+    return let(text if probe is None else F.substring(text, 1, probe), lambda part: F.create_map(*[x for name, cls in SCRIPT_CLASSES.items() for x in (F.lit(name), count(part, cls))]))
 
 
 def dominant(counts: Column) -> Column:

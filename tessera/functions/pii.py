@@ -50,9 +50,9 @@ def card_spans(text: Column) -> Column:
     return F.filter(found, lambda m: F.length(F.regexp_replace(m, "[ -]", "")).between(13, 19) & luhn_ok(F.regexp_replace(m, "[ -]", "")))
 
 
-def scan(text: Column) -> Column:
-    """Counts by kind on the probe; kinds without a hit are left out. An account number's digits are not also a card."""
-    probe = F.coalesce(F.substring(text, 1, PROBE_CHARS), F.lit(""))
+def scan(text: Column, chars: int | None = None) -> Column:
+    """Counts by kind in the text, or in its first ``chars`` characters; kinds without a hit are left out. An account number's digits are not also a card."""
+    probe = F.coalesce(text if chars is None else F.substring(text, 1, chars), F.lit(""))
     ibans = iban_spans(probe)
     without = F.aggregate(ibans, probe, lambda t, m: F.replace(t, m, F.lit("\u0001")))
     counts = {"iban": F.size(ibans), "card": F.size(card_spans(without))} | {k: F.regexp_count(probe, F.lit(p if k != "email" else "(?i)" + p)) for k, p in PATTERNS.items()}

@@ -1,4 +1,4 @@
-"""Heuristic quality of a document, as Catalyst expressions over a bounded probe."""
+"""Heuristic quality of a document, as Catalyst expressions over its whole text or a probe of it."""
 
 from __future__ import annotations
 
@@ -24,11 +24,12 @@ LINE_END = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x85\u2028\u2029]"
 NO_SYMBOL = rf"\p{{L}}\p{{N}}_{SPACE}\u0900-\u0DFF\u0600-\u06FF\u0750-\u077F\u200C\u200D"
 
 
-def _prepared(df: DataFrame, text: str) -> DataFrame:
+def _prepared(df: DataFrame, text: str, chars: int | None, words: int | None) -> DataFrame:
     """Probe and words as columns of their own, so that each is made once."""
-    out = df.withColumn("_probe", F.substring(text, 1, PROBE_CHARS))
+    out = df.withColumn("_probe", F.col(text) if chars is None else F.substring(text, 1, chars))
     trimmed = F.regexp_replace("_probe", rf"^[{SPACE}]+|[{SPACE}]+$", "")
-    out = out.withColumn("_words", F.slice(F.split(trimmed, rf"[{SPACE}]+"), 1, PROBE_WORDS))
+    all_words = F.split(trimmed, rf"[{SPACE}]+")
+    out = out.withColumn("_words", all_words if words is None else F.slice(all_words, 1, words))
     lines = F.filter(F.split("_probe", LINE_END), lambda x: F.regexp_replace(x, rf"[{SPACE}]+", "") != "")
     out = out.withColumn("_lines", lines).withColumn("_low", F.lower("_probe"))
     pairs = let(F.col("_words"), lambda ws: F.transform(F.sequence(F.lit(1), F.greatest(F.size(ws) - 1, F.lit(1))), lambda i: F.concat_ws(" ", F.slice(ws, i, 2))))
@@ -46,12 +47,13 @@ def longest_run(sorted_values: Column) -> Column:
     return F.aggregate(sorted_values, zero, step)["best"]
 
 
-def metrics(df: DataFrame, text: str = "text") -> DataFrame:
+def metrics(df: DataFrame, text: str = "text", chars: int | None = None, words: int | None = None) -> DataFrame:
     """All quality metrics, ``quality_score`` (4 digits) and ``quality_bucket`` beside the columns of ``df``.
 
-    Null texts have null metrics. An empty text has one empty word and is short, so its score is at most the short cap.
+    Texts are read whole; ``chars`` and ``words`` bound what is read (the published definition has PROBE_CHARS and
+    PROBE_WORDS). Null texts have null metrics. An empty text has one empty word and is short, so its score is at most the short cap.
     """
-    d = _prepared(df, text)
+    d = _prepared(df, text, chars, words)
     probe_len = F.greatest(F.length("_probe"), F.lit(1))
     # every character but the symbols is removed; what is left are the symbols
     symbols = F.length(F.regexp_replace("_probe", f"[{NO_SYMBOL}]+", ""))
@@ -81,8 +83,7 @@ def metrics(df: DataFrame, text: str = "text") -> DataFrame:
     )
     raw = F.greatest(F.lit(0.0), 1.0 - penalty)
     d = d.withColumn("_score", F.when(F.col("n_text") < SHORT_CHARS, F.least(raw, F.lit(SHORT_CAP))).when(F.col("n_text").isNotNull(), raw))
-    # scores a rounding error below a threshold are at it
-    bucket = F.when(F.col("_score") >= HIGH - 1e-9, "high").when(F.col("_score") >= MEDIUM - 1e-9, "medium").when(F.col("_score").isNotNull(), "low")
+    bucket = F.when(F.col("_score") >= HIGH, "high").when(F.col("_score") >= MEDIUM, "medium").when(F.col("_score").isNotNull(), "low")
     d = d.withColumn("quality_score", F.round("_score", 4)).withColumn("quality_bucket", bucket)
     return d.drop("_probe", "_words", "_lines", "_low", "_pairs", "_score")
 

@@ -1,20 +1,21 @@
-"""Lexicon screening of words and word sequences, as Catalyst expressions."""
+"""Lexicon screening of words and word sequences."""
 
 from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessera.functions.binding import let
-from tessera.functions.words import folded, normalize_words, words_of
+from tessera.functions.words import normalize_words
 
 # Probe and thresholds of a flag.
 PROBE_CHARS, MIN_DISTINCT, MIN_DENSITY = 6000, 2, 0.004
-#: Terms that a lexicon may have to be compiled into expressions.
-MOST_TERMS = 50_000
+#: Terms that every worker may have to hold. A lexicon is written by people and does not grow with the documents.
+MOST_TERMS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -44,35 +45,40 @@ class Lexicon:
         return Lexicon(self.terms + other.terms, f"{self.source}+{other.source}")
 
 
-def _hits(words: Column, lexicon: Lexicon) -> Column:
-    """Every hit as its term: single words, and at each position the longest sequence that starts there."""
-    none = F.array().cast("array<string>")
-    one = F.filter(words, lambda w: w.isin(*lexicon.single)) if lexicon.single else none
-    if not lexicon.multi:
-        return one
-    longest = max(map(len, lexicon.multi))
-    by_len = {n: [" ".join(m) for m in lexicon.multi if len(m) == n] for n in range(longest, 1, -1)}
-
-    def at(i: Column) -> Column:
-        tries = [F.when(F.concat_ws(" ", F.slice(words, i, n)).isin(*terms), F.concat_ws(" ", F.slice(words, i, n))) for n, terms in by_len.items() if terms]
-        return F.coalesce(*tries)
-
-    places = F.when(F.size(words) > 0, F.transform(F.sequence(F.lit(1), F.size(words)), at)).otherwise(none)
-    return F.concat(one, F.filter(places, lambda x: x.isNotNull()))
-
-
-def score(words: Column, lexicon: Lexicon) -> Column:
-    """``struct(hits, distinct, density, flagged)`` of an array column of normalised words, which must be a column already."""
-
-    def of(hits: Column, ws: Column) -> Column:
-        n, distinct = F.size(hits), F.size(F.array_distinct(hits))
-        density = n / F.greatest(F.size(ws), F.lit(1))
-        return F.struct(n.alias("hits"), distinct.alias("distinct"), density.alias("density"), ((distinct >= MIN_DISTINCT) & (density >= MIN_DENSITY)).alias("flagged"))
-
-    return let(words, lambda ws: let(_hits(ws, lexicon), lambda hits: of(hits, ws)))
-
-
-def flag(df: DataFrame, text: Column, lexicon: Lexicon, into: str = "toxicity") -> DataFrame:
-    """``into`` = the score of the probe of a text; a null text has no words and no flag."""
-    words = F.coalesce(words_of(folded(F.substring(text, 1, PROBE_CHARS))), F.array().cast("array<string>"))
-    return df.withColumn("_tw", words).withColumn(into, score(F.col("_tw"), lexicon)).drop("_tw")
+class Matcher:
+    """Hits of a lexicon in one text: one look-up a word, and sequences only where their first word stands."""
+
+    def __init__(self, lexicon: Lexicon):
+        self.single = frozenset(lexicon.single)
+        self.first: dict[str, list[tuple[str, ...]]] = {}
+        for m in lexicon.multi:  # longest first
+            self.first.setdefault(m[0], []).append(m)
+
+    def hits(self, words: list[str]) -> list[str]:
+        """Every hit as its term: single words, and at each position the longest sequence that starts there."""
+        seen = set(words)
+        out = [w for w in words if w in self.single] if not self.single.isdisjoint(seen) else []
+        if not seen.isdisjoint(self.first):
+            for i, w in enumerate(words):
+                longest = next((m for m in self.first.get(w, ()) if tuple(words[i : i + len(m)]) == m), None)
+                if longest:
+                    out.append(" ".join(longest))
+        return out
+
+
+def flag(df: DataFrame, text: Column, lexicon: Lexicon, into: str = "toxicity", chars: int | None = None) -> DataFrame:
+    """``into`` = ``struct(hits, distinct, density, flagged)`` of a text, or of its first ``chars`` characters; a null text has
+    no words and no flag. The lexicon is broadcast once; texts leave the JVM in Arrow batches."""
+    held = df.sparkSession.sparkContext.broadcast(Matcher(lexicon))
+
+    @F.pandas_udf(T.StructType([T.StructField("hits", T.IntegerType()), T.StructField("distinct", T.IntegerType()), T.StructField("density", T.DoubleType()), T.StructField("flagged", T.BooleanType())]))
+    def score(texts: pd.Series) -> pd.DataFrame:
+        matcher, rows = held.value, []
+        for t in texts:
+            words = normalize_words(t)
+            hits = matcher.hits(words)
+            distinct, density = len(set(hits)), len(hits) / max(1, len(words))
+            rows.append((len(hits), distinct, density, distinct >= MIN_DISTINCT and density >= MIN_DENSITY))
+        return pd.DataFrame(rows, columns=["hits", "distinct", "density", "flagged"])
+
+    return df.withColumn(into, score(text if chars is None else F.substring(text, 1, chars)))

@@ -1,4 +1,7 @@
-"""Exact duplicates."""
+"""Exact duplicates.
+
+Identities are best the 16 bytes of :func:`tessera.functions.hashing.identity`: what is grouped by is shuffled.
+"""
 
 from __future__ import annotations
 
@@ -30,7 +33,8 @@ def keep_first(docs: DataFrame, identity: str, order: list[str]) -> DataFrame:
     """``is_first`` of every row: whether it is the first of its identity in order; rows with a null identity are each first.
 
     The first is found by an aggregate that combines before the shuffle, and joined back, so copies of one text, however
-    many, are spread over tasks (AQE splits the join's hot key). Rows tied on the whole order are all first or none.
+    many, are spread over tasks (AQE splits the join's hot key). Rows tied on the whole order are all first or none. All
+    columns of ``docs`` are shuffled, so give keys and identities only and join texts by key where they are needed.
     """
     firsts = docs.where(F.col(identity).isNotNull()).groupBy(identity).agg(F.min(F.struct(*order)).alias("_first"))
     joined = docs.join(firsts, identity, "left")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import hashing
+
 
 def latest_runs(stats: DataFrame) -> DataFrame:
     """One row of statistics for each shard: that of its latest run; repeated rows count once."""
@@ -24,9 +26,15 @@ def rollup(latest: DataFrame) -> DataFrame:
 
 
 def attest(docs: DataFrame, group: str, text: str) -> DataFrame:
-    """Documents, bytes and duplicate rate of each file of a foreign corpus, with a total (null group, level 1)."""
-    per = docs.where(F.col(text).isNotNull()).groupBy(group, text).agg(F.count("*").alias("n")).withColumn("b", F.octet_length(text))
-    out = per.rollup(group).agg(F.sum("n").alias("docs"), F.sum(F.col("n") * F.col("b")).alias("bytes"), F.countDistinct(text).alias("unique_docs"), F.grouping_id().cast("long").alias("level"))
+    """Documents, bytes and duplicate rate of each file of a foreign corpus, with a total (null group, level 1). Texts leave
+    the scan as identities and lengths."""
+    slim = docs.where(F.col(text).isNotNull()).select(F.col(group).alias("_g"), hashing.identity(F.col(text)).alias("_id"), F.octet_length(text).cast("long").alias("_b"))
+    per = slim.groupBy("_g", "_id").agg(F.count("*").alias("n"), F.sum("_b").alias("b"))
+    sums = lambda level: (F.sum("n").alias("docs"), F.sum("b").alias("bytes"), F.count("*").alias("unique_docs"), F.lit(level).cast("long").alias("level"))
+    files = per.groupBy("_g").agg(*sums(0))
+    # the total's distinct texts come from one row for each text, not from all pairs of file and text at once
+    total = per.groupBy("_id").agg(F.sum("n").alias("n"), F.sum("b").alias("b")).groupBy().agg(*sums(1)).where("docs is not null")
+    out = files.unionByName(total.withColumn("_g", F.lit(None).cast(dict(docs.dtypes)[group]))).withColumnRenamed("_g", group)
     return out.withColumn("dup_rate", F.round(1 - F.col("unique_docs") / F.col("docs"), 6))
 
 

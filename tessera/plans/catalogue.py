@@ -17,16 +17,21 @@ from tessera.session import materialize, spread, table
 STRIDE, NESTED, BUDGET = 50, 4, 20_000
 
 
+def _identified(spark: SparkSession, folder: str, *keep: str) -> DataFrame:
+    """Columns of documents and the identity of their text: what is shuffled where texts are compared."""
+    return table(spark, folder, "documents").select(*keep, hashing.identity(F.col("text")).alias("identity"))
+
+
 def exact_dedup_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.stats(table(spark, folder, "documents"), "source", "text")
+    return dedup.stats(_identified(spark, folder, "source"), "source", "identity")
 
 
 def exact_dedup_intra_cross(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.intra_cross(table(spark, folder, "documents"), "shard_id", "text")
+    return dedup.intra_cross(_identified(spark, folder, "shard_id"), "shard_id", "identity")
 
 
 def keep_first(spark: SparkSession, folder: str) -> DataFrame:
-    return dedup.keep_first(table(spark, folder, "documents").select("doc_id", "text"), "text", ["doc_id"]).select("doc_id", "is_first")
+    return dedup.keep_first(_identified(spark, folder, "doc_id"), "identity", ["doc_id"]).select("doc_id", "is_first")
 
 
 def stride_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -68,7 +73,7 @@ def quality_buckets(spark: SparkSession, folder: str) -> DataFrame:
 
 def quality_histogram(spark: SparkSession, folder: str) -> DataFrame:
     q = quality.metrics(spread(table(spark, folder, "documents").select("text")))
-    return q.groupBy(quality.histogram_bin(F.col("quality_score") + 1e-9).alias("bin")).agg(F.count("*").alias("docs"))
+    return q.groupBy(quality.histogram_bin(F.col("quality_score")).alias("bin")).agg(F.count("*").alias("docs"))
 
 
 def script_lid(spark: SparkSession, folder: str) -> DataFrame:
@@ -98,7 +103,7 @@ def word_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _lexicon(spark: SparkSession, folder: str) -> toxicity.Lexicon:
-    terms = table(spark, folder, "abuse_terms").select("term").where("term is not null").limit(toxicity.MOST_TERMS + 1).collect()
+    terms = table(spark, folder, "abuse_terms").select("term").where("term is not null").distinct().collect()
     return toxicity.Lexicon(tuple(r[0] for r in terms), "abuse_terms")
 
 
@@ -209,7 +214,7 @@ def neardup_drop_list(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _judged(spark: SparkSession, folder: str) -> DataFrame:
-    docs = materialize(_docs(spark, folder), "docs")
+    docs = _docs(spark, folder)
     near = materialize(_clusters(spark, folder).where("doc_id <> cluster").select("doc_id"), "near")
     bits = materialize(lm.bits_per_char(docs, "doc_id", "language", "text", *lm.train(docs, "language", "text")), "bits")
     return verdict.verdicts(
@@ -223,7 +228,7 @@ def verdict_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def verdict_drops(spark: SparkSession, folder: str) -> DataFrame:
-    return verdict.drops_log(_judged(spark, folder), "text", ["shard_id", "language", "doc_index"])
+    return verdict.drops_log(_judged(spark, folder), ["shard_id", "language", "doc_index"])
 
 
 def drops_by_reason(spark: SparkSession, folder: str) -> DataFrame:
@@ -242,8 +247,8 @@ def manifest_rollup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def build_union(spark: SparkSession, folder: str) -> DataFrame:
-    parts = [table(spark, folder, "documents").where(F.substring("shard_id", 1, 1).isin(*x)).select("text").distinct() for x in (("v", "k"), ("l", "s", "c", "p"))]
-    return manifest.union_builds(parts, "text")
+    parts = [_identified(spark, folder, "shard_id").where(F.substring("shard_id", 1, 1).isin(*x)).select("identity").distinct() for x in (("v", "k"), ("l", "s", "c", "p"))]
+    return manifest.union_builds(parts, "identity")
 
 
 def measured_missing(spark: SparkSession, folder: str) -> DataFrame:

@@ -25,8 +25,8 @@ _EOL = r"\r\n|[\n\x0B\f\r\x1C-\x1E\x{85}\x{2028}\x{2029}]"
 _OK = r"\p{L}\p{N}_" + _WS + r"\x{900}-\x{DFF}\x{600}-\x{6FF}\x{750}-\x{77F}\x{200C}\x{200D}"
 
 _QUALITY = f"""
-WITH p AS (SELECT *, substring(text, 1, 4000) AS probe FROM documents),
-w AS (SELECT *, list_slice(string_split_regex(regexp_replace(probe, '^[{_WS}]+|[{_WS}]+$', '', 'g'), '[{_WS}]+'), 1, 500) AS ws,
+WITH p AS (SELECT *, text AS probe FROM documents),
+w AS (SELECT *, string_split_regex(regexp_replace(probe, '^[{_WS}]+|[{_WS}]+$', '', 'g'), '[{_WS}]+') AS ws,
   list_filter(string_split_regex(probe, '{_EOL}'), lambda x: regexp_replace(x, '[{_WS}]+', '', 'g') <> '') AS ls FROM p),
 m AS (SELECT *, length(regexp_replace(probe, '[{_OK}]+', '', 'g')) / greatest(length(probe), 1) AS symbol_ratio,
   length(regexp_replace(probe, '[^\\p{{Nd}}]+', '', 'g')) / greatest(length(probe), 1) AS digit_ratio,
@@ -34,20 +34,20 @@ m AS (SELECT *, length(regexp_replace(probe, '[{_OK}]+', '', 'g')) / greatest(le
   CASE WHEN len(ls) >= 5 THEN 1.0 - len(list_distinct(ls)) / len(ls) ELSE 0.0 END AS dup_line_frac,
   CASE WHEN len(ws) >= 20 THEN list_max(map_values(list_aggregate(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]), 'histogram'))) / (len(ws) - 1) ELSE 0.0 END AS top_bigram_frac,
   {" + ".join(f"(contains(lower(probe), '{b}'))::BIGINT" for b in BOILERPLATE)} AS boilerplate_hits FROM w),
-s AS (SELECT *, greatest(0.0, 1.0
-  - CASE WHEN symbol_ratio > 0.12 THEN least(0.3, (symbol_ratio - 0.12) * 2.5) ELSE 0 END
-  - CASE WHEN digit_ratio > 0.15 THEN least(0.3, (digit_ratio - 0.15) * 2) ELSE 0 END
-  - CASE WHEN mean_word_len > 14 OR mean_word_len < 1.5 THEN 0.2 ELSE 0 END
-  - CASE WHEN dup_line_frac > 0.3 THEN least(0.3, dup_line_frac - 0.3 + 0.1) ELSE 0 END
-  - CASE WHEN top_bigram_frac > 0.08 THEN least(0.25, (top_bigram_frac - 0.08) * 2) ELSE 0 END
-  - least(0.3, 0.08 * boilerplate_hits) - CASE WHEN length(text) > 500000 THEN 0.1 ELSE 0 END) AS raw FROM m),
+s AS (SELECT *, greatest(0.0, 1.0 - (
+  CASE WHEN symbol_ratio > 0.12 THEN least(0.3, (symbol_ratio - 0.12) * 2.5) ELSE 0 END
+  + CASE WHEN digit_ratio > 0.15 THEN least(0.3, (digit_ratio - 0.15) * 2) ELSE 0 END
+  + CASE WHEN mean_word_len > 14 OR mean_word_len < 1.5 THEN 0.2 ELSE 0 END
+  + CASE WHEN dup_line_frac > 0.3 THEN least(0.3, dup_line_frac - 0.3 + 0.1) ELSE 0 END
+  + CASE WHEN top_bigram_frac > 0.08 THEN least(0.25, (top_bigram_frac - 0.08) * 2) ELSE 0 END
+  + least(0.3, 0.08 * boilerplate_hits) + CASE WHEN length(text) > 500000 THEN 0.1 ELSE 0 END)) AS raw FROM m),
 q AS (SELECT *, CASE WHEN length(text) < 200 THEN least(raw, 0.3) ELSE raw END AS score FROM s),
-z AS (SELECT *, CASE WHEN score >= 0.75 - 1e-9 THEN 'high' WHEN score >= 0.5 - 1e-9 THEN 'medium' ELSE 'low' END AS quality_bucket FROM q)
+z AS (SELECT *, CASE WHEN score >= 0.75 THEN 'high' WHEN score >= 0.5 THEN 'medium' ELSE 'low' END AS quality_bucket FROM q)
 """
 
 _SCRIPTS = {"deva": r"\x{900}-\x{97F}", "beng": r"\x{980}-\x{9FF}", "guru": r"\x{A00}-\x{A7F}", "gujr": r"\x{A80}-\x{AFF}", "orya": r"\x{B00}-\x{B7F}", "taml": r"\x{B80}-\x{BFF}", "telu": r"\x{C00}-\x{C7F}", "knda": r"\x{C80}-\x{CFF}", "mlym": r"\x{D00}-\x{D7F}", "arab": r"\x{600}-\x{6FF}\x{750}-\x{77F}", "latn": "A-Za-z"}
 _SCRIPT = f"""
-WITH c AS (SELECT *, [{", ".join(f"length(regexp_replace(substring(text, 1, 2000), '[^{cls}]+', '', 'g'))" for cls in _SCRIPTS.values())}] AS n FROM documents),
+WITH c AS (SELECT *, [{", ".join(f"length(regexp_replace(text, '[^{cls}]+', '', 'g'))" for cls in _SCRIPTS.values())}] AS n FROM documents),
 s AS (SELECT *, CASE WHEN list_sum(n) > 0 THEN {list(_SCRIPTS)}[list_position(n, list_max(n))] END AS script,
   CASE WHEN list_sum(n) > 0 THEN list_max(n) / list_sum(n) ELSE 0.0 END AS share FROM c),
 l AS (SELECT *, CASE script WHEN 'guru' THEN 'pan' WHEN 'gujr' THEN 'guj' WHEN 'orya' THEN 'ori' WHEN 'taml' THEN 'tam' WHEN 'telu' THEN 'tel'
@@ -71,7 +71,7 @@ _REASON = (
     r"[∴∵∑∫√≤≥≠]", r"\p{Nd}\s*[+\-×*/=]\s*\p{Nd}", _B + r"q\.?e\.?d" + _E, "प्रमेय", "समीकरण", "हल कीजिए",
 )
 _DOMAIN = f"""
-WITH p AS (SELECT *, substring(text, 1, 4000) AS probe, lower(substring(text, 1, 4000)) AS low FROM documents),
+WITH p AS (SELECT *, text AS probe, lower(text) AS low FROM documents),
 n AS (SELECT *, {" + ".join(f"regexp_matches(probe, '{c}')::INT" for c in _CODE)} AS code,
   {" + ".join(f"contains(low, '{t}')::INT" for t in BFSI_TERMS)} AS bfsi,
   {" + ".join(f"regexp_matches(probe, '(?i){r}')::INT" for r in _REASON)} AS reasoning FROM p)
@@ -91,7 +91,7 @@ g AS (SELECT *, CASE WHEN nth > 1 AND shard_id IS NOT NULL THEN 'duplicate shard
 """
 
 _TRI = f"""
-WITH d AS (SELECT doc_id, {_LANG} AS lang, ' ' || trim(text) || ' ' AS p, ' ' || trim(substring(text, 1, 512)) || ' ' AS probe FROM documents WHERE text IS NOT NULL),
+WITH d AS (SELECT doc_id, {_LANG} AS lang, ' ' || trim(text) || ' ' AS p, ' ' || trim(text) || ' ' AS probe FROM documents WHERE text IS NOT NULL),
 t AS (SELECT lang, unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS g FROM (SELECT *, string_split(p, '') AS cs FROM d WHERE lang IS NOT NULL AND length(p) >= 3)),
 c AS (SELECT lang, substring(g, 1, 2) AS ctx, substring(g, 3, 1) AS nxt, count(*) AS n FROM t GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang, ctx ORDER BY n DESC, nxt) AS k FROM c),
@@ -138,7 +138,7 @@ SELECT sum(n)::BIGINT AS docs, count(*) AS unique_docs, sum(n - 1)::BIGINT AS gl
     + """SELECT doc_id, round(symbol_ratio, 6) AS symbol_ratio, round(digit_ratio, 6) AS digit_ratio, round(mean_word_len, 6) AS mean_word_len, round(dup_line_frac, 6) AS dup_line_frac,
   round(top_bigram_frac, 6) AS top_bigram_frac, boilerplate_hits, round(score, 3) AS quality_score, quality_bucket FROM z""",
     "quality_buckets": _QUALITY + "SELECT shard_id, quality_bucket, count(*) AS docs, round(avg(digit_ratio), 6) AS mean_digit_ratio FROM z GROUP BY ALL",
-    "quality_histogram": _QUALITY + "SELECT least(9, floor((round(score, 4) + 1e-9) * 10))::INT AS bin, count(*) AS docs FROM z GROUP BY ALL",
+    "quality_histogram": _QUALITY + "SELECT least(9, floor(round(score, 4) * 10))::INT AS bin, count(*) AS docs FROM z GROUP BY ALL",
     "script_lid": _SCRIPT + 'SELECT doc_id, script, round(share, 6) AS share, sl AS "language" FROM l',
     "lid_purity": _SCRIPT
     + f"""SELECT l.shard_id, r.declared, count(*) AS docs, round(avg(({_fits("lower(r.declared)")})::INT), 6) AS purity, round(avg(share), 6) AS mean_share

@@ -95,8 +95,8 @@ def test_identifiers(spark, text, want):
 
 def test_identifiers_beyond_the_probe(spark):
     text = "x " * 4050 + "a@b.org"
-    r = _rows(spark, [text, None]).select("i", pii.scan(F.col("text")).alias("s"), pii.redact(F.col("text")).alias("r")).orderBy("i").collect()
-    assert r[0]["s"] == {} and r[0]["r"]["counts"] == {"email": 1} and r[1]["s"] == {} and r[1]["r"]["text"] is None
+    r = _rows(spark, [text, None]).select("i", pii.scan(F.col("text"), pii.PROBE_CHARS).alias("s"), pii.scan(F.col("text")).alias("all"), pii.redact(F.col("text")).alias("r")).orderBy("i").collect()
+    assert r[0]["s"] == {} and r[0]["all"] == {"email": 1} and r[0]["r"]["counts"] == {"email": 1} and r[1]["s"] == {} and r[1]["r"]["text"] is None
 
 
 def test_html(spark):

@@ -177,7 +177,7 @@ def test_verdict_chain(spark, parts):
     assert {k: v for k, v in got.items() if v} == want
     counts = {r["reason"]: r["docs"] for r in verdict.reason_counts(_verdicts(spark, parts, config=cfg)).collect()}
     assert counts["contamination"] == 0 and sum(counts.values()) == 26
-    log = verdict.drops_log(_verdicts(spark, parts, config=cfg), "text", ["shard_id"]).collect()
+    log = verdict.drops_log(_verdicts(spark, parts, config=cfg), ["shard_id"]).collect()
     assert all(len(r["preview"] or "") <= 280 for r in log) and len(log) == 26 - counts["kept"]
 
 
