@@ -8,14 +8,32 @@ import json
 import os
 import shutil
 import sys
+import time
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 
 def _session():
+    """The running session, one from the cluster that started this program, or else a local one."""
+    from pyspark.sql import SparkSession
+
     from tessera.session import local_session
 
-    return local_session()
+    held = SparkSession.getActiveSession()
+    if held is not None:
+        return held
+    submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "SPARK_REMOTE" in os.environ
+    return SparkSession.builder.appName("tessera").getOrCreate() if submitted else local_session()
+
+
+def _read_json(*parts: str) -> dict:
+    with open(os.path.join(*parts), encoding="utf-8") as f:
+        return json.load(f)
+
+
+def _plain(row: dict) -> dict:
+    return {k: dict(v) if isinstance(v, dict) else v for k, v in row.items()}
 
 
 def doctor(_: argparse.Namespace) -> int:
@@ -68,53 +86,121 @@ def check(a: argparse.Namespace) -> int:
 
 
 def run(a: argparse.Namespace) -> int:
-    """Measure the accepted shards and write statistics, ids and the corpus manifest."""
+    """Measure the accepted shards and write statistics, ids, the corpus manifest and its composition."""
     from tessera.functions import hashing
+    from tessera.operators import tokenizer_lab
     from tessera.plans import pipeline, report
-    from tessera.sources import sinks
+    from tessera.sources import corpus, sinks
 
-    spark = _session()
-    _, docs = pipeline.read(spark, a.registry, a.shards)
+    spark, began = _session(), time.time()
+    os.makedirs(a.out, exist_ok=True)
+    log = sinks.EventLog(a.out)
+    log.emit("phase", name="read")
+    gated, docs = pipeline.read(spark, a.registry, a.shards)
     if a.max_docs:
         docs = docs.where(F.col("doc_index") < a.max_docs)
-    rows = [r.asDict() for r in pipeline.measure(docs, a.every).collect()]
+    items = corpus.eval_items(spark, a.eval_set).select("id", "text") if a.eval_set else None
+    models = (spark.read.parquet(f"{a.lm}/trigram"), spark.read.parquet(f"{a.lm}/unigram")) if a.lm else None
+    tokens = tokenizer_lab.metered(docs, "shard_id", "doc_index", "text", int(a.token_mb * 1e6), a.tokenizer) if a.tokenizer else None
+    log.emit("phase", name="measure")
+    rows = [_plain(r.asDict(recursive=True)) for r in pipeline.measure(docs, a.every, items, models, tokens).orderBy("shard_id").collect()]
     sinks.identities(docs, f"{a.out}/ids")
     total = {k: sum(r[k] for r in rows) for k in ("docs", "doc_bytes")}
-    content = {"shards": rows, **total, "corpus_build_hash": hashing.ids_digest(docs), "truncated_by_max_docs": bool(a.max_docs), "environment": report.environment(spark)}
+    content = {
+        "corpus_id": gated.first()["corpus_id"], "registry_sha256": sinks.file_sha256(a.registry), "shards": rows, **total, "corpus_build_hash": hashing.ids_digest(docs), "truncated_by_max_docs": bool(a.max_docs),
+        "every": a.every, "seconds": round(time.time() - began, 1), "environment": report.environment(spark),
+    }
     print(sinks.manifest(f"{a.out}/MANIFEST.json", content))
+    log.emit("finish")
+    return 0
+
+
+def merge(a: argparse.Namespace) -> int:
+    """One corpus manifest of several measured runs; 2 if accepted shards are missing, unless --partial."""
+    from tessera.functions import hashing
+    from tessera.operators import dedup, gate, manifest
+    from tessera.plans import report
+    from tessera.sources import corpus, sinks
+
+    spark = _session()
+    accepted = [r[0] for r in gate.accepted(gate.gate(corpus.registry(spark, a.registry), order=["position"])).select("shard_id").collect()]
+    merged = manifest.merge_runs([_read_json(r, "MANIFEST.json") for r in a.runs], accepted, a.partial)
+    ids = reduce(lambda x, y: x.unionByName(y), [spark.read.parquet(f"{r}/ids") for r in a.runs])
+    counts = dedup.intra_cross(ids, "shard_id", "doc_hash").first().asDict()
+    merged |= {k: counts[k] for k in ("unique_docs", "global_dups", "intra_dups", "cross_dups")} | {"dup_rate": round(counts["global_dups"] / counts["docs"], 6) if counts["docs"] else 0.0, "corpus_build_hash": hashing.ids_digest(ids)}
+    sinks.identities(ids, f"{a.out}/ids")
+    with open(os.path.join(a.out, "COMPOSITION.md"), "w", encoding="utf-8") as f:
+        f.write(report.composition(merged))
+    print(sinks.manifest(f"{a.out}/MANIFEST.json", merged))
     return 0
 
 
+def _lexicon(spark, given: str | None):
+    from tessera.functions import toxicity
+    from tessera.sources import corpus
+
+    if given is None:
+        return None
+    if given == "builtin":
+        return toxicity.builtin()
+    return toxicity.Lexicon(tuple(r["term"] for r in corpus.lexicon_terms(spark, given).collect()), given)
+
+
 def build(a: argparse.Namespace) -> int:
-    """Apply the filters and write kept texts, the drop log and the build manifest."""
-    from tessera.operators.verdict import FilterConfig, with_plugins
-    from tessera.plans import pipeline
+    """Apply the filters and write the ids of kept documents, the build manifest and its page, and with --emit texts and drops."""
+    from tessera.operators import contamination
+    from tessera.operators.verdict import PUBLISHED_PROBES, FilterConfig, with_plugins
+    from tessera.plans import pipeline, report
     from tessera.plugins import load
     from tessera.sources import corpus, sinks
 
     spark = _session()
-    _, docs = pipeline.read(spark, a.registry, a.shards)
+    os.makedirs(a.out, exist_ok=True)
+    log = sinks.EventLog(a.out)
+    log.emit("phase", name="read")
+    gated, docs = pipeline.read(spark, a.registry, a.shards)
+    sha, parent = sinks.file_sha256(a.registry), None
+    if a.measured:
+        parent = _read_json(a.measured, "MANIFEST.json")
+        if parent.get("registry_sha256") != sha:
+            raise ValueError("the registry has changed since it was measured; measure again")
+        pipeline.check_measured(docs, spark.read.parquet(f"{a.measured}/ids"))
     plugins = load(a.plugin or [])
     items = corpus.eval_items(spark, a.eval_set).select("id", "text") if a.eval_set else None
-    cfg = with_plugins(FilterConfig(pii_policy=a.pii), plugins)
-    judged, receipt = pipeline.build(docs, pipeline.Build(config=cfg, items=items, plugins=plugins, min_scored=a.min_scored))
+    cfg = with_plugins(FilterConfig(min_quality=a.min_quality, pii_policy=a.pii, probes=PUBLISHED_PROBES if a.published_probes else {}), plugins)
+    want = pipeline.Build(config=cfg, items=items, plugins=plugins, lexicon=_lexicon(spark, a.lexicon), min_scored=a.min_scored, perplexity=a.perplexity or None, near=not a.no_near, corpus_id=gated.first()["corpus_id"], registry_sha256=sha, parent=parent)
+    log.emit("phase", name="judge")
+    judged, receipt = pipeline.build(docs, want)
+    if items is not None:
+        keyed = docs.withColumn("document", F.concat_ws(":", "shard_id", "doc_index"))
+        receipt["first_hits"] = [r.asDict() for r in contamination.first_hits(contamination.screen(keyed, "document", "text", items, "id", "text"), "document").collect()]
+    sinks.identities(judged.where("drop_reason is null"), f"{a.out}/kept")
     if a.emit:
-        pipeline.emit(judged, a.out, a.pii)
+        pipeline.emit(docs, judged, a.out, a.pii)
     sinks.manifest(f"{a.out}/BUILD-MANIFEST.json", receipt)
+    with open(os.path.join(a.out, "receipt.html"), "w", encoding="utf-8") as f:
+        f.write(report.page(f"Build of {receipt['corpus_id']}", {"Reasons": receipt["reasons"], "Configuration": receipt["config"], "Hashes": {k: receipt[k] for k in ("corpus_build_hash", "filtered_build_hash", "filter_config_sha256")}}))
+    log.emit("finish")
     print(json.dumps(receipt["reasons"]))
     return 0
 
 
 def union(a: argparse.Namespace) -> int:
-    """Unite the manifests of partition builds."""
-    from tessera.operators.manifest import unite
+    """Unite partition builds: one set of kept ids and its hash. A part without a manifest is an error, unless --partial."""
+    from tessera.functions import hashing
+    from tessera.operators import manifest
     from tessera.sources import sinks
 
-    parts = []
-    for p in a.parts:
-        with open(os.path.join(p, "BUILD-MANIFEST.json"), encoding="utf-8") as f:
-            parts.append(json.load(f) | {"config": {}})
-    print(sinks.manifest(f"{a.out}/BUILD-MANIFEST.json", unite(parts)))
+    spark = _session()
+    whole = [p for p in a.parts if os.path.isfile(os.path.join(p, "BUILD-MANIFEST.json"))]
+    skipped = [p for p in a.parts if p not in whole]
+    if skipped and not a.partial:
+        raise ValueError(f"not finished: {', '.join(skipped)}")
+    content = manifest.unite([_read_json(p, "BUILD-MANIFEST.json") for p in whole])
+    ids = [spark.read.parquet(f"{p}/kept") for p in whole]
+    counts = manifest.union_builds(ids, "doc_hash").first().asDict()
+    content |= {"filtered_build_hash": hashing.ids_digest(reduce(lambda x, y: x.unionByName(y), [i.select("doc_hash") for i in ids])), "hash_covers": "distinct ids", "skipped_parts": skipped, **counts}
+    print(sinks.manifest(f"{a.out}/BUILD-MANIFEST.json", content))
     return 0
 
 
@@ -135,28 +221,65 @@ def summary(a: argparse.Namespace) -> int:
     from tessera.plans import report
     from tessera.sources import corpus
 
-    build_manifest = None
-    if a.manifest:
-        with open(a.manifest, encoding="utf-8") as f:
-            build_manifest = json.load(f)
-    text = report.training_summary(gate.gate(corpus.registry(_session(), a.registry), order=["position"]), build_manifest)
+    given = [_read_json(p) if p else None for p in (a.manifest, a.corpus, a.declared)]
+    text = report.training_summary(gate.gate(corpus.registry(_session(), a.registry), order=["position"]), *given)
     with open(a.out, "w", encoding="utf-8") as f:
         f.write(text)
     return 0
 
 
 def extract(a: argparse.Namespace) -> int:
-    """Text of a folder of HTML files."""
+    """Text of a folder of HTML files, with counts beside it."""
     from tessera.functions import html
-    from tessera.sources import corpus
+    from tessera.sources import corpus, sinks
 
-    html.extract(corpus.pages(_session(), a.folder), "html", a.min_chars).select("text").write.option("lineSep", "\n\n").text(a.out)
+    pages = corpus.pages(_session(), a.folder)
+    texts = html.extract(pages, "html", a.min_chars)
+    texts.select("text").write.option("lineSep", "\n\n").text(a.out)
+    kept = {r["extractor"]: r["n"] for r in texts.groupBy("extractor").agg(F.count("*").alias("n")).collect()}
+    files = pages.count()
+    sinks.manifest(f"{a.out.rstrip('/')}.extract.json", {"files": files, "kept": sum(kept.values()), "too_short": files - sum(kept.values()), "extractors": kept, "min_chars": a.min_chars})
+    return 0
+
+
+def tokenizer_sample(a: argparse.Namespace) -> int:
+    """Equal bytes of every language from windows spread over the shards, with the recipe beside them."""
+    from tessera.operators import tokenizer_lab
+    from tessera.plans import pipeline
+    from tessera.sources import sinks
+
+    _, docs = pipeline.read(_session(), a.registry, a.shards)
+    placed = docs.withColumn("place", F.col("shard_ord").cast("long") * (1 << 40) + F.col("doc_index"))
+    sample = tokenizer_lab.balanced_sample(placed, "language", "place", "text", int(a.mb * 1e6), a.phase)
+    sinks.text_shards(sample, f"{a.out}/text", shard="language", order="place")
+    rows = [r.asDict() for r in sample.groupBy("language").agg(F.count("*").alias("docs"), F.sum("n_bytes").alias("bytes")).orderBy("language").collect()]
+    print(sinks.manifest(f"{a.out}/RECIPE.json", {"registry_sha256": sinks.file_sha256(a.registry), "phase": a.phase, "budget_bytes": int(a.mb * 1e6), "windows": tokenizer_lab.WINDOWS, "languages": rows}))
+    return 0
+
+
+def tokenizer_eval(a: argparse.Namespace) -> int:
+    """Bytes per token of several vocabularies by language, on the other phase's sample, with projections to the corpus."""
+    from tessera.operators import tokenizer_lab
+    from tessera.plans import pipeline, report
+    from tessera.sources import sinks
+
+    _, docs = pipeline.read(_session(), a.registry, a.shards)
+    placed = docs.withColumn("place", F.col("shard_ord").cast("long") * (1 << 40) + F.col("doc_index"))
+    sample = tokenizer_lab.balanced_sample(placed, "language", "place", "text", int(a.mb * 1e6), a.phase)
+    sizes = docs.groupBy("language").agg(F.sum("n_bytes").alias("doc_bytes"))
+    rows = [r.asDict() for r in tokenizer_lab.compare(sample, "language", "text", a.tokenizer, sizes).orderBy("tokenizer", "language").collect()]
+    sinks.manifest(f"{a.out}/TOKENIZERS.json", {"phase": a.phase, "rows": rows})
+    head = ("tokenizer", "language", "measured_docs", "bytes_per_token", "projected_tokens")
+    with open(os.path.join(a.out, "TOKENIZERS.md"), "w", encoding="utf-8") as f:
+        f.write("\n".join(report.table(head, [tuple(r[h] for h in head) for r in rows])) + "\n")
     return 0
 
 
 def eval_set(a: argparse.Namespace) -> int:
     """An evaluation set of files, lines or fields of JSON lines: long enough items, each text once."""
+    from tessera.functions import hashing
     from tessera.operators import contamination
+    from tessera.session import materialize
     from tessera.sources import corpus, sinks
 
     spark, items = _session(), None
@@ -166,7 +289,9 @@ def eval_set(a: argparse.Namespace) -> int:
             items = one if items is None else items.unionByName(one)
     if items is None:
         raise ValueError("no source was given")
-    sinks.json_lines(contamination.build_eval_set(items, "source", "text", a.min_chars), a.out)
+    built = materialize(contamination.build_eval_set(items, "source", "text", a.min_chars), "eval-set")
+    sinks.json_lines(built, a.out)
+    print(hashing.rows_sha256(built.select("id", "text")))
     return 0
 
 
@@ -190,14 +315,18 @@ def neardup(a: argparse.Namespace) -> int:
     from tessera.functions.hashing import droplist_sha256
     from tessera.operators import neardup as N
     from tessera.plans import pipeline
+    from tessera.session import materialize
     from tessera.sources import sinks
 
     _, docs = pipeline.read(_session(), a.registry, a.shards)
     d = docs.withColumn("key", F.concat_ws(":", F.format_string("%06d", "shard_ord"), F.format_string("%012d", "doc_index")))
-    clustered = N.clusters(d, "key", "text", a.min_agree, a.max_words).join(d.select("key", "doc_hash"), "key")
+    clustered, signed, linked = N.sweep(d, "key", "text", a.min_agree, a.max_words)
+    clustered = materialize(clustered.join(d.select("key", "doc_hash"), "key"), "clusters")
     ids = N.drop_list(clustered, "doc_hash")
+    sinks.signatures(signed.join(d.select("key", "shard_id"), "key"), f"{a.out}/sigs")
     sinks.drop_list(ids, f"{a.out}/drop")
-    print(sinks.manifest(f"{a.out}/NEARDUP.json", N.cluster_stats(clustered).first().asDict() | {"droplist_sha256": droplist_sha256(ids), "min_agree": a.min_agree}))
+    stats = N.sweep_stats(clustered, signed, linked, "doc_hash").first().asDict()
+    print(sinks.manifest(f"{a.out}/NEARDUP.json", stats | {"droplist_sha256": droplist_sha256(ids), "params": N.PARAMETERS | {"verify_min_agree": a.min_agree, "max_words": a.max_words}}))
     return 0
 
 
@@ -206,10 +335,12 @@ def pipeline_(a: argparse.Namespace) -> int:
     refused = check(a)
     if refused and not a.allow_refusals:
         return refused
-    for step in (run, build):
-        if code := step(a):
-            return code
-    a.manifest, a.out = f"{a.out}/BUILD-MANIFEST.json", f"{a.out}/REPORT.md"
+    if code := run(a):
+        return code
+    a.measured = None if a.max_docs else a.out
+    if code := build(a):
+        return code
+    a.manifest, a.corpus, a.declared, a.out = f"{a.out}/BUILD-MANIFEST.json", f"{a.out}/MANIFEST.json", None, f"{a.out}/REPORT.md"
     return summary(a)
 
 
@@ -238,21 +369,29 @@ def parser() -> argparse.ArgumentParser:
     verb(doctor)
     verb(init, (["folder"], {}), (["--registry"], {"default": "registry.json"}), (["--corpus-id"], {"default": "unnamed"}), (["--data-class"], {}), (["--force"], {"action": "store_true"}))
     verb(check, reg)
-    verb(run, reg, out, shards, (["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}))
-    verb(build, reg, out, shards, (["--eval-set"], {}), (["--plugin"], {"action": "append"}), (["--pii"], {"choices": ["keep", "redact", "drop"], "default": "redact"}), (["--emit"], {"action": "store_true"}), (["--min-scored"], {"type": int, "default": 200}))
-    verb(union, (["parts"], {"nargs": "+"}), out, name="build-union")
+    measuring = [(["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--lm"], {}), (["--tokenizer"], {}), (["--token-mb"], {"type": float, "default": 30.0})]
+    building = [
+        (["--plugin"], {"action": "append"}), (["--pii"], {"choices": ["keep", "redact", "drop"], "default": "redact"}), (["--emit"], {"action": "store_true"}), (["--min-scored"], {"type": int, "default": 200}),
+        (["--min-quality"], {"choices": ["low", "medium", "high"], "default": "medium"}), (["--perplexity"], {"type": float, "default": 0.99}), (["--no-near"], {"action": "store_true"}), (["--lexicon"], {}),
+        (["--published-probes"], {"action": "store_true"}),
+    ]
+    partial = (["--partial"], {"action": "store_true"})
+    verb(run, reg, out, shards, *measuring)
+    verb(merge, reg, (["runs"], {"nargs": "+"}), out, partial)
+    verb(build, reg, out, shards, (["--eval-set"], {}), (["--measured"], {}), *building)
+    verb(union, (["parts"], {"nargs": "+"}), out, partial, name="build-union")
     verb(attest, (["folder"], {}), (["--corpus-id"], {"default": "unnamed"}), out)
-    verb(summary, reg, (["--manifest"], {}), out, name="report")
+    verb(summary, reg, (["--manifest"], {}), (["--corpus"], {}), (["--declared"], {}), out, name="report")
     verb(extract, (["folder"], {}), out, (["--min-chars"], {"type": int, "default": 80}))
     verb(plugins)
     source = {"action": "append"}
     verb(eval_set, (["--from-dir"], source), (["--from-lines"], source), (["--from-jsonl"], source), (["--field"], {"default": "text"}), (["--min-chars"], {"type": int, "default": 40}), out, name="eval-set")
     verb(train_lm, reg, out, shards, (["--every"], {"type": int, "default": 50}), (["--max-mb"], {"type": float, "default": 64.0}), name="train-lm")
     verb(neardup, reg, out, shards, (["--min-agree"], {"type": int, "default": 21}), (["--max-words"], {"type": int}))
-    verb(
-        pipeline_, reg, out, shards, (["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--plugin"], {"action": "append"}),
-        (["--pii"], {"choices": ["keep", "redact", "drop"], "default": "redact"}), (["--emit"], {"action": "store_true"}), (["--min-scored"], {"type": int, "default": 200}), (["--allow-refusals"], {"action": "store_true"}), name="pipeline",
-    )
+    size = (["--mb"], {"type": float, "default": 10.0})
+    verb(tokenizer_sample, reg, out, shards, size, (["--phase"], {"type": int, "choices": [0, 1], "default": 0}), name="tokenizer-sample")
+    verb(tokenizer_eval, reg, out, shards, size, (["--phase"], {"type": int, "choices": [0, 1], "default": 1}), (["--tokenizer"], {"action": "append", "required": True}), name="tokenizer-eval")
+    verb(pipeline_, reg, out, shards, *measuring, *building, (["--allow-refusals"], {"action": "store_true"}), name="pipeline")
     return p
 
 

@@ -53,3 +53,12 @@ def droplist_sha256(ids: DataFrame, column: str = "doc_hash") -> str:
     for row in ids.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).toLocalIterator(prefetchPartitions=True):
         digest.update(bytes(row[0])[::-1])
     return digest.hexdigest()
+
+
+def rows_sha256(rows: DataFrame) -> str:
+    """SHA-256 over the distinct rows of a small table, whatever their order and repetition."""
+    each = rows.select(F.sha2(F.to_json(F.struct(*rows.columns)), 256).alias("h")).distinct().orderBy("h")
+    digest = hashlib.sha256()
+    for row in each.toLocalIterator():
+        digest.update(bytes.fromhex(row[0]))
+    return digest.hexdigest()

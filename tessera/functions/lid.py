@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.binding import let
 
@@ -72,3 +74,45 @@ def consistent(script: Column, language: Column) -> Column:
 def effective_language(script: Column, language: Column) -> Column:
     """The identified language, else the declared one where it is consistent, else null."""
     return F.coalesce(language_of(script), F.when(consistent(script, language), language))
+
+
+def load_model(path: str):
+    """A language identification model of the optional library; raises where it or the file is missing."""
+    import fasttext
+
+    return fasttext.load_model(path)
+
+
+_LOADED: dict[str, object] = {}
+
+
+def method_of(path: str | None, load=load_model) -> str:
+    """``model`` if the model can be loaded, else ``script``: recorded with every result, since the fallback is silent."""
+    if not path:
+        return "script"
+    try:
+        load(path)
+    except Exception:  # noqa: BLE001  whatever is wrong, scripts still tell
+        return "script"
+    return "model"
+
+
+def model_language(text: Column, path: str, chars: int | None = None, load=load_model) -> Column:
+    """``struct(language, confidence)`` of the model's best label for the text in one line, or for its first ``chars``
+    characters; codes are those of shards, unknown ones as the model gives them. One model a worker; null stays null."""
+
+    @F.pandas_udf(T.StructType([T.StructField("language", T.StringType()), T.StructField("confidence", T.DoubleType())]))
+    def identify(texts: pd.Series) -> pd.DataFrame:
+        if path not in _LOADED:
+            _LOADED[path] = load(path)
+        rows = []
+        for t in texts:
+            if t is None or not t.strip():
+                rows.append((None, None))
+                continue
+            labels, shares = _LOADED[path].predict(" ".join(t.split())[:chars])
+            code = labels[0].removeprefix("__label__")
+            rows.append((ISO_CODES.get(code, code), float(shares[0])))
+        return pd.DataFrame(rows, columns=["language", "confidence"])
+
+    return identify(text)

@@ -45,6 +45,18 @@ class Lexicon:
         return Lexicon(self.terms + other.terms, f"{self.source}+{other.source}")
 
 
+# Terms of our own choosing, for builds without a lexicon of their own; few and unmistakable.
+BUILTIN = {
+    "eng": ("idiot", "moron", "imbecile", "scumbag", "bastard", "bitch", "asshole", "dickhead", "motherfucker", "shithead", "go kill yourself"),
+    "hin": ("कमीना", "कमीने", "हरामी", "हरामखोर", "कुत्ते की औलाद", "बेवकूफ", "निकम्मा"),
+    "hin-latn": ("kamina", "kamine", "harami", "haramkhor", "bewakoof", "kutte ki aulad"),
+}
+
+
+def builtin() -> Lexicon:
+    return Lexicon(tuple(t for terms in BUILTIN.values() for t in terms), "builtin")
+
+
 class Matcher:
     """Hits of a lexicon in one text: one look-up a word, and sequences only where their first word stands."""
 

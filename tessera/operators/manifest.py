@@ -48,22 +48,23 @@ def union_builds(parts: list[DataFrame], identity: str) -> DataFrame:
 
 
 def check_union(manifests: list[dict]) -> None:
-    """Raises unless partitions may be united: one parent and corpus, equal configuration, equal cutoffs where both have one,
-    and no shard built twice."""
+    """Raises unless partitions may be united: one corpus, registry and parent, equal configurations but for the cutoffs of
+    languages that only one of them has, and no shard built twice. A receipt without a configuration cannot be compared."""
     if not manifests:
         raise ValueError("nothing to unite")
     seen: set[str] = set()
     cutoffs: dict[str, float] = {}
+    first = manifests[0]
     for m in manifests:
-        for key in ("corpus_id", "parent_hash"):
-            if m.get(key) != manifests[0].get(key):
+        if not m.get("config"):
+            raise ValueError("a partition's receipt names no configuration")
+        for key in ("corpus_id", "registry_sha256", "parent_hash"):
+            if m.get(key) != first.get(key):
                 raise ValueError(f"partitions differ in {key}")
-        scalar = lambda c: {k: v for k, v in c.items() if not isinstance(v, dict)}
-        if scalar(m.get("config", {})) != scalar(manifests[0].get("config", {})):
-            raise ValueError("partitions were built with different configurations")
-        if m.get("config", {}).get("probes") != manifests[0].get("config", {}).get("probes"):
-            raise ValueError("partitions were built with different scorer parameters")
-        for lang, cut in m.get("config", {}).get("cutoffs", {}).items():
+        for key in sorted((m["config"].keys() | first["config"].keys()) - {"cutoffs", "droplist_sha256"}):
+            if m["config"].get(key) != first["config"].get(key):
+                raise ValueError(f"partitions were built with different configurations: {key}")
+        for lang, cut in m["config"].get("cutoffs", {}).items():
             if cutoffs.setdefault(lang, cut) != cut:
                 raise ValueError(f"partitions have different cutoffs for {lang}")
         twice = seen & set(m.get("shards", []))
@@ -76,12 +77,43 @@ def unite(manifests: list[dict]) -> dict:
     """The manifest of the union: counts of all reasons are summed, plugins' included, and warnings are kept."""
     check_union(manifests)
     reasons: dict[str, int] = {}
+    cutoffs: dict[str, float] = {}
     for m in manifests:
+        cutoffs |= m["config"].get("cutoffs", {})
         for k, n in m.get("reasons", {}).items():
             reasons[k] = reasons.get(k, 0) + n
+    first = manifests[0]
+    return {
+        "corpus_id": first.get("corpus_id"), "registry_sha256": first.get("registry_sha256"), "parent_hash": first.get("parent_hash"), "config": first["config"] | {"cutoffs": dict(sorted(cutoffs.items()))},
+        "droplists": sorted({m["config"].get("droplist_sha256") or "" for m in manifests} - {""}), "shards": sorted(s for m in manifests for s in m.get("shards", [])), "reasons": reasons,
+        "warnings": [w for m in manifests for w in m.get("warnings", [])],
+    }
+
+
+def merge_runs(runs: list[dict], accepted: list[str], partial: bool = False) -> dict:
+    """One corpus manifest of measured runs. Raises if runs measured different registries or one shard twice, if a shard that
+    was measured is not accepted (any more), or, unless ``partial``, if an accepted one was not measured."""
+    if not runs:
+        raise ValueError("nothing to merge")
+    if len({r.get("registry_sha256") for r in runs}) > 1:
+        raise ValueError("the runs measured different registries")
+    shards: dict[str, dict] = {}
+    for r in runs:
+        for s in r["shards"]:
+            if s["shard_id"] in shards:
+                raise ValueError(f"shard {s['shard_id']} was measured twice")
+            shards[s["shard_id"]] = s
+    if strange := sorted(set(shards) - set(accepted)):
+        raise ValueError(f"measured but not accepted: {', '.join(strange)}")
+    missing = sorted(set(accepted) - set(shards))
+    if missing and not partial:
+        raise ValueError(f"not measured: {', '.join(missing)}; measure them or merge in part")
+    rows = [shards[k] for k in sorted(shards)]
+    total = {k: sum(s.get(k) or 0 for s in rows) for k in ("docs", "doc_bytes")}
+    tokens = [s.get("estimated_tokens") for s in rows]
     return {
-        "corpus_id": manifests[0].get("corpus_id"), "parent_hash": manifests[0].get("parent_hash"), "config": manifests[0].get("config"),
-        "shards": sorted(s for m in manifests for s in m.get("shards", [])), "reasons": reasons, "warnings": [w for m in manifests for w in m.get("warnings", [])],
+        "corpus_id": runs[0].get("corpus_id", "unnamed"), "registry_sha256": runs[0].get("registry_sha256"), "shards": rows, **total, "missing_shards": missing, "partial": bool(missing),
+        "truncated_by_max_docs": any(r.get("truncated_by_max_docs") for r in runs), "estimated_total_tokens": None if None in tokens else sum(tokens),
     }
 
 

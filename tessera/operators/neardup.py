@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,8 @@ from tessera.session import materialize
 
 # Parameters of the published signatures.
 SHINGLE_WORDS, NUM_PERM, BANDS, ROWS, VERIFY_MIN_AGREE, SEED = 5, 32, 8, 4, 21, 7
+#: What decides which documents are near duplicates; part of a build's configuration.
+PARAMETERS = {"shingle_words": SHINGLE_WORDS, "num_perm": NUM_PERM, "bands": BANDS, "lsh_rows": ROWS, "verify_min_agree": VERIFY_MIN_AGREE, "seed": SEED, "exemplar_rule": "least identity"}
 #: Modulus of the variant that SQL can compute, and its multipliers' seed.
 SQL_PRIME = 2147483647
 #: Members of a bucket that one worker compares among themselves; larger buckets are divided.
@@ -97,9 +99,9 @@ def agree(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
 
 
-def _part(sig: Column, mask: int) -> Column:
-    """Identity of a bucket: the rows of the mask and their values."""
-    return F.struct(F.lit(mask).cast("long").alias("mask"), F.xxhash64(F.array(*[F.get(sig, F.lit(i)) for i in range(NUM_PERM) if mask >> i & 1])).alias("code"))
+def _part(sig: Column, mask: int, *within: Column) -> Column:
+    """Identity of a bucket: the rows of the mask and their values, and what buckets are kept within."""
+    return F.struct(F.lit(mask).cast("long").alias("mask"), F.xxhash64(F.array(*[F.get(sig, F.lit(i)) for i in range(NUM_PERM) if mask >> i & 1]), *within).alias("code"))
 
 
 def _finer(mask: int, min_agree: int) -> list[int]:
@@ -146,33 +148,39 @@ def _pairs(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([p[i] for p in found], kind) for i in range(2)], ["left", "right"])
 
 
-def links(signed: DataFrame, key: str, min_agree: int = VERIFY_MIN_AGREE, bands: int = BANDS, rows: int = ROWS, most_held: int = MOST_HELD) -> DataFrame:
+def links(signed: DataFrame, key: str, min_agree: int = VERIFY_MIN_AGREE, bands: int = BANDS, rows: int = ROWS, most_held: int = MOST_HELD, within: str | None = None) -> DataFrame:
     """``(left, right)``: verified links that connect all members of a band's bucket which agree, directly or over others of it.
 
     Buckets are aggregated to their least key and joined back, so a bucket that holds a third of all rows is never
     collected, and links grow with its members, not with their pairs. Where that key rejects members, those and the
     accepted ones are compared among themselves: in one worker up to ``most_held`` members, larger buckets after they
     are divided by further rows, which separates no members that agree. Signatures that are equal are linked once before
-    the banding, so copies do not pass through every band.
+    the banding, so copies do not pass through every band. Bands hold keys only; signatures are fetched for members of
+    buckets of two or more. ``within``: a column whose values no link crosses.
     """
-    have = signed.where(F.col("sig").isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), "sig")
+    own = F.col(within) if within else F.lit(0)
+    have = signed.where(F.col("sig").isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("k"), "sig", own.alias("w"))
     kind = have.schema["k"].dataType.simpleString()
-    same = have.groupBy("sig").agg(F.min("k").alias("rep"))
-    found = have.join(same, "sig").where("k <> rep").select(F.col("k").alias("left"), F.col("rep").alias("right")).distinct()
-    first = F.array(*[_part(F.col("sig"), (1 << rows) - 1 << rows * i) for i in range(bands)])
+    same = materialize(have.groupBy("w", "sig").agg(F.min("k").alias("rep")), "kinds")
+    found = have.join(same, ["w", "sig"]).where("k <> rep").select(F.col("k").alias("left"), F.col("rep").alias("right")).distinct()
+    sigs = same.select(F.col("rep").alias("k"), "sig", "w")
+    first = F.array(*[_part(F.col("sig"), (1 << rows) - 1 << rows * i, F.col("w")) for i in range(bands)])
     # members that have the same label are connected already
-    at = same.select(F.col("rep").alias("k"), "sig", F.col("rep").alias("label"), F.explode(first).alias("b"))
+    at = sigs.select("k", F.col("k").alias("label"), F.explode(first).alias("b")).select("b.mask", "b.code", "k", "label")
     while True:
-        members = materialize(at.select("b.mask", "b.code", "k", "sig", "label"), "bands")
-        # the representative's signature travels with the least key, so verification needs no second join
-        reps = members.groupBy("mask", "code").agg(F.min(F.struct("k", "sig", "label")).alias("r"), F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("z")).where("n > 1 and a <> z").drop("a", "z")
-        near = F.col("k").eqNullSafe(F.col("r.k")) | (agree(F.col("sig"), F.col("r.sig")) >= min_agree)
-        met = materialize(members.join(reps, ["mask", "code"]).select("mask", "code", "k", "sig", "n", F.col("r.k").alias("rep"), near.alias("near"), F.when(near, F.col("r.label")).otherwise(F.col("label")).alias("label")), "met")
+        members = materialize(at, "bands")
+        reps = members.groupBy("mask", "code").agg(F.min(F.struct("k", "label")).alias("r"), F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("z")).where("n > 1 and a <> z")
+        # one row for each bucket fetches the representative's signature, so no key is hot there
+        reps = materialize(reps.select("mask", "code", "n", F.col("r.k").alias("rep"), F.col("r.label").alias("rep_label")).join(sigs.select(F.col("k").alias("rep"), F.col("sig").alias("rep_sig")), "rep"), "reps")
+        both = members.join(reps, ["mask", "code"]).join(sigs.select("k", "sig"), "k")
+        near = F.col("k").eqNullSafe(F.col("rep")) | (agree(F.col("sig"), F.col("rep_sig")) >= min_agree)
+        met = materialize(both.select("mask", "code", "k", "n", "rep", near.alias("near"), F.when(near, F.col("rep_label")).otherwise(F.col("label")).alias("label")), "met")
         found = found.unionByName(met.where("near and k <> rep").select(F.col("k").alias("left"), F.col("rep").alias("right")))
         unlike = met.where("n > 2").groupBy("mask", "code").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select("mask", "code")
         # the representative has been compared with all
-        open_ = materialize(met.where("n > 2 and k <> rep").join(unlike, ["mask", "code"]).select("mask", "code", "k", "sig", "label", "n"), "open")
-        held = open_.where(F.col("n") <= most_held).drop("n").repartition("mask", "code").sortWithinPartitions("mask", "code", "k")
+        open_ = materialize(met.where("n > 2 and k <> rep").join(unlike, ["mask", "code"]).select("mask", "code", "k", "label", "n"), "open")
+        held = open_.where(F.col("n") <= most_held).drop("n").join(sigs.select("k", "sig"), "k").select("mask", "code", "k", "sig", "label")
+        held = held.repartition("mask", "code").sortWithinPartitions("mask", "code", "k")
         found = found.unionByName(held.mapInArrow(_link_buckets(min_agree), f"left {kind}, right {kind}"))
         large = open_.where(F.col("n") > most_held)
         masks = [r[0] for r in large.select("mask").distinct().collect()]
@@ -181,22 +189,23 @@ def links(signed: DataFrame, key: str, min_agree: int = VERIFY_MIN_AGREE, bands:
         pieces = F.lit(None).cast("array<struct<mask: bigint, code: bigint>>")
         for mask in masks:
             if finer := _finer(mask, min_agree):
-                pieces = F.when(F.col("mask") == mask, F.array(*[_part(F.col("sig"), m) for m in finer])).otherwise(pieces)
+                pieces = F.when(F.col("mask") == mask, F.array(*[_part(F.col("sig"), m, F.col("w")) for m in finer])).otherwise(pieces)
         # one division may be reached over several others
-        at = large.select("k", "sig", "label", F.explode(pieces).alias("b")).groupBy("b", "k").agg(F.first("sig").alias("sig"), F.min("label").alias("label"))
+        at = large.join(sigs, "k").select("k", "label", F.explode(pieces).alias("b")).groupBy("b", "k").agg(F.min("label").alias("label")).select("b.mask", "b.code", "k", "label")
 
 
-def components(edges: DataFrame, left: str = "left", right: str = "right", most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, left: str = "left", right: str = "right") -> DataFrame:
     """``(node, component)`` of an edge list, the component being its least node, by alternating large and small stars.
 
     Every round points neighbours to the least one they know; each round's edges are written, and the edges stop changing
-    after a number of rounds that grows with the logarithm of the longest chain. Minima are aggregated before the
-    shuffle, so a node in very many edges is no hot spot.
+    after a number of rounds that grows with the logarithm of the longest chain; only then is the result returned. Minima
+    are aggregated before the shuffle, and a node in very many edges is one row on the other side of the join, whose hot
+    partition AQE splits.
     """
     e = edges.select(F.greatest(left, right).alias("u"), F.least(left, right).alias("v")).where("u > v").distinct()
     e = materialize(e, "edges")
     mark = None
-    for _ in range(most_rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u > v").distinct()
@@ -213,10 +222,34 @@ def components(edges: DataFrame, left: str = "left", right: str = "right", most_
 
 def clusters(docs: DataFrame, key: str, text: str, min_agree: int = VERIFY_MIN_AGREE, max_words: int | None = None) -> DataFrame:
     """``(key, cluster)`` of every document: the least key of its near-duplicate cluster, itself if it has none."""
-    signed = signatures(docs.select(key, text), text, max_words).select(key, "sig")
-    signed = materialize(signed, "signatures")
-    found = components(links(signed, key, min_agree)).select(F.col("node").alias(key), "component")
-    return signed.select(key).join(found, key, "left").select(key, F.coalesce("component", key).alias("cluster"))
+    return sweep(docs, key, text, min_agree, max_words)[0]
+
+
+def sweep(docs: DataFrame, key: str, text: str, min_agree: int = VERIFY_MIN_AGREE, max_words: int | None = None, within: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(clusters, signatures, links)`` of all documents, both latter written tables. Every document has one signature row,
+    null for too few words; a different number of rows raises."""
+    own = [within] if within else []
+    signed = materialize(signatures(docs.select(key, text, *own), text, max_words).select(key, "sig", *own), "signatures")
+    if signed.count() != docs.count():
+        raise ValueError("signatures are not those of these documents")
+    linked = materialize(links(signed, key, min_agree, within=within), "links")
+    found = components(linked).select(F.col("node").alias(key), "component")
+    return signed.select(key).join(found, key, "left").select(key, F.coalesce("component", key).alias("cluster")), signed, linked
+
+
+def sweep_stats(clustered: DataFrame, signed: DataFrame, linked: DataFrame, identity: str) -> DataFrame:
+    """One row: the cluster figures, documents with a signature, verified links, and identities to drop. ``clustered`` has
+    ``identity`` beside key and cluster."""
+    rows = [cluster_stats(clustered), signed.agg(F.count("sig").alias("shingleable")), linked.agg(F.count("*").alias("verified_pairs")), drop_list(clustered, identity).agg(F.count("*").alias("dropped_unique_hashes"))]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return every.agg(*[F.max(c).alias(c) for c in every.columns])
+
+
+def within_shards(docs: DataFrame, key: str, text: str, shard: str) -> DataFrame:
+    """``(shard, near_dup_rate)``: the share of a shard's documents that is not the first of its cluster in the shard."""
+    clustered = sweep(docs, key, text, within=shard)[0].join(docs.select(key, shard), key)
+    per = clustered.groupBy(shard, "cluster").agg(F.count("*").alias("n"))
+    return per.groupBy(shard).agg(F.round((F.sum("n") - F.count("*")) / F.sum("n"), 6).alias("near_dup_rate"))
 
 
 def drop_list(clustered: DataFrame, identity: str) -> DataFrame:

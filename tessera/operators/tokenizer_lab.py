@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.operators import sampling
+
 #: Folder of the public vocabularies and the one used unless told otherwise. Vocabularies are never trained here.
 TOKENIZERS = os.environ.get("TESSERA_TOKENIZERS", "/opt/tokenizers")
 VOCABULARY = "byte_bpe_50k.json"
@@ -61,3 +64,37 @@ def windowed_sample(docs: DataFrame, group: str, position: str, size: str, phase
     at = F.col(position) * windows / F.col("_total")
     inside = (at - F.floor(at)).between(PHASES[phase], PHASES[phase] + READ_SHARE)
     return docs.join(F.broadcast(total), group).where(inside).drop("_total")
+
+
+def metered(docs: DataFrame, group: str, order: str, text: str, budget: int, path: str | None = None) -> DataFrame:
+    """Bytes per token of each group, measured on its documents in order until the byte budget is reached."""
+    sized = docs.withColumn("_size", F.octet_length(text))
+    return token_ratios(sampling.byte_budget(sized, group, order, "_size", budget), group, text, path)
+
+
+def placed(docs: DataFrame, group: str, order: str, text: str, slots: int = 4096) -> DataFrame:
+    """``docs`` with ``position`` and ``n_bytes``: the byte of its group at which each document begins. Groups are cut into
+    ranges of the order that are summed first, so no task sums a whole group."""
+    d = docs.where(F.col(text).isNotNull()).withColumn("n_bytes", F.octet_length(text).cast("long"))
+    slim = d.select(group, order, "n_bytes")
+    edges = slim.groupBy(group).agg(F.max(order).alias("_high"))
+    slim = slim.join(F.broadcast(edges), group).withColumn("_slot", F.floor(F.col(order) * slots / (F.col("_high") + 1))).drop("_high")
+    sums = slim.groupBy(group, "_slot").agg(F.sum("n_bytes").alias("_sum"))
+    before = Window.partitionBy(group).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(group, "_slot", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(group, "_slot").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    at = slim.withColumn("_in", F.coalesce(F.sum("n_bytes").over(within), F.lit(0))).join(sums, [group, "_slot"]).select(group, order, (F.col("_before") + F.col("_in")).alias("position"))
+    return d.join(at, [group, order])
+
+
+def balanced_sample(docs: DataFrame, group: str, order: str, text: str, budget: int, phase: int = 0) -> DataFrame:
+    """About ``budget`` bytes of each group, from windows spread over it; the two phases share no document."""
+    inside = windowed_sample(placed(docs, group, order, text), group, "position", "n_bytes", phase)
+    return sampling.byte_budget(inside, group, order, "n_bytes", budget)
+
+
+def compare(docs: DataFrame, group: str, text: str, paths: list[str], sizes: DataFrame | None = None, size: str = "doc_bytes") -> DataFrame:
+    """Bytes per token of every vocabulary and group, with the projection to ``sizes`` (group, size) where it is given."""
+    rows = [token_ratios(docs, group, text, p).withColumn("tokenizer", F.lit(os.path.basename(p))) for p in paths]
+    out = reduce(DataFrame.unionByName, rows)
+    return out if sizes is None else out.join(F.broadcast(sizes), group, "left").withColumn("projected_tokens", F.floor(F.try_divide(size, "bytes_per_token")))

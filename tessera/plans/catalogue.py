@@ -205,7 +205,9 @@ def neardup_clusters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def neardup_stats(spark: SparkSession, folder: str) -> DataFrame:
-    return neardup.cluster_stats(_clusters(spark, folder))
+    docs = spread(table(spark, folder, "documents").select("doc_id", "text"))
+    clustered, signed, linked = neardup.sweep(docs, "doc_id", "text")
+    return neardup.sweep_stats(clustered.join(docs.select("doc_id", hashing.identity(F.col("text")).alias("identity")), "doc_id"), signed, linked, "identity")
 
 
 def neardup_drop_list(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ import html
 import platform
 import sys
 import unicodedata
+from collections import Counter
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -60,30 +61,59 @@ def is_filtered_build(m: dict | None) -> bool:
     return bool(m) and "filtered_build_hash" in m
 
 
-def training_summary(gated: DataFrame, build: dict | None = None) -> str:
-    """Markdown summary of training content for publication: sources, licences, classes, refusals, filters, and explicit gaps."""
-    ok = gate.accepted(gated)
+def table(head: tuple[str, ...], rows: list[tuple]) -> list[str]:
+    """Lines of a Markdown table; what is null or blank is a gap."""
+    return ["| " + " | ".join(head) + " |", "|" + "-|" * len(head), *("| " + " | ".join(GAP if v in (None, "") else f"{v:,}" if isinstance(v, int) else str(v).replace("|", "/") for v in r) + " |" for r in rows)]
+
+
+def training_summary(gated: DataFrame, build: dict | None = None, corpus: dict | None = None, declared: dict | None = None) -> str:
+    """Markdown summary of training content for publication, after the public template: who and what, where the data come from
+    by class, languages, what was refused, and how the data were processed.
+
+    Everything is a projection of the registry, the manifest of a filtered ``build`` and that of the measured ``corpus``;
+    ``declared`` has what no receipt can know (provider, contact, model, opt-out policy). Whatever is not recorded is stated
+    as a gap and counted, never left out; nothing is truncated.
+    """
+    declared, corpus = declared or {}, corpus or {}
+    ok = gate.provenance(gated).orderBy("shard_id").collect()
+    refused = gated.where("reason is not null").select("shard_id", "reason").orderBy("shard_id").collect()
     meta = gated.select(*[c for c in ("corpus_id",) if c in gated.columns]).first()
-    out = [f"# Summary of training content: {meta[0] if meta else 'unnamed'}", "", "## Shards"]
-    out += [f"- {r['shard_id']}: {r['source']} ({r['license']}, {r['data_class']}, acquired {r['date_acquired']})" for r in gate.provenance(gated).orderBy("shard_id").limit(10_000).collect()] or [GAP]
-    out += ["", "## Licences"] + [f"- {r['license']}: {r['n']}" for r in ok.groupBy("license").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "license").collect()]
-    out += ["", "## Classes"] + [f"- {r['k']}: {r['n']}" for r in ok.groupBy(F.lower(F.trim("data_class")).alias("k")).agg(F.count("*").alias("n")).orderBy("k").collect()]
-    refused = gated.where("reason is not null")
-    out += ["", "## Refused", f"{refused.count()} shards were refused."] + [f"- {r['shard_id']}: {r['reason']}" for r in refused.orderBy("shard_id").limit(50).collect()]
-    out += ["", "## Filters"]
-    if is_filtered_build(build):
-        out += [f"- {k}: {n}" for k, n in sorted(build.get("reasons", {}).items())] + [f"- build hash {build['filtered_build_hash']}"]
+    measured = {s["shard_id"]: s for s in corpus.get("shards", [])}
+    filtered = is_filtered_build(build)
+    config = (build or {}).get("config", {}) if filtered else {}
+    out = [f"# Summary of training content: {meta[0] if meta else 'unnamed'}", "", "## 1. General information"]
+    out += [f"- {label}: {declared.get(key) or GAP}" for key, label in (("provider", "Provider"), ("contact", "Contact"), ("model", "Model"), ("released", "Placed on the market"))]
+    out += ["- Modality: text", f"- Size: {corpus['docs']:,} documents, {corpus['doc_bytes']:,} bytes" if "docs" in corpus else f"- Size: {GAP}", f"- Estimated tokens: {corpus.get('estimated_total_tokens') or GAP}"]
+    dates = sorted(r["date_acquired"] for r in ok if r["date_acquired"])
+    out += [f"- Acquired: {dates[0]} to {dates[-1]}" if dates else f"- Acquired: {GAP}", ""]
+    out += ["## 2. Sources"]
+    for kind, title in (("public", "2.1 Publicly available data"), ("licensed", "2.2 Licensed data"), ("synthetic-own", "2.3 Synthetic data of our own")):
+        mine = [r for r in ok if (r["data_class"] or "").strip().lower() == kind]
+        out += ["", f"### {title}"]
+        rows = [(r["shard_id"], r["source"], r["license"], r["language"], r["date_acquired"], measured.get(r["shard_id"], {}).get("docs"), measured.get(r["shard_id"], {}).get("doc_bytes")) for r in mine]
+        out += table(("shard", "source", "licence", "language", "acquired", "documents", "bytes"), rows) if rows else ["None."]
+    out += ["", "### 2.4 Data of users or customers", "None is admitted: the registry refuses such classes.", "", "### 2.5 Licences"]
+    out += [f"- {k}: {n}" for k, n in sorted(Counter(r["license"] for r in ok).items(), key=lambda x: (-x[1], x[0]))] or [GAP]
+    out += ["", "### 2.6 Languages"] + ([f"- {k}: {n} shards" for k, n in sorted(Counter(r["language"] for r in ok).items())] or [GAP])
+    out += ["", "### 2.7 Refused", f"{len(refused)} shards were refused."] + [f"- {r['shard_id']}: {r['reason']}" for r in refused]
+    out += ["", "## 3. Processing", "", "### 3.1 Filters"]
+    if filtered:
+        out += [f"- {k}: {n:,}" for k, n in sorted(build.get("reasons", {}).items())] + [f"- configuration {build.get('filter_config_sha256', GAP)}", f"- build hash {build['filtered_build_hash']}"]
     else:
         out += [GAP + " (the manifest given is not of a filtered build)"]
-    out += ["", "## Personal data", "Detectors: " + ", ".join(KINDS) + "."]
-    return "\n".join(out) + "\n"
-
-
-def composition(roll: dict, by_shard: list[dict]) -> str:
-    """Markdown table of the corpus by shard with totals."""
-    head = ["| shard | docs | bytes | duplicates |", "|-|-|-|-|"]
-    rows = [f"| {s['shard_id']} | {s['docs']:,} | {s['bytes']:,} | {s['dup_rate']:.4f} |" for s in sorted(by_shard, key=lambda s: s["shard_id"])]
-    return "\n".join([*head, *rows, f"| total | {roll['docs']:,} | {roll['doc_bytes']:,} | {roll['dup_rate']:.4f} |"]) + "\n"
+    out += ["", "### 3.2 Rights reserved by rightholders", f"- Opt-out policy: {declared.get('opt_out') or GAP}"]
+    out += ["", "### 3.3 Illegal and harmful content", f"- Lexicon: {config.get('lexicon_sha256') or GAP}"]
+    out += ["", "### 3.4 Personal data", f"- Policy: {config.get('pii_policy') or GAP}", "- Detectors: " + ", ".join(KINDS) + "."]
+    out += ["", "### 3.5 Evaluation data", f"- Screened against: {config.get('eval_sha256') or GAP}"]
+    gaps = sum(line.count(GAP) for line in out)
+    return "\n".join([*out, "", "## 4. Gaps", f"{gaps} entries are not recorded."]) + "\n"
+
+
+def composition(corpus: dict) -> str:
+    """Markdown table of a measured corpus by shard with totals."""
+    rows = [(s["shard_id"], s["docs"], s["doc_bytes"], s["unique_docs"], f"{1 - s['unique_docs'] / s['docs']:.4f}" if s["docs"] else "0.0000", s.get("mean_quality_score")) for s in corpus["shards"]]
+    total = ("total", corpus["docs"], corpus["doc_bytes"], corpus.get("unique_docs"), f"{corpus.get('dup_rate', 0.0):.4f}", "")
+    return "\n".join([f"# Composition of {corpus.get('corpus_id', 'unnamed')}", "", *table(("shard", "documents", "bytes", "distinct", "duplicates", "quality"), rows + [total])]) + "\n"
 
 
 def page(title: str, sections: dict[str, dict]) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,33 +30,89 @@ def _trimmed(text):
     return F.regexp_replace(text, r"^[ \t\n\r\x0B\f]+|[ \t\n\r\x0B\f]+$", "")
 
 
-def documents(spark: SparkSession, path: str, normalize: bool = False) -> DataFrame:
-    """``(path, doc_index, text)``: blocks parted by blank lines, stripped of ASCII white space, empty ones skipped.
+def qualified(spark: SparkSession, path: str) -> str:
+    """The URI of a path under the session's file systems."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
-    Files with plain line feeds are split at blank lines by the reader, so large files are read in parallel. With
-    ``normalize`` carriage returns become line feeds first, which needs whole files. Indices follow the order in the file:
-    parts of files are numbered by their place, then within.
+
+def plain_uri(uri):
+    """A URI with decoded signs and one form of leading slashes, as readers and file systems write them differently."""
+    return F.regexp_replace(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), "^([a-z0-9]+):/+", "$1:/")
+
+
+def line_ends(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """Kind of line ends of each file, by a scan of all its bytes: ``lf``, ``crlf`` throughout, or ``mixed``."""
+    lines = spark.read.option("lineSep", "\n").text(paths).select(F.col("_metadata.file_path").alias("path"), "value")
+    ended, inner = F.col("value").endswith("\r"), F.instr(F.expr("substring(value, 1, length(value) - 1)"), "\r") > 0
+    per = lines.groupBy("path").agg(F.count("*").alias("n"), F.count_if(ended).alias("ended"), F.count_if(inner).alias("inner"))
+    kind = F.when((F.col("ended") == 0) & (F.col("inner") == 0), "lf").when((F.col("inner") == 0) & (F.col("ended") >= F.col("n") - 1), "crlf").otherwise("mixed")
+    return {r["path"]: r["kind"] for r in per.select("path", kind.alias("kind")).collect()}
+
+
+def documents(spark: SparkSession, paths: str | list[str], kind: str | None = None) -> DataFrame:
+    """``(path, doc_index, text)``: blocks parted by blank lines, stripped of ASCII white space, empty ones skipped; carriage
+    returns, alone or before line feeds, are line feeds.
+
+    All files are read in one scan for each kind of line ends that occurs (see :func:`line_ends`; ``kind`` states it). Files
+    with line feeds or with carriage return and line feed throughout are split at blank lines by the reader, so large ones
+    are read in parallel; only files that mix line ends are read whole, up to 2 GB each.
     """
-    if normalize:
-        whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
-        blocks = whole.select("path", F.posexplode(F.split("value", "\n\n")).alias("at", "text"))
-        kept = blocks.withColumn("text", _trimmed(F.col("text"))).where("text <> ''")
-        return kept.select("path", (F.row_number().over(Window.partitionBy("path").orderBy("at")) - 1).cast("long").alias("doc_index"), "text")
+    paths = [paths] if isinstance(paths, str) else paths
+    kinds = {p: kind for p in paths} if kind else line_ends(spark, paths)
+    by: dict[str, list[str]] = {}
+    for p, k in kinds.items():
+        by.setdefault(k, []).append(p)
+    out = [_whole(spark, by["mixed"])] if "mixed" in by else []
+    out += [_split(spark, by[k], sep) for k, sep in (("lf", "\n\n"), ("crlf", "\r\n\r\n")) if k in by]
+    if not out:  # empty files have no lines and so no kind
+        return spark.createDataFrame([], "path string, doc_index long, text string")
+    return reduce(DataFrame.unionByName, out)
+
+
+def _whole(spark: SparkSession, paths: list[str]) -> DataFrame:
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
+    kept = whole.select("path", F.posexplode(F.filter(F.transform(F.split("value", "\n\n"), _trimmed), lambda t: t != "")).alias("doc_index", "text"))
+    return kept.select("path", F.col("doc_index").cast("long").alias("doc_index"), "text")
+
+
+def _split(spark: SparkSession, paths: list[str], sep: str) -> DataFrame:
     # Blocks of one file stay in order inside a part of it, and a later part begins at a later byte.
-    lines = spark.read.option("lineSep", "\n\n").text(path)
-    kept = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"), _trimmed(F.col("value")).alias("text")).where("text <> ''")
+    lines = spark.read.option("lineSep", sep).text(paths)
+    text = _trimmed(F.regexp_replace("value", "\r\n", "\n") if "\r" in sep else F.col("value"))
+    kept = lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("at"), text.alias("text")).where("text <> ''")
     kept = materialize(kept, "documents")
-    # Indices are offsets of parts plus places within a part: no window holds a whole file.
-    counts = kept.groupBy("path", "part").agg(F.count("*").alias("n"))
+    # Indices are offsets of parts plus places within a part: no window holds a whole file, and no text is shuffled.
+    firsts = kept.groupBy("path", "part").agg(F.count("*").alias("n"), F.min("at").alias("first"))
     before = Window.partitionBy("path").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("path", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    offsets = firsts.select("path", "part", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    slim = kept.select("path", "part", "at")
     within = F.row_number().over(Window.partitionBy("path", "part").orderBy("at")) - 1
-    return kept.withColumn("_k", within).join(offsets, ["path", "part"]).select("path", (F.col("before") + F.col("_k")).cast("long").alias("doc_index"), "text")
+    placed = slim.withColumn("_k", within).join(offsets, ["path", "part"]).select("at", (F.col("before") + F.col("_k")).cast("long").alias("doc_index"))
+    return kept.join(placed, "at").select("path", "doc_index", "text")
+
+
+def checksums(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``(path, length, sha256)`` of the raw bytes of every file, streamed by one task a file whatever its size. Only paths are
+    planned with, so any file system that the workers see will do."""
+    files = spark.read.format("binaryFile").load(paths).select("path", "length")
 
+    def run(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        for batch in batches:
+            sums = []
+            for path in batch.column(0).to_pylist():
+                digest = hashlib.sha256()
+                where, name = fs.FileSystem.from_uri(path if ":/" in path else f"file://{path}")
+                with where.open_input_stream(name) as f:
+                    while part := f.read(1 << 22):
+                        digest.update(part)
+                sums.append(digest.hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sums, pa.string())], ["path", "length", "sha256"])
 
-def checksums(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of the raw bytes of every file (of up to 2 GB each)."""
-    return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return files.mapInArrow(run, "path string, length long, sha256 string")
 
 
 def registry(spark: SparkSession, path: str) -> DataFrame:
@@ -80,10 +137,9 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
 
 def foreign_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Blank-line documents of all corpus files below a folder, its receipts excepted."""
-    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{txt,jsonl,json,md}").text(folder, wholetext=True)
-    name = F.lower(F.col("_metadata.file_name"))
-    files = df.where(~name.isin(*RECEIPTS)).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"))
-    return files.select("path", F.explode(F.split("value", "\n\n")).alias("text")).withColumn("text", _trimmed(F.col("text"))).where("text <> ''")
+    found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{txt,jsonl,json,md}").format("binaryFile").load(folder).select("path", F.lower(F.col("_metadata.file_name")).alias("name"))
+    paths = [r["path"] for r in found.where(~F.col("name").isin(*RECEIPTS)).select("path").collect()]
+    return documents(spark, paths).select("path", "text") if paths else spark.createDataFrame([], "path string, text string")
 
 
 def eval_sources(spark: SparkSession, path: str, kind: str, field: str = "text") -> DataFrame:

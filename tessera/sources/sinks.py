@@ -62,6 +62,12 @@ def manifest(path: str, content: dict) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def file_sha256(path: str) -> str:
+    """SHA-256 of one small file, such as a registry."""
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
 class EventLog:
     """Events appended to ``events.jsonl``; a log that cannot be written never stops a run."""
 

@@ -114,3 +114,17 @@ def test_content_identity(spark):
     assert hashing.ids_digest(ids) == hashing.ids_digest(ids.repartition(7)) == golden
     assert hashing.ids_digest(ids.limit(0)) == "0e5751c026e543b2e8ab2eb06099daa1d1e5df47778f7787faab45cdf12fe3a8"
     assert hashing.ids_digest(ids, distinct=False) != golden
+
+
+def test_model_identification_falls_back():
+    assert lid.method_of(None) == lid.method_of("/no/model") == "script"
+    assert lid.method_of("m", load=lambda _: object()) == "model"
+
+
+def test_model_identification(spark):
+    class Model:
+        def predict(self, text):
+            return (["__label__hi" if "है" in text else "__label__zz"], [0.75])
+
+    got = _rows(spark, ["यह\nहै", "zz", None, " "]).select("i", lid.model_language(F.col("text"), "m", load=lambda _: Model()).alias("m")).orderBy("i").collect()
+    assert [(r["m"]["language"], r["m"]["confidence"]) for r in got] == [("hin", 0.75), ("zz", 0.75), (None, None), (None, None)]

@@ -198,9 +198,17 @@ def test_roll_ups_and_unions(spark):
     assert u["rows"] - u["distinct_docs"] == u["cross_partition_rekept_docs"]
     m = {"corpus_id": "c", "parent_hash": "h", "config": {"x": 1, "cutoffs": {"eng": 3.0}}, "shards": ["a"], "reasons": {"plugin:z": 2}}
     assert manifest.unite([m, m | {"shards": ["b"]}])["reasons"] == {"plugin:z": 4}
-    for bad in ({"shards": ["a"]}, {"parent_hash": "i"}, {"config": {"x": 2}, "shards": ["b"]}, {"config": {"x": 1, "cutoffs": {"eng": 4.0}}, "shards": ["b"]}):
+    for bad in ({"shards": ["a"]}, {"parent_hash": "i", "shards": ["b"]}, {"registry_sha256": "r", "shards": ["b"]}, {"config": {"x": 2}, "shards": ["b"]}, {"config": {}, "shards": ["b"]}, {"config": {"x": 1, "cutoffs": {"eng": 4.0}}, "shards": ["b"]}):
         with pytest.raises(ValueError):
             manifest.unite([m, m | bad])
+    run = {"registry_sha256": "r", "shards": [{"shard_id": "a", "docs": 2, "doc_bytes": 9, "estimated_tokens": 4}]}
+    other = {"registry_sha256": "r", "shards": [{"shard_id": "b", "docs": 1, "doc_bytes": 1, "estimated_tokens": None}]}
+    both = manifest.merge_runs([run, other], ["a", "b"])
+    assert (both["docs"], both["doc_bytes"], both["partial"], both["estimated_total_tokens"]) == (3, 10, False, None)
+    assert manifest.merge_runs([run], ["a", "b"], partial=True)["missing_shards"] == ["b"]
+    for runs, accepted in (([run], ["a", "b"]), ([run, run], ["a"]), ([run, other], ["a"]), ([run, other | {"registry_sha256": "q"}], ["a", "b"]), ([], [])):
+        with pytest.raises(ValueError):
+            manifest.merge_runs(runs, accepted)
     assert manifest.build_warnings(0, 5)[0].startswith("EMPTY") and manifest.build_warnings(1, 5)[0].startswith("HIGH") and manifest.build_warnings(4, 5) == []
 
 

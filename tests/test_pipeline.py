@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera import cli
+from tessera.functions import toxicity
+from tessera.operators import manifest, tokenizer_lab, verdict
 from tessera.plans import pipeline, report
 from tessera.sources import corpus, sinks
 from tessera.streaming import ingest
@@ -22,8 +24,9 @@ def _write(path, data):
 @pytest.mark.parametrize("sep", ["\n", "\r\n", "\r"])
 def test_blank_line_documents(spark, tmp_path, sep):
     p = _write(tmp_path / "a.txt", "A\nA2\n\n\n\n B \n\nC\n".replace("\n", sep))
-    got = [(r["doc_index"], r["text"]) for r in corpus.documents(spark, p, normalize=sep != "\n").orderBy("doc_index").collect()]
+    got = [(r["doc_index"], r["text"]) for r in corpus.documents(spark, p).orderBy("doc_index").collect()]
     assert got == [(0, "A\nA2"), (1, "B"), (2, "C")]
+    assert set(corpus.line_ends(spark, [p]).values()) == {{"\n": "lf", "\r\n": "crlf", "\r": "mixed"}[sep]}
 
 
 def test_documents_in_many_parts(spark, tmp_path):
@@ -37,6 +40,21 @@ def test_documents_in_many_parts(spark, tmp_path):
     assert got == docs
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_many_files_in_one_scan(spark, tmp_path, end):
+    want = {}
+    for k in range(5):
+        want[k] = [f"file {k} line {i}{end}more" for i in range(60)]
+        (tmp_path / f"{k}.txt").write_bytes((end * 2).join(want[k]).encode())
+    (tmp_path / "empty.txt").write_bytes(b"")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    try:
+        rows = corpus.documents(spark, [str(p) for p in sorted(tmp_path.iterdir())]).orderBy("path", "doc_index").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r["path"].rsplit("/", 1)[1], r["doc_index"], r["text"]) for r in rows] == [(f"{k}.txt", i, t.replace("\r", "")) for k, texts in want.items() for i, t in enumerate(texts)]
+
+
 def test_small_sources(spark, tmp_path):
     _write(tmp_path / "x.htm", "<p>hello</p>")
     _write(tmp_path / "eng.txt", "# no\nIdiot \n\nmoron\n")
@@ -66,14 +84,15 @@ def test_build_and_receipts(spark, tmp_path, two_shards):
     gated, docs = pipeline.read(spark, two_shards)  # the refused shard has no file at all
     assert docs.count() == 7
     m = {r["shard_id"]: r for r in pipeline.measure(docs, 1).collect()}
-    assert m["one"]["exact_dup_docs"] == 1 and m["two"]["pii_docs"] == 1
+    assert m["one"]["exact_dup_docs"] == 1 and m["two"]["pii_docs"] == 1 and m["two"]["pii_spans"]["email"] == 1
+    assert sum(m["one"]["quality_histogram"]) == m["one"]["sampled"] == 5 and m["one"]["lang_counts"] == {"eng": 5} and m["one"]["near_dup_rate"] == 0.6
     judged, receipt = pipeline.build(docs, pipeline.Build(near=False))
     assert receipt["reasons"] == receipt["reasons"] | {"exact_dup": 2, "quality": 1, "kept": 4} and receipt["warnings"]
     again, other = pipeline.build(docs.repartition(5), pipeline.Build(near=False))
     assert other["filtered_build_hash"] == receipt["filtered_build_hash"] != receipt["corpus_build_hash"]
     near = pipeline.build(docs, pipeline.Build())[1]["reasons"]
     assert near["near_dup"] == 2 and near["kept"] == 2
-    pipeline.emit(judged, str(tmp_path / "out"))
+    pipeline.emit(docs, judged, str(tmp_path / "out"))
     text = "".join(r[0] for r in spark.read.text(str(tmp_path / "out/text/*/*"), wholetext=True).collect())
     assert "[PII:email]" in text and "a.b@example.org" not in text and "birch" in text
     assert spark.read.json(str(tmp_path / "out/drops")).count() == 3
@@ -82,6 +101,81 @@ def test_build_and_receipts(spark, tmp_path, two_shards):
     assert "&lt;b&gt;" in report.page("x", {"h": {"k": "<b>"}})
 
 
+def test_a_build_is_identified_by_all_that_decides(spark, tmp_path, two_shards):
+    _, docs = pipeline.read(spark, two_shards)
+    items = spark.createDataFrame([("e", "the ferry keeper of the old town counted every boat on the river and wrote")], "id string, text string")
+    ways = [{}, {"items": items}, {"lexicon": toxicity.Lexicon(("moron",))}, {"perplexity": 0.9}, {"near": True}, {"config": verdict.FilterConfig(probes={"pii_chars": 10})}]
+    receipts = [pipeline.build(docs, pipeline.Build(**({"near": False} | w)))[1] for w in ways]
+    assert len({r["filter_config_sha256"] for r in receipts}) == len(ways)
+    assert receipts[1]["reasons"]["contamination"] and receipts[1]["config"]["eval_sha256"]
+    with pytest.raises(ValueError):  # partitions that were screened against different items
+        manifest.unite([receipts[0], receipts[1] | {"shards": ["other"]}])
+    with pytest.raises(ValueError):
+        verdict.FilterConfig(probes={"nothing": 1})
+    assert pipeline.build(docs, pipeline.Build(near=False))[1]["filter_config_sha256"] == receipts[0]["filter_config_sha256"]
+
+
+def test_only_measured_documents_are_built(spark, tmp_path, two_shards, capsys):
+    out = str(tmp_path / "run")
+    assert cli.main(["run", two_shards, "--out", out, "--every", "1"]) == 0
+    assert cli.main(["build", two_shards, "--measured", out, "--out", str(tmp_path / "b"), "--lexicon", "builtin", "--no-near"]) == 0
+    text = (tmp_path / "two.txt").read_text()
+    (tmp_path / "two.txt").write_text(text.replace("amber", "ambers"))
+    capsys.readouterr()
+    assert cli.main(["build", two_shards, "--measured", out, "--out", str(tmp_path / "c")]) == 2 and "in shards: two" in capsys.readouterr().err
+    (tmp_path / "two.txt").write_text(text)
+    registry = json.loads((tmp_path / "registry.json").read_text())
+    (tmp_path / "registry.json").write_text(json.dumps(registry, indent=2))
+    assert cli.main(["build", two_shards, "--measured", out, "--out", str(tmp_path / "c")]) == 2 and "registry has changed" in capsys.readouterr().err
+    assert cli.main(["run", two_shards, "--out", out, "--shards", "three"]) == 2 and "forbidden" in capsys.readouterr().err
+    assert cli.main(["run", two_shards, "--out", out, "--shards", "nine"]) == 2
+
+
+def test_partitions_unite_and_runs_merge(spark, tmp_path, two_shards, capsys):
+    at = lambda name: str(tmp_path / name)
+    whole = ["--no-near", "--perplexity", "0"]
+    for shard in ("one", "two"):
+        assert cli.main(["run", two_shards, "--out", at(f"run-{shard}"), "--shards", shard, "--every", "1"]) == 0
+        assert cli.main(["build", two_shards, "--out", at(f"build-{shard}"), "--shards", shard, *whole]) == 0
+    assert cli.main(["build-union", at("build-one"), at("build-two"), "--out", at("union")]) == 0
+    united = json.loads((tmp_path / "union/BUILD-MANIFEST.json").read_text())
+    assert united["rows"] == 5 and united["cross_partition_rekept_docs"] == 1 and united["shards"] == ["one", "two"] and united["reasons"]["kept"] == 5
+    assert cli.main(["build-union", at("build-one"), at("nowhere"), "--out", at("u2")]) == 2
+    assert cli.main(["build-union", at("build-one"), at("nowhere"), "--out", at("u2"), "--partial"]) == 0
+    assert cli.main(["build", two_shards, "--out", at("other"), "--shards", "two", "--min-quality", "high", *whole]) == 0
+    assert cli.main(["build-union", at("build-one"), at("other"), "--out", at("u3")]) == 2 and "min_quality" in capsys.readouterr().err
+    assert cli.main(["merge", two_shards, at("run-one"), "--out", at("m")]) == 2
+    assert cli.main(["merge", two_shards, at("run-one"), "--out", at("m"), "--partial"]) == 0
+    assert cli.main(["merge", two_shards, at("run-one"), at("run-two"), "--out", at("merged")]) == 0
+    m = json.loads((tmp_path / "merged/MANIFEST.json").read_text())
+    assert (m["docs"], m["unique_docs"], m["intra_dups"], m["cross_dups"], m["partial"]) == (7, 5, 1, 1, False) and "| total | 7 |" in (tmp_path / "merged/COMPOSITION.md").read_text()
+
+
+def test_tokenizer_laboratory(spark, tmp_path):
+    for k in ("one", "two"):
+        _write(tmp_path / f"{k}.txt", "\n\n".join(f"{k} {i} {LONG}" for i in range(400)))
+    registry = _registry(tmp_path, [("one", "public"), ("two", "public")])
+    at = lambda name: str(tmp_path / name)
+    assert cli.main(["tokenizer-sample", registry, "--out", at("s0"), "--mb", "0.02"]) == 0
+    assert cli.main(["tokenizer-sample", registry, "--out", at("s1"), "--mb", "0.02", "--phase", "1"]) == 0
+    held = [{t for r in spark.read.option("lineSep", "\n\n").text(f"{at(s)}/text/*/*").collect() for t in [r[0]] if t} for s in ("s0", "s1")]
+    assert all(held) and not held[0] & held[1]
+    assert 20_000 <= json.loads((tmp_path / "s0/RECIPE.json").read_text())["languages"][0]["bytes"] < 20_400
+    files = [f"{tokenizer_lab.TOKENIZERS}/{n}" for n in ("byte_bpe_50k.json", "word_bpe_49k.json")]
+    assert cli.main(["tokenizer-eval", registry, "--out", at("e"), "--mb", "0.02", *(x for f in files for x in ("--tokenizer", f))]) == 0
+    rows = json.loads((tmp_path / "e/TOKENIZERS.json").read_text())["rows"]
+    assert len(rows) == 2 and all(r["bytes_per_token"] > 2 and r["projected_tokens"] > r["measured_tokens"] for r in rows)
+    assert cli.main(["run", registry, "--out", at("run"), "--tokenizer", files[0], "--token-mb", "0.01"]) == 0
+    assert all(s["estimated_tokens"] > 1000 for s in json.loads((tmp_path / "run/MANIFEST.json").read_text())["shards"])
+
+
+def test_summary_states_gaps(spark, tmp_path, two_shards):
+    gated, _ = pipeline.read(spark, two_shards)
+    bare, told = report.training_summary(gated), report.training_summary(gated, declared={"provider": "P", "opt_out": "robots"})
+    gaps = lambda t: int(t.split("## 4. Gaps\n")[1].split()[0])
+    assert gaps(bare) == gaps(told) + 2 and "### 2.2 Licensed data\nNone." in bare and "three: forbidden" in bare
+
+
 def test_attestation(spark, tmp_path):
     (tmp_path / "c").mkdir()
     _write(tmp_path / "c/a.txt", "one\n\ntwo")
