@@ -26,7 +26,7 @@ TEXTS_PER_LABEL, SENTENCES_PER_TEXT = 320, 24
 #: Bytes of a dictionary and zstandard's level.
 DICTIONARY_BYTES, LEVEL = 32_000, -3
 #: Rounds in which a dictionary is filled.
-FILL_ROUNDS = 8
+FILL_ROUNDS = 4
 #: Bytes compressed at once where a whole text is classified, few enough that the dictionary still tells.
 BLOCK_BYTES = 4096
 #: A sentence has this many words and letters at least.
@@ -161,17 +161,12 @@ def _fill(parts: list[bytes], rounds: int = 1) -> bytes:
     return b"\n".join(out)
 
 
-def _claimed(pools: dict[str, list[bytes]]) -> dict[str, list[list[str]]]:
-    """The labels that explain each sentence best, by dictionaries made of the other half of every label's sentences."""
-    halves = [{k: _sizer(_fill(p[h::2])) for k, p in pools.items()} for h in (0, 1)]
-    out: dict[str, list[list[str]]] = {}
-    for lang, parts in pools.items():
-        out[lang] = []
-        for i, b in enumerate(parts):
-            sizes = {k: len(c.compress(b)) for k, c in halves[1 - i % 2].items()}
-            least = min(sizes.values())
-            out[lang].append([k for k, n in sizes.items() if n == least])
-    return out
+def _sizes(pools: dict[str, list[bytes]], asked: set[str]) -> dict[str, tuple[list[str], np.ndarray]]:
+    """For each label asked for: the labels, and what their dictionaries, made of the other half of every label's sentences,
+    make of each of its sentences."""
+    names = sorted(pools)
+    halves = [[_sizer(_fill(pools[k][h::2])) for k in names] for h in (0, 1)]
+    return {k: (names, np.array([[len(c.compress(b)) for c in halves[1 - i % 2]] for i, b in enumerate(pools[k])])) for k in asked}
 
 
 def languages_of_script(pools: dict[str, list[bytes]], shares: dict[str, float]) -> dict[str, list[bytes]]:
@@ -185,11 +180,15 @@ def languages_of_script(pools: dict[str, list[bytes]], shares: dict[str, float])
     """
     pools = dict(pools)
     home = {k for k in pools if 2 * shares[k] > 1}
+    sizes = _sizes(pools, pools.keys() - home)
     while len(pools) > 1 and pools.keys() - home:
         pairs = []
-        for k, c in _claimed(pools).items():
-            claims = {o: sum((o in best) / len(best) for best in c) / len(c) for o in pools}
-            if k not in home and claims[k] < OWN_SHARE:
+        for k in pools.keys() - home:
+            names, table = sizes[k]
+            held = [i for i, o in enumerate(names) if o in pools]
+            best = table[:, held] == table[:, held].min(axis=1, keepdims=True)
+            claims = {names[i]: float(c) for i, c in zip(held, (best / best.sum(axis=1, keepdims=True)).mean(axis=0), strict=True)}
+            if claims[k] < OWN_SHARE:
                 other = max((o for o in pools if o != k), key=lambda o: (claims[o], shares[o], o))
                 pairs.append(min((shares[k], k), (shares[other], other)) if other not in home else (shares[k], k))
         if not pairs:
