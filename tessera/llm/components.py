@@ -67,7 +67,8 @@ def connected_components(edges: DataFrame, left: str, right: str, last_merge_edg
     * Other columns are ignored, whatever their names.
     * A node in very many edges costs each partition one forest edge, so no group is ever collected.
     * While more than ``last_merge_edges`` forest edges remain, leaves of the forests are retired with a pointer
-      to their parent and the rest is repartitioned and contracted again; the pointers are followed back at the end.
+      to their parent and the rest is repartitioned by one end, hubs over several partitions, and contracted again; the
+      pointers are followed back at the end.
     """
     spark = edges.sparkSession
     e = edges.select(F.col(left).cast("long").alias("u"), F.col(right).cast("long").alias("v")).where("u is not null and v is not null")
@@ -77,7 +78,8 @@ def connected_components(edges: DataFrame, left: str, right: str, last_merge_edg
     turn = 0
     while (n := forest.count()) > last_merge_edges:
         turn += 1
-        parts = max(2, -(-n // max(1, last_merge_edges // 2)))
+        most = max(1, last_merge_edges // 2)
+        parts = max(2, -(-n // most))
         # A forest edge (u, v) has u > v. A node that is nobody's parent leaves with its smallest parent; its other parents are linked.
         parents = forest.select(F.col("v").alias("u")).distinct().withColumn("inner_node", F.lit(True))
         by_node = forest.groupBy("u").agg(F.min("v").alias("least"), F.collect_set("v").alias("all"))
@@ -86,9 +88,13 @@ def connected_components(edges: DataFrame, left: str, right: str, last_merge_edg
         retired.append(leaves.select("u", F.col("least").alias("v")))
         among = leaves.select(F.explode("all").alias("u"), F.col("least").alias("v")).where("u <> v")
         kept = marked.where("inner_node").select("u", F.explode("all").alias("v"))
-        rest = among.unionByName(kept).distinct()
         key = F.least("u", "v") if turn % 2 else F.greatest("u", "v")
-        forest = materialize(rest.repartition(parts, key).mapInArrow(_forest, "u long, v long"), "forest")
+        rest = materialize(among.unionByName(kept).distinct().withColumn("meet", key), "rest")
+        # a node with more edges than a task may hold is met in several; there are fewer such nodes than partitions
+        hubs = rest.groupBy("meet").agg(F.count("*").alias("n")).where(F.col("n") > most)
+        salt = F.pmod(F.xxhash64("u", "v"), F.coalesce(F.ceil(F.col("n") / most), F.lit(1)))
+        spread = rest.join(F.broadcast(hubs), "meet", "left").select("u", "v", "meet", salt.alias("salt"))
+        forest = materialize(spread.repartition(parts, "meet", "salt").select("u", "v").mapInArrow(_forest, "u long, v long"), "forest")
     found = materialize(forest.coalesce(1).mapInArrow(_forest, "u long, v long"), "merged").select(F.col("u").alias("node"), F.col("v").alias("component"))
     for pointers in reversed(retired):
         above = found.select(F.col("node").alias("v"), "component")

@@ -1,7 +1,8 @@
 """Text that was decoded with the wrong character encoding (problem 9).
 
-For every character of a repertoire and every wrong decoder the garbled sequence is computed beforehand. One
-Aho-Corasick automaton finds all of them in a text; only the matched spans are replaced.
+For every character of a repertoire and every wrong decoder of UTF-8 the garbled sequence is computed beforehand. One
+Aho-Corasick automaton finds all of them in a text; only the matched spans are replaced. Of pairs of single-byte code pages,
+where each character became one other, the garbled alphabets are computed: whole words of them are read back.
 """
 
 from __future__ import annotations
@@ -18,16 +19,33 @@ from pyspark.sql import functions as F
 
 # Decoders that UTF-8 text is commonly read with by mistake.
 CODECS = ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1251", "koi8-r", "cp866", "cp1250", "cp1254", "iso8859-15")
-# Blocks whose characters are written in the corpus (first, last).
+# Blocks of characters that are looked for (first, last).
 BLOCKS = (
-    (0x00A0, 0x00FF), (0x0600, 0x06FF), (0x0900, 0x097F), (0x0980, 0x09FF), (0x0A80, 0x0AFF), (0x0B80, 0x0BFF),
-    (0x0C00, 0x0C7F), (0x200B, 0x200F), (0x2010, 0x2026), (0x2030, 0x203A), (0x20A8, 0x20BF), (0x2122, 0x2122),
+    (0x00A0, 0x00FF), (0x0600, 0x06FF), (0x0900, 0x097F), (0x0980, 0x09FF), (0x0A00, 0x0A7F), (0x0A80, 0x0AFF), (0x0B00, 0x0B7F), (0x0B80, 0x0BFF),
+    (0x0C00, 0x0C7F), (0x0C80, 0x0CFF), (0x0D00, 0x0D7F), (0x0D80, 0x0DFF), (0x0E00, 0x0E7F), (0x200B, 0x200F), (0x2010, 0x2026), (0x2030, 0x203A), (0x20A8, 0x20BF), (0x2122, 0x2122),
     (0x2190, 0x2193), (0x2212, 0x2212), (0x2260, 0x2265), (0xFEFF, 0xFEFF), (0xFF10, 0xFF19), (0xFFFD, 0xFFFD),
 )
+#: Blocks of which a garbled character is two common signs: they count only where WEAK_LEAST of them are in a text.
+WEAK_BLOCKS = ((0x0100, 0x017F), (0x0386, 0x03CE), (0x0401, 0x0491))
+WEAK_LEAST = 3
+#: Pictures beyond the basic plane, four bytes each.
+PICTURES = ((0x1F300, 0x1F64F), (0x1F680, 0x1F6FF), (0x1F900, 0x1F9FF))
+# Code pages of one byte a character by what they are read as by mistake, with the letters they hold and the commonest of these.
+SINGLE = {
+    ("cp1251", "koi8-r", "iso8859-5", "mac_cyrillic", "cp866"): ("абвгдежзийклмнопрстуфхцчшщъыьэюя", "оеаинтсрвл"),
+    ("cp1253", "iso8859-7"): ("αβγδεζηθικλμνξοπρσςτυφχψωάέήίόύώ", "αοιετσνηυρ"),
+}
+SINGLE_READ_AS = ("cp1252", "latin-1")
+#: Letters of a garbled word at least, and of all garbled words of a text.
+SINGLE_WORD, SINGLE_ALL = 4, 8
 LOST = "�"
 _RANK = {c: i for i, c in enumerate([*CODECS, *(c + "*2" for c in CODECS)])}
 
 
+def _is_weak(char: str) -> bool:
+    return any(a <= ord(char) <= b for a, b in WEAK_BLOCKS)
+
+
 def _decode(data: bytes, codec: str) -> str:
     """As lenient programs decode: bytes a code page leaves undefined become the control character of the same number."""
     out = []
@@ -51,12 +69,14 @@ def patterns() -> dict[str, tuple[tuple[str, str], ...]]:
         if len(seq) > 1 and not seq.isascii():
             found.setdefault(seq, {}).setdefault(codec, char)
 
-    for first, last in BLOCKS:
+    for first, last in (*BLOCKS, *WEAK_BLOCKS, *PICTURES):
         for code in range(first, last + 1):
             char = chr(code)
             data = char.encode()
             for codec in CODECS:
                 once = _decode(data, codec)
+                if _is_weak(char) and not all(ord(c) >= 0x80 for c in once):
+                    continue
                 add(once, codec, char)
                 if codec in ("cp1252", "latin-1", "mac_roman", "cp437"):
                     add(_decode(once.encode(), codec), codec + "*2", char)
@@ -81,17 +101,69 @@ def automaton() -> ahocorasick.Automaton:
     return a
 
 
+@lru_cache(1)
+def _alphabets() -> list[tuple[str, dict[int, str], str]]:
+    """``(pair, garbled letter to letter, commonest letters)`` of all pairs of single-byte code pages."""
+    out = []
+    for pages, (letters, common) in SINGLE.items():
+        for true in pages:
+            for read in SINGLE_READ_AS:
+                table = {}
+                for c in letters + letters.upper():
+                    try:
+                        table[ord(c.encode(true).decode(read))] = c
+                    except (UnicodeEncodeError, UnicodeDecodeError):
+                        continue
+                out.append((f"{true}>{read}", table, common))
+    return out
+
+
+@lru_cache(1)
+def _single_class() -> str:
+    """Regex class of all garbled letters of single-byte pairs."""
+    return "[" + "".join(f"\\x{{{c:x}}}" for c in sorted({c for _, table, _ in _alphabets() for c in table if c >= 0x80})) + "]"
+
+
+@lru_cache(1)
+def _single_words() -> re.Pattern:
+    cls = re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: re.escape(chr(int(m.group(1), 16))), _single_class())
+    return re.compile(rf"(?<!\w){cls}{{{SINGLE_WORD},}}(?!\w)")
+
+
+def restore_single(text: str) -> tuple[str, int, str | None]:
+    """The text with words of one garbled alphabet read back, how many there were, and the pair. No language writes words of
+    four and more such letters alone; of the pairs that can read all of them, the one whose letters are commonest in the
+    language, and whose words are not capitalised inside, is taken."""
+    words = _single_words().findall(text)
+    if sum(map(len, words)) < SINGLE_ALL:
+        return text, 0, None
+    best = (0.0, "", {})
+    for pair, table, common in _alphabets():
+        read = [w.translate(table) for w in words if all(ord(c) in table for c in w)]
+        if len(read) < len(words):
+            continue
+        letters = "".join(read)
+        plain = sum(w[1:].islower() or w.isupper() for w in read) / len(read)
+        score = plain * sum(c in common for c in letters.lower()) / len(letters)
+        if score > best[0]:
+            best = (score, pair, table)
+    if best[0] < 0.45:
+        return text, 0, None
+    return _single_words().sub(lambda m: m.group().translate(best[2]), text), len(words), best[1]
+
+
 @lru_cache(1)
 def trigger_class() -> str:
-    """Regex class of characters one of which any garbled sequence starts with, for a cheap test inside the JVM."""
+    """Pattern of what any garbled text holds, for a cheap test inside the JVM: a character that a garbled sequence starts
+    with, or a word of letters that single-byte pairs leave."""
     firsts = {seq[0] for seq in patterns()} | {LOST}
-    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(firsts)) + "]"
+    return "[" + "".join(f"\\x{{{ord(c):x}}}" for c in sorted(firsts)) + "]|" + _single_class() + f"{{{SINGLE_WORD}}}"
 
 
 @lru_cache(1)
 def _trigger() -> re.Pattern:
     firsts = {seq[0] for seq in patterns()} | {LOST}
-    return re.compile("[" + "".join(re.escape(c) for c in sorted(firsts)) + "]")
+    return re.compile("[" + "".join(re.escape(c) for c in sorted(firsts)) + "]|" + _single_words().pattern)
 
 
 def restore(text: str | None) -> tuple[str | None, int, int, str | None]:
@@ -103,7 +175,15 @@ def restore(text: str | None) -> tuple[str | None, int, int, str | None]:
     if not text or not _trigger().search(text):
         return text, 0, 0, None
     matches = [(end - n + 1, end + 1, readings) for end, (n, readings) in automaton().iter(text)]
+    weak = [all(_is_weak(char) for _, char in m[2]) for m in matches]
+    if any(weak) and sum(weak) < WEAK_LEAST:
+        matches = [m for m, w in zip(matches, weak, strict=True) if not w]
     alone = text.count(LOST)
+    # whole words of a garbled alphabet tell more than the few pairs of signs in them that other garbling could leave
+    if sum(map(len, _single_words().findall(text))) > 1.5 * sum(b - a for a, b, _ in matches):
+        fixed, n, pair = restore_single(text)
+        if n:
+            return fixed, alone + n, alone, pair
     if not matches:
         return text, alone, alone, None
     weight: Counter = Counter()

@@ -20,7 +20,19 @@ cuts AS (
   FROM spread s JOIN goals g USING (shard_id) WHERE s.upto >= g.target_fraction * s.n GROUP BY s.shard_id)
 """
 
+# Everything a hash reaches over links; its least is the group.
+_GROUPS = """
+WITH RECURSIVE pairs AS (SELECT left_hash AS a, right_hash AS b FROM neardup_pairs WHERE agree >= 21 AND left_hash <> right_hash),
+links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+reached(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+groups AS (SELECT least(a, min(b)) AS group_hash, a AS doc_hash FROM reached GROUP BY a)
+"""
+
 SQL = {
+    "p2_found": _GROUPS + "SELECT group_hash, doc_hash FROM groups",
+    "p2_sweep": _GROUPS
+    + """SELECT count(*) AS clusters, coalesce(sum(n), 0)::BIGINT AS hashes_in_clusters, coalesce(max(n), 0) AS largest_cluster, coalesce(sum(n - 1), 0)::BIGINT AS dropped_unique_hashes
+  FROM (SELECT group_hash, count(*) AS n FROM groups GROUP BY group_hash)""",
     "p4_found": _LATEST + "SELECT s.shard_id, s.doc_index FROM scored s JOIN cuts c USING (shard_id) WHERE s.score > c.cutoff",
     "p4_report": _LATEST
     + """SELECT g.shard_id, g."language", g.target_fraction, g.max_bits_per_char, c.cutoff,

@@ -2,7 +2,8 @@
 
 The vocabulary is compiled into an Aho-Corasick automaton over its tokens. The last token of the encoding of every
 prefix is the longest matching token that is compatible with the last token before it, so one pass counts the
-exact encoding without making it.
+exact encoding without making it. Of the matches at an end, longest first, all that precede the fitting one are looked at,
+so time is linear in the text for a vocabulary whose tokens have a bounded length.
 """
 
 from __future__ import annotations
@@ -164,7 +165,7 @@ def token_counts(df: DataFrame, text: str, keep: list[str], path: str | None = N
             if classifier:
                 langs = [classifier.main(t) for t in texts]
                 tags = batch.column(keep.index(tag)).to_pylist() if tag else [None] * len(texts)
-                domains = [g if g and g.strip() else classify_text(t, lang, probe=None) for g, t, lang in zip(tags, texts, langs, strict=True)]
+                domains = [g if g and g.strip() else classify_text(t, lang) for g, t, lang in zip(tags, texts, langs, strict=True)]
                 cols += [pa.array(langs, pa.string()), pa.array(domains, pa.string())]
                 names += ["language", "domain"]
             yield pa.RecordBatch.from_arrays(cols, names)

@@ -36,6 +36,13 @@ def test_components_equal_brute_force(spark, last):
     assert got == _groups(edges)
 
 
+def test_hubs_with_many_inner_neighbours(spark):
+    # every neighbour of the hub is a parent itself, so none is retired at once
+    edges = [(0, i) for i in range(1, 150)] + [(i, 1000 + i) for i in range(1, 150)] + [(1000 + i, 3000 + 7 * i) for i in range(1, 150)] + [(90_000, 90_001)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(6)
+    assert {tuple(r) for r in components.connected_components(df, "a", "b", last_merge_edges=60).collect()} == _groups(edges)
+
+
 def test_components_of_nothing(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
 

@@ -27,12 +27,26 @@ def test_garbled_span_in_correct_text_only():
     assert fixed == f"{good} naïve {HIN[1]}" and spans
 
 
+@pytest.mark.parametrize("text", ["ਪੰਜਾਬੀ ਵਿੱਚ ਇੱਕ ਵਾਕ", "ಕನ್ನಡದ ಒಂದು ವಾಕ್ಯ", "മലയാളത്തിൽ ഒരു വാക്യം", "ଓଡ଼ିଆ ବାକ୍ୟ", "Это русское предложение", "Αυτή είναι μια πρόταση", "zażółć gęślą jaźń", "so happy 😀🚀 today"])
+def test_more_scripts_round_trip(text):
+    for codec in ("cp1252", "mac_roman", "cp437"):
+        assert encodings.restore(encodings._decode(text.encode(), codec))[0] == text
+
+
+@pytest.mark.parametrize("true", ["cp1251", "koi8-r", "iso8859-5", "cp1253"])
+def test_single_byte_pairs(true):
+    text = "Η ελληνική γλώσσα έχει μεγάλη ιστορία" if true == "cp1253" else "Привет, это обычное русское предложение о погоде"
+    for read in ("cp1252", "latin-1"):
+        got = encodings.restore(f"He wrote: {encodings._decode(text.encode(true), read)} (1998)")
+        assert sum(a == b for a, b in zip(got[0], f"He wrote: {text} (1998)")) >= len(got[0]) - 6 and got[1] >= 3 and got[3].startswith(true)
+
+
 def test_twice_garbled():
     once = "don’t".encode().decode("cp1252")
     assert encodings.restore(once.encode().decode("cp1252"))[0] == "don’t"
 
 
-@pytest.mark.parametrize("text", [None, "", "plain", "The chart shows Ã, Â and Å.", "ÂNCORA", "naïve résumé façade", "An ångström", "long Ð and round Þ", "₹1745 — ok…", "x" * 200_000])
+@pytest.mark.parametrize("text", [None, "", "plain", "The chart shows Ã, Â and Å.", "ÂNCORA", "naïve résumé façade", "An ångström", "long Ð and round Þ", "₹1745 — ok…", "x" * 200_000, "ÄÖÜ ÉÈÊË", "créée à l’été, Þórður Ðæ", "Ä… und Å’", "3 × 4 × 5"])
 def test_intended_letters_stay(text):
     assert encodings.restore(text)[:3] == (text, 0, 0)
 
@@ -232,5 +246,5 @@ def test_domain_of_whole_texts():
     long = "plain words " * 500 + " loan interest bank credit insurance mortgage deposit " * 3
     signals = "\nimport os\ndef f(x):\n    return x\nclass A:\n    pass\n#include <a.h>\nconst x = 1;\n"
     for text in (long, "plain words " * 500 + signals):
-        assert domain.classify_text(text, "eng") == "general"
-        assert domain.classify_text(text, "eng", probe=None) == domain.classify_text(text[5900:], "eng") != "general"
+        assert domain.classify_text(text, "eng", domain.PROBE_CHARS) == "general"
+        assert domain.classify_text(text, "eng") == domain.classify_text(text[5900:], "eng") != "general"
