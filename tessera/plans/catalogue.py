@@ -254,8 +254,8 @@ def build_union(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def measured_missing(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of documents that no measurement covers, and of measurements without a document: the first must be empty."""
-    docs, measured = table(spark, folder, "documents"), table(spark, folder, "doc_scores")
+    """Records of documents that no measurement with a score covers: a build on scores would have to measure them first."""
+    docs, measured = table(spark, folder, "documents"), table(spark, folder, "doc_scores").where("bits_per_char is not null")
     key = F.concat_ws(":", "shard_id", "doc_index").alias("record")
     return dedup.missing_from(docs.select(key), measured.select(key), "record")
 

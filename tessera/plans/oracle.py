@@ -171,7 +171,7 @@ SELECT count(*) AS shards, sum(full_pass.file_bytes)::BIGINT AS file_bytes, sum(
   round(coalesce(avg(lid.consistency_rate), 0), 6) AS mean_consistency, round(coalesce(sum(full_pass.exact_dup_docs) / nullif(sum(full_pass.docs), 0), 0), 6) AS dup_rate FROM n WHERE k = 1""",
     "build_union": """WITH r AS (SELECT DISTINCT text, 1 AS p FROM documents WHERE shard_id[1] IN ('v', 'k') UNION ALL SELECT DISTINCT text, 2 FROM documents WHERE shard_id[1] IN ('l', 's', 'c', 'p')), e AS (SELECT text, count(*) AS n FROM r GROUP BY text)
 SELECT sum(n)::BIGINT AS rows, count(*) AS distinct_docs, (sum(n) - count(*))::BIGINT AS cross_partition_rekept_docs FROM e""",
-    "measured_missing": "SELECT DISTINCT concat_ws(':', shard_id, doc_index) AS record FROM documents WHERE concat_ws(':', shard_id, doc_index) NOT IN (SELECT concat_ws(':', shard_id, doc_index) FROM doc_scores)",
+    "measured_missing": "SELECT DISTINCT concat_ws(':', shard_id, doc_index) AS record FROM documents WHERE concat_ws(':', shard_id, doc_index) NOT IN (SELECT concat_ws(':', shard_id, doc_index) FROM doc_scores WHERE bits_per_char IS NOT NULL)",
     "html_strip": r"""SELECT doc_id, array_to_string(list_filter(list_transform(string_split(regexp_replace(replace(replace(
   regexp_replace(regexp_replace(regexp_replace('<html><style>p {color: red}</style><!-- a <b> comment --><SCRIPT type=''x''>var a = 1 < 2;</SCRIPT><p class=''y''>' || regexp_replace(text, '[<>&]', ' ', 'g') || '</p>' || chr(10) || chr(10) || '<br/>Tom &amp; Co&nbsp;end</html>',
     '(?is)<style.*?</style>|<script.*?</script>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'), '&amp;', '&'), '&nbsp;', ' '), '[ \t\x{A0}]+', ' ', 'g'), chr(10)), lambda x: trim(x)), lambda x: x <> ''), chr(10)) AS text FROM documents""",
