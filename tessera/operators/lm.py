@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.percentiles import percentiles
 from tessera.session import materialize
 
 # Smoothing, caps of a model, probe and least length, and the least number of scored documents for a cutoff.
@@ -161,13 +162,19 @@ def _bits_by_join(d: DataFrame, trigram: DataFrame, unigram: DataFrame) -> DataF
 
 def distribution(scored: DataFrame, group: str) -> DataFrame:
     """Count, mean, percentiles and maximum of the scores of each group; exact percentiles with interpolation."""
-    pct = lambda p: F.percentile("bits", F.lit(p))
-    return scored.where("bits is not null").groupBy(group).agg(
-        F.count("*").alias("scored"), F.avg("bits").alias("mean"), pct(0.5).alias("p50"), pct(0.9).alias("p90"), pct(0.99).alias("p99"), F.max("bits").alias("max")
-    )
+    d = scored.where("bits is not null")
+    plain = d.groupBy(group).agg(F.count("*").alias("scored"), F.avg("bits").alias("mean"), F.max("bits").alias("max"))
+    return _beside(plain, percentiles(d, group, "bits", {"p50": 0.5, "p90": 0.9, "p99": 0.99}), group).select(group, "scored", "mean", "p50", "p90", "p99", "max")
+
+
+def _beside(left: DataFrame, right: DataFrame, group: str) -> DataFrame:
+    """Rows of two tables with one row a group, null being a group."""
+    other = right.withColumnRenamed(group, "_g")
+    return left.join(other, left[group].eqNullSafe(other["_g"])).drop("_g")
 
 
 def cutoffs(scored: DataFrame, group: str, at: float = 0.99, min_scored: int = MIN_SCORED) -> DataFrame:
     """Cutoff of each group with enough scored documents; null, and so no filter, for the others."""
-    d = scored.where("bits is not null").groupBy(group).agg(F.count("*").alias("scored"), F.percentile("bits", F.lit(at)).alias("p"))
-    return d.select(group, "scored", F.when(F.col("scored") >= min_scored, F.col("p")).alias("cutoff"))
+    d = scored.where("bits is not null")
+    both = _beside(d.groupBy(group).agg(F.count("*").alias("scored")), percentiles(d, group, "bits", {"p": at}), group)
+    return both.select(group, "scored", F.when(F.col("scored") >= min_scored, F.col("p")).alias("cutoff"))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.toxicity import Lexicon
+from tessera.operators.percentiles import percentiles
 from tessera.operators import contamination, dedup, gate, lm, manifest, neardup, sampling, verdict
 from tessera.plans import catalogue
 from tessera.plugins import TextPlugin, identities, load, min_words
@@ -161,6 +162,21 @@ def test_language_model(spark):
     assert abs(cut["a"] - np.percentile(range(300), 99)) < 1e-9 and cut["b"] is None
 
 
+def test_percentiles_equal_sorting(spark):
+    rng = random.Random(2)
+    groups = {"one": [3.5], "two": [1.0, 2.0], "ties": [1.0] * 900 + [2.0] * 100, "many": [rng.gauss(0, 1) for _ in range(40_000)], "few": [rng.random() for _ in range(37)], None: [5.0, 7.0, 9.0], "far": [1e300, -1e300, 0.0, 5e-324]}
+    rows = [(g, v, 1) for g, vs in groups.items() for v in vs] + [("one", None, 1), ("empty", None, 1)]
+    df = spark.createDataFrame(rows, "g string, x double, n int").repartition(6)
+    shares = {"a": 0.0, "b": 0.5, "c": 0.9, "d": 0.99, "e": 1.0, "f": 0.12345}
+    got = {r["g"]: r for r in percentiles(df, "g", "x", shares).collect()}
+    assert set(got) == set(groups)
+    for g, vs in groups.items():
+        for name, p in shares.items():
+            want = float(np.percentile(vs, 100 * p))
+            assert abs(got[g][name] - want) <= 1e-9 * max(1.0, abs(want)), (g, name)
+    assert percentiles(df.limit(0), "g", "x", shares).count() == 0
+
+
 def _verdicts(spark, parts=3, **more):
     long = [f"{BASE} with a different ending number {i} that makes this document its own and long enough to pass every length rule" for i in range(20)]
     texts = [*long, long[0], "bad line here\n" * 60, "idiot moron " + long[3], None, "", long[5] + " write to a@b.org"]
