@@ -94,24 +94,32 @@ def run(a: argparse.Namespace) -> int:
 
     spark, began = _session(), time.time()
     os.makedirs(a.out, exist_ok=True)
-    log = sinks.EventLog(a.out)
-    log.emit("phase", name="read")
+    log = sinks.Reporter(sinks.EventLog(a.out))
+    log.phase("read")
     gated, docs = pipeline.read(spark, a.registry, a.shards)
     if a.max_docs:
         docs = docs.where(F.col("doc_index") < a.max_docs)
     items = corpus.eval_items(spark, a.eval_set).select("id", "text") if a.eval_set else None
     models = (spark.read.parquet(f"{a.lm}/trigram"), spark.read.parquet(f"{a.lm}/unigram")) if a.lm else None
     tokens = tokenizer_lab.metered(docs, "shard_id", "doc_index", "text", int(a.token_mb * 1e6), a.tokenizer) if a.tokenizer else None
-    log.emit("phase", name="measure")
+    log.phase("measure")
     rows = [_plain(r.asDict(recursive=True)) for r in pipeline.measure(docs, a.every, items, models, tokens).orderBy("shard_id").collect()]
     sinks.identities(docs, f"{a.out}/ids")
     total = {k: sum(r[k] for r in rows) for k in ("docs", "doc_bytes")}
+    sums = {}
+    if a.checksums:
+        log.phase("checksums")
+        wanted = pipeline.places(gated, a.registry, a.shards)
+        names = {corpus.qualified(spark, p): k for k, p in wanted.items()}
+        keyed = corpus.checksums(spark, sorted(wanted.values())).withColumn("path", corpus.plain_uri(F.col("path")))
+        listed = spark.createDataFrame(list(names.items()), "path string, shard_id string").withColumn("path", corpus.plain_uri(F.col("path")))
+        sums = {r["shard_id"]: {"bytes": r["length"], "sha256": r["sha256"]} for r in keyed.join(F.broadcast(listed), "path").collect()}
     content = {
-        "corpus_id": gated.first()["corpus_id"], "registry_sha256": sinks.file_sha256(a.registry), "shards": rows, **total, "corpus_build_hash": hashing.ids_digest(docs), "truncated_by_max_docs": bool(a.max_docs),
+        "files": sums, "corpus_id": gated.first()["corpus_id"], "registry_sha256": sinks.file_sha256(a.registry), "shards": rows, **total, "corpus_build_hash": hashing.ids_digest(docs), "truncated_by_max_docs": bool(a.max_docs),
         "every": a.every, "seconds": round(time.time() - began, 1), "environment": report.environment(spark),
     }
     print(sinks.manifest(f"{a.out}/MANIFEST.json", content))
-    log.emit("finish")
+    log.finish()
     return 0
 
 
@@ -156,8 +164,8 @@ def build(a: argparse.Namespace) -> int:
 
     spark = _session()
     os.makedirs(a.out, exist_ok=True)
-    log = sinks.EventLog(a.out)
-    log.emit("phase", name="read")
+    log = sinks.Reporter(sinks.EventLog(a.out))
+    log.phase("read")
     gated, docs = pipeline.read(spark, a.registry, a.shards)
     sha, parent = sinks.file_sha256(a.registry), None
     if a.measured:
@@ -169,7 +177,7 @@ def build(a: argparse.Namespace) -> int:
     items = corpus.eval_items(spark, a.eval_set).select("id", "text") if a.eval_set else None
     cfg = with_plugins(FilterConfig(min_quality=a.min_quality, pii_policy=a.pii, probes=PUBLISHED_PROBES if a.published_probes else {}), plugins)
     want = pipeline.Build(config=cfg, items=items, plugins=plugins, lexicon=_lexicon(spark, a.lexicon), min_scored=a.min_scored, perplexity=a.perplexity or None, near=not a.no_near, corpus_id=gated.first()["corpus_id"], registry_sha256=sha, parent=parent)
-    log.emit("phase", name="judge")
+    log.phase("judge")
     judged, receipt = pipeline.build(docs, want)
     if items is not None:
         keyed = docs.withColumn("document", F.concat_ws(":", "shard_id", "doc_index"))
@@ -180,7 +188,9 @@ def build(a: argparse.Namespace) -> int:
     sinks.manifest(f"{a.out}/BUILD-MANIFEST.json", receipt)
     with open(os.path.join(a.out, "receipt.html"), "w", encoding="utf-8") as f:
         f.write(report.page(f"Build of {receipt['corpus_id']}", {"Reasons": receipt["reasons"], "Configuration": receipt["config"], "Hashes": {k: receipt[k] for k in ("corpus_build_hash", "filtered_build_hash", "filter_config_sha256")}}))
-    log.emit("finish")
+    for w in receipt["warnings"]:
+        log.warn(w)
+    log.finish()
     print(json.dumps(receipt["reasons"]))
     return 0
 
@@ -353,6 +363,19 @@ def plugins(_: argparse.Namespace) -> int:
     return 0
 
 
+def ui(a: argparse.Namespace) -> int:
+    """Show the runs below a folder on this machine only."""
+    from tessera.viewer import serve
+
+    server = serve(a.folder, a.port)
+    print(f"http://127.0.0.1:{server.server_address[1]}/ (Ctrl-C ends it)")
+    try:
+        server.serve_forever()
+    except KeyboardInterrupt:
+        server.server_close()
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tessera", description=__doc__)
     verbs = p.add_subparsers(required=True)
@@ -369,7 +392,7 @@ def parser() -> argparse.ArgumentParser:
     verb(doctor)
     verb(init, (["folder"], {}), (["--registry"], {"default": "registry.json"}), (["--corpus-id"], {"default": "unnamed"}), (["--data-class"], {}), (["--force"], {"action": "store_true"}))
     verb(check, reg)
-    measuring = [(["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--lm"], {}), (["--tokenizer"], {}), (["--token-mb"], {"type": float, "default": 30.0})]
+    measuring = [(["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--lm"], {}), (["--tokenizer"], {}), (["--token-mb"], {"type": float, "default": 30.0}), (["--checksums"], {"action": "store_true"})]
     building = [
         (["--plugin"], {"action": "append"}), (["--pii"], {"choices": ["keep", "redact", "drop"], "default": "redact"}), (["--emit"], {"action": "store_true"}), (["--min-scored"], {"type": int, "default": 200}),
         (["--min-quality"], {"choices": ["low", "medium", "high"], "default": "medium"}), (["--perplexity"], {"type": float, "default": 0.99}), (["--no-near"], {"action": "store_true"}), (["--lexicon"], {}),
@@ -384,6 +407,7 @@ def parser() -> argparse.ArgumentParser:
     verb(summary, reg, (["--manifest"], {}), (["--corpus"], {}), (["--declared"], {}), out, name="report")
     verb(extract, (["folder"], {}), out, (["--min-chars"], {"type": int, "default": 80}))
     verb(plugins)
+    verb(ui, (["folder"], {}), (["--port"], {"type": int, "default": 8377}))
     source = {"action": "append"}
     verb(eval_set, (["--from-dir"], source), (["--from-lines"], source), (["--from-jsonl"], source), (["--field"], {"default": "text"}), (["--min-chars"], {"type": int, "default": 40}), out, name="eval-set")
     verb(train_lm, reg, out, shards, (["--every"], {"type": int, "default": 50}), (["--max-mb"], {"type": float, "default": 64.0}), name="train-lm")

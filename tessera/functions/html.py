@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import importlib.util
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,7 +46,25 @@ def strip_tags(html: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
-def extract(df, html: str, min_chars: int = MIN_CHARS):
-    """Rows with their ``text`` and ``extractor``; pages with less than ``min_chars`` characters are left out."""
-    out = df.withColumn("text", F.regexp_replace(strip_tags(F.col(html)), "\n{2,}", "\n")).withColumn("extractor", F.lit("strip_tags"))
+def main_content(html: Column) -> Column:
+    """Main text of a page by the optional extraction library; null where it finds none."""
+
+    @F.pandas_udf(T.StringType())
+    def run(pages: pd.Series) -> pd.Series:
+        import trafilatura
+
+        return pages.map(lambda p: None if p is None else trafilatura.extract(p))
+
+    return run(html)
+
+
+def extract(df, html: str, min_chars: int = MIN_CHARS, library=None):
+    """Rows with their ``text`` and ``extractor``; pages with less than ``min_chars`` characters are left out. Main content by
+    the optional library, if it is installed (or by ``library``, a function of the column), else by stripping tags."""
+    bare = strip_tags(F.col(html))
+    if library is None and importlib.util.find_spec("trafilatura") is not None:
+        library = main_content
+    found = library(F.col(html)) if library else F.lit(None).cast("string")
+    out = df.withColumn("_main", found).withColumn("extractor", F.when(F.col("_main").isNotNull(), F.lit("main_content")).otherwise(F.lit("strip_tags")))
+    out = out.withColumn("text", F.regexp_replace(F.coalesce("_main", bare), "\n{2,}", "\n")).drop("_main")
     return out.where(F.length("text") >= min_chars)

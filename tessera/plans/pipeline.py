@@ -37,10 +37,12 @@ def _place(root: str, path: str) -> str:
     return path if ":/" in path or os.path.isabs(path) else os.path.join(root, path)
 
 
-def read(spark: SparkSession, registry_path: str, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(gated registry, documents)``. Files of refused shards are never listed or opened; a named shard that is refused or
-    not registered is an error. All files are read together, whatever their number."""
-    gated = gate.gate(corpus.registry(spark, registry_path), order=["position"])
+def _root(registry_path: str) -> str:
+    return os.path.dirname(registry_path if ":/" in registry_path else os.path.abspath(registry_path))
+
+
+def _wanted(gated: DataFrame, only: list[str] | None) -> list:
+    """Accepted rows in order, or the named ones; a name that is refused or unknown raises."""
     rows = gate.accepted(gated).select("shard_id", "path", "language").orderBy("position").collect()
     if only is not None:
         reasons = {r["shard_id"]: r["reason"] for r in gated.where("reason is not null").select("shard_id", "reason").collect()}
@@ -51,7 +53,20 @@ def read(spark: SparkSession, registry_path: str, only: list[str] | None = None)
         rows = [r for r in rows if r["shard_id"] in set(only)]
     if not rows:
         raise ValueError("no shard was accepted")
-    root = os.path.dirname(registry_path if ":/" in registry_path else os.path.abspath(registry_path))
+    return rows
+
+
+def places(gated: DataFrame, registry_path: str, only: list[str] | None = None) -> dict[str, str]:
+    """Path of each accepted shard."""
+    return {r["shard_id"]: _place(_root(registry_path), r["path"]) for r in _wanted(gated, only)}
+
+
+def read(spark: SparkSession, registry_path: str, only: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(gated registry, documents)``. Files of refused shards are never listed or opened; a named shard that is refused or
+    not registered is an error. All files are read together, whatever their number."""
+    gated = gate.gate(corpus.registry(spark, registry_path), order=["position"])
+    rows = _wanted(gated, only)
+    root = _root(registry_path)
     places = [(r["shard_id"], i, r["language"], _place(root, r["path"])) for i, r in enumerate(rows)]
     texts = corpus.documents(spark, sorted({p[3] for p in places})).withColumn("path", corpus.plain_uri(F.col("path")))
     listed = spark.createDataFrame([(*p[:3], corpus.qualified(spark, p[3])) for p in places], "shard_id string, shard_ord int, language string, path string")

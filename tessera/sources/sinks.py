@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import sys
 import tempfile
 import time
 
@@ -99,3 +100,33 @@ class EventLog:
         """Whether the last event is recent and no finish."""
         last = self.tail(1)
         return bool(last) and last[0]["kind"] != "finish" and time.time() - last[0]["ts"] < within
+
+
+class Reporter:
+    """Progress for people on a stream, a line a phase, mirrored to the event log. Spark's own pages tell about tasks."""
+
+    def __init__(self, log: EventLog, stream=sys.stderr):
+        self.log, self.stream, self.began, self.name = log, stream, time.time(), None
+
+    def _say(self, event: str, line: str, **fields) -> None:
+        print(f"[{time.time() - self.began:7.1f} s] {line}", file=self.stream, flush=True)
+        self.log.emit(event, **fields)
+
+    def phase(self, name: str) -> None:
+        self.name = name
+        self._say("phase", name, name=name)
+
+    def update(self, done: int, total: int | None = None) -> None:
+        self._say("update", f"{self.name}: {done:,}" + (f" of {total:,}" if total else ""), name=self.name, done=done, total=total)
+
+    def info(self, text: str) -> None:
+        self._say("info", text, text=text)
+
+    def warn(self, text: str) -> None:
+        self._say("warn", f"warning: {text}", text=text)
+
+    def error(self, text: str) -> None:
+        self._say("error", f"error: {text}", text=text)
+
+    def finish(self) -> None:
+        self._say("finish", "done", seconds=round(time.time() - self.began, 1))

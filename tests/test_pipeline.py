@@ -1,13 +1,16 @@
 """Sources, sinks, the chain from files to receipts, streams, the command line."""
 
+import io
 import json
 import struct
+import threading
+import urllib.request
 
 import pytest
 from pyspark.sql import functions as F
 
-from tessera import cli
-from tessera.functions import toxicity
+from tessera import cli, viewer
+from tessera.functions import html, toxicity
 from tessera.operators import manifest, tokenizer_lab, verdict
 from tessera.plans import pipeline, report
 from tessera.sources import corpus, sinks
@@ -117,7 +120,9 @@ def test_a_build_is_identified_by_all_that_decides(spark, tmp_path, two_shards):
 
 def test_only_measured_documents_are_built(spark, tmp_path, two_shards, capsys):
     out = str(tmp_path / "run")
-    assert cli.main(["run", two_shards, "--out", out, "--every", "1"]) == 0
+    assert cli.main(["run", two_shards, "--out", out, "--every", "1", "--checksums"]) == 0
+    held = json.loads((tmp_path / "run/MANIFEST.json").read_text())["files"]
+    assert {k: v["sha256"] for k, v in held.items()} == {k: sinks.file_sha256(str(tmp_path / f"{k}.txt")) for k in ("one", "two")}
     assert cli.main(["build", two_shards, "--measured", out, "--out", str(tmp_path / "b"), "--lexicon", "builtin", "--no-near"]) == 0
     text = (tmp_path / "two.txt").read_text()
     (tmp_path / "two.txt").write_text(text.replace("amber", "ambers"))
@@ -187,6 +192,43 @@ def test_attestation(spark, tmp_path):
     assert a["corpus_build_hash"] == report.attestation(docs.repartition(3), "x")["corpus_build_hash"] != report.attestation(docs, "x", distinct=False)["corpus_build_hash"]
 
 
+def test_viewer_shows_receipts_only(tmp_path):
+    run = tmp_path / "runs/a b"
+    run.mkdir(parents=True)
+    sinks.manifest(str(run / "BUILD-MANIFEST.json"), {"corpus_id": "<c>", "reasons": {"kept": 3}})
+    (run / "secret.txt").write_text("s")
+    (tmp_path / "outside.json").write_text("o")
+    (tmp_path / "runs/link").symlink_to(tmp_path)
+    root = str(tmp_path / "runs")
+    assert "a b" in viewer.respond(root, "/")[2] and "&lt;c&gt;" in viewer.respond(root, "/a%20b")[2]
+    assert viewer.respond(root, "/a%20b/BUILD-MANIFEST.json")[0] == 200
+    assert [viewer.respond(root, t)[0] for t in ("/a%20b/secret.txt", "/none", "/../outside.json", "/%2e%2e/outside.json", "/link/outside.json")] == [404, 404, 403, 403, 403]
+    server = viewer.serve(root, 0)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    with urllib.request.urlopen(f"http://127.0.0.1:{server.server_address[1]}/") as r:
+        assert b"a b" in r.read()
+    server.shutdown()
+    server.server_close()
+
+
+def test_reporter(tmp_path):
+    out = io.StringIO()
+    r = sinks.Reporter(sinks.EventLog(str(tmp_path)), out)
+    for f, args in ((r.phase, ("read",)), (r.update, (5, 10)), (r.warn, ("w",)), (r.info, ("i",)), (r.error, ("e",)), (r.finish, ())):
+        f(*args)
+    assert "read: 5 of 10" in out.getvalue() and [e["kind"] for e in r.log.tail()] == ["phase", "update", "warn", "info", "error", "finish"]
+
+
+def test_extraction_counts(spark, tmp_path):
+    (tmp_path / "p").mkdir()
+    _write(tmp_path / "p/a.html", f"<p>{LONG}</p>")
+    _write(tmp_path / "p/b.html", "<p>short</p>")
+    assert cli.main(["extract", str(tmp_path / "p"), "--out", str(tmp_path / "x")]) == 0
+    assert json.loads((tmp_path / "x.extract.json").read_text()) == {"files": 2, "kept": 1, "too_short": 1, "extractors": {"strip_tags": 1}, "min_chars": 80}
+    d = spark.createDataFrame([("<p>one</p>",), (None,)], "html string")
+    assert [(r["text"], r["extractor"]) for r in html.extract(d, "html", 1, library=lambda c: F.upper(c)).collect()] == [("<P>ONE</P>", "main_content")]
+
+
 def test_event_log(tmp_path):
     log = sinks.EventLog(str(tmp_path))
     log.emit("phase", n=1)
