@@ -101,6 +101,9 @@ def run(a: argparse.Namespace) -> int:
         docs = docs.where(F.col("doc_index") < a.max_docs)
     items = corpus.eval_items(spark, a.eval_set).select("id", "text") if a.eval_set else None
     models = (spark.read.parquet(f"{a.lm}/trigram"), spark.read.parquet(f"{a.lm}/unigram")) if a.lm else None
+    for given in a.lm_json or []:  # LANGUAGE=FILE
+        one = corpus.language_model(spark, given.partition("=")[2], given.partition("=")[0])
+        models = one if models is None else tuple(x.select(y.columns).unionByName(y) for x, y in zip(models, one, strict=True))
     tokens = tokenizer_lab.metered(docs, "shard_id", "doc_index", "text", int(a.token_mb * 1e6), a.tokenizer) if a.tokenizer else None
     log.phase("measure")
     rows = [_plain(r.asDict(recursive=True)) for r in pipeline.measure(docs, a.every, items, models, tokens).orderBy("shard_id").collect()]
@@ -216,10 +219,17 @@ def union(a: argparse.Namespace) -> int:
 
 def attest(a: argparse.Namespace) -> int:
     """A receipt for a folder of texts that was made elsewhere."""
+    from tessera.functions import pii
+    from tessera.operators import gate
     from tessera.plans import report
     from tessera.sources import corpus, sinks
 
-    content = report.attestation(corpus.foreign_corpus(_session(), a.folder), a.corpus_id) | {"upstream": corpus.upstream(a.folder)}
+    meta = accepted = None
+    spark = _session()
+    if a.registry:
+        rows = gate.accepted(gate.gate(corpus.registry(spark, a.registry), order=["position"])).collect()
+        meta, accepted = {"corpus_id": rows[0]["corpus_id"]} if rows else {}, [r.asDict() for r in rows]
+    content = report.attestation(corpus.foreign_corpus(spark, a.folder), a.corpus_id, meta, accepted, scan=pii.scan if a.scan else None) | {"upstream": corpus.upstream(a.folder)}
     print(report.attestation_text(content))
     sinks.manifest(a.out, content)
     return 0
@@ -392,7 +402,7 @@ def parser() -> argparse.ArgumentParser:
     verb(doctor)
     verb(init, (["folder"], {}), (["--registry"], {"default": "registry.json"}), (["--corpus-id"], {"default": "unnamed"}), (["--data-class"], {}), (["--force"], {"action": "store_true"}))
     verb(check, reg)
-    measuring = [(["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--lm"], {}), (["--tokenizer"], {}), (["--token-mb"], {"type": float, "default": 30.0}), (["--checksums"], {"action": "store_true"})]
+    measuring = [(["--every"], {"type": int, "default": 50}), (["--max-docs"], {"type": int}), (["--eval-set"], {}), (["--lm"], {}), (["--lm-json"], {"action": "append"}), (["--tokenizer"], {}), (["--token-mb"], {"type": float, "default": 30.0}), (["--checksums"], {"action": "store_true"})]
     building = [
         (["--plugin"], {"action": "append"}), (["--pii"], {"choices": ["keep", "redact", "drop"], "default": "redact"}), (["--emit"], {"action": "store_true"}), (["--min-scored"], {"type": int, "default": 200}),
         (["--min-quality"], {"choices": ["low", "medium", "high"], "default": "medium"}), (["--perplexity"], {"type": float, "default": 0.99}), (["--no-near"], {"action": "store_true"}), (["--lexicon"], {}),
@@ -403,7 +413,7 @@ def parser() -> argparse.ArgumentParser:
     verb(merge, reg, (["runs"], {"nargs": "+"}), out, partial)
     verb(build, reg, out, shards, (["--eval-set"], {}), (["--measured"], {}), *building)
     verb(union, (["parts"], {"nargs": "+"}), out, partial, name="build-union")
-    verb(attest, (["folder"], {}), (["--corpus-id"], {"default": "unnamed"}), out)
+    verb(attest, (["folder"], {}), (["--corpus-id"], {"default": "unnamed"}), (["--registry"], {}), (["--scan"], {"action": "store_true"}), out)
     verb(summary, reg, (["--manifest"], {}), (["--corpus"], {}), (["--declared"], {}), out, name="report")
     verb(extract, (["folder"], {}), out, (["--min-chars"], {"type": int, "default": 80}))
     verb(plugins)

@@ -7,9 +7,10 @@ import platform
 import sys
 import unicodedata
 from collections import Counter
+from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import hashing
@@ -34,18 +35,22 @@ def provenance_block(meta: dict | None, accepted: list[dict] | None) -> dict:
     return {"status": "DECLARED", "corpus_id": (meta or {}).get("corpus_id", "unnamed"), "sources": sorted({a["source"] for a in accepted}), "shards": len(accepted)}
 
 
-def attestation(docs: DataFrame, corpus_id: str, meta: dict | None = None, accepted: list[dict] | None = None, counters: DataFrame | None = None, distinct: bool = True) -> dict:
+def attestation(docs: DataFrame, corpus_id: str, meta: dict | None = None, accepted: list[dict] | None = None, counters: DataFrame | None = None, distinct: bool = True, scan: Callable[[Column], Column] | None = None) -> dict:
     """The receipt of a foreign corpus of ``(path, text)``: counts, content hash, provenance.
 
-    ``distinct=False`` hashes repeated ids too. ``counters`` has (name, n) rows of any scan, which are summed by name.
+    ``distinct=False`` hashes repeated ids too. ``scan`` makes a map of counters of each text, which are summed by name;
+    ``counters`` has (name, n) rows of a scan made before.
     """
     total = manifest.attest(docs, "path", "text").where("level = 1").first()
     ids = docs.select(hashing.doc_hash(F.col("text")).alias("doc_hash"))
-    scan = {r[0]: r[1] for r in counters.groupBy("name").agg(F.sum("n")).collect()} if counters is not None else {}
+    if scan is not None:
+        made = docs.select(F.explode(scan(F.col("text"))).alias("name", "n"))
+        counters = made if counters is None else counters.select("name", "n").unionByName(made)
+    found = {r[0]: r[1] for r in counters.groupBy("name").agg(F.sum("n")).orderBy("name").collect()} if counters is not None else {}
     return {
         "corpus_id": corpus_id, "generated_utc": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "docs": total["docs"] if total else 0, "bytes": total["bytes"] if total else 0,
         "unique_docs": total["unique_docs"] if total else 0, "dup_rate": total["dup_rate"] if total else 0.0, "corpus_build_hash": hashing.ids_digest(ids, distinct=distinct),
-        "hash_covers": "distinct ids" if distinct else "all ids", "scan": scan, "provenance": provenance_block(meta, accepted), "environment": environment(docs.sparkSession),
+        "hash_covers": "distinct ids" if distinct else "all ids", "scan": found, "provenance": provenance_block(meta, accepted), "environment": environment(docs.sparkSession),
     }
 
 

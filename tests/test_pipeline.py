@@ -156,6 +156,23 @@ def test_partitions_unite_and_runs_merge(spark, tmp_path, two_shards, capsys):
     assert (m["docs"], m["unique_docs"], m["intra_dups"], m["cross_dups"], m["partial"]) == (7, 5, 1, 1, False) and "| total | 7 |" in (tmp_path / "merged/COMPOSITION.md").read_text()
 
 
+def test_measuring_with_a_model_of_json(spark, tmp_path, two_shards):
+    text = f" {LONG}"
+    contexts, singles = {}, {}
+    for i in range(len(text) - 2):
+        c = contexts.setdefault(text[i : i + 2], {})
+        c[text[i + 2]] = c.get(text[i + 2], 0) + 1
+    for ch in text:
+        singles[ch] = singles.get(ch, 0) + 1
+    _write(tmp_path / "eng.json", json.dumps({"k": 0.1, "contexts": contexts, "unigrams": singles}))
+    assert cli.main(["run", two_shards, "--out", str(tmp_path / "r"), "--every", "1", "--lm-json", f"eng={tmp_path / 'eng.json'}"]) == 0
+    shards = {s["shard_id"]: s for s in json.loads((tmp_path / "r/MANIFEST.json").read_text())["shards"]}
+    assert shards["one"]["ppx_scored"] == 5 and 0 < shards["one"]["ppx_p50"] < shards["one"]["ppx_max"]
+    assert cli.main(["attest", str(tmp_path), "--registry", two_shards, "--scan", "--out", str(tmp_path / "att.json")]) == 0
+    a = json.loads((tmp_path / "att.json").read_text())
+    assert a["provenance"]["status"] == "DECLARED" and a["scan"]["email"] >= 1
+
+
 def test_tokenizer_laboratory(spark, tmp_path):
     for k in ("one", "two"):
         _write(tmp_path / f"{k}.txt", "\n\n".join(f"{k} {i} {LONG}" for i in range(400)))
@@ -189,6 +206,7 @@ def test_attestation(spark, tmp_path):
     docs = corpus.foreign_corpus(spark, str(tmp_path / "c"))
     a = report.attestation(docs, "x")
     assert (a["docs"], a["unique_docs"], a["provenance"]["status"]) == (3, 2, "UNKNOWN") and "one" not in report.attestation_text(a)
+    assert report.attestation(docs, "x", scan=lambda t: F.create_map(F.lit("chars"), F.length(t)))["scan"] == {"chars": 9}
     assert a["corpus_build_hash"] == report.attestation(docs.repartition(3), "x")["corpus_build_hash"] != report.attestation(docs, "x", distinct=False)["corpus_build_hash"]
 
 
