@@ -47,6 +47,36 @@ def ids_digest(ids: DataFrame, column: str = "doc_hash", distinct: bool = True)
     return digest.hexdigest()
 
 
+def ids_tree_digest(ids: DataFrame, column: str = "doc_hash", distinct: bool = True) -> str:
+    """BLAKE2b-256 over the digests of the ids' 65,536 classes by their first two bytes, in order; a class without ids is left
+    out, one with ids is its two bytes and the digest of its ascending ids.
+
+    The same for any partitioning, and made by the workers: the driver gets one digest a class. Null ids are left out.
+    """
+    chosen = ids.select(F.col(column).alias("h")).where("h is not null").withColumn("p", F.substring("h", 1, 2))
+    chosen = chosen.distinct() if distinct else chosen
+
+    def run(batches):
+        import pyarrow as pa
+
+        at, digest, done = None, None, []
+        for batch in batches:
+            for h in batch.column(0).to_pylist():
+                if h[:2] != at:
+                    if at is not None:
+                        done.append((at, digest.digest()))
+                    at, digest = h[:2], hashlib.blake2b(digest_size=32)
+                digest.update(h)
+        if at is not None:
+            done.append((at, digest.digest()))
+        yield pa.RecordBatch.from_arrays([pa.array([d[i] for d in done], pa.binary()) for i in (0, 1)], ["p", "digest"])
+
+    root = hashlib.blake2b(digest_size=32)
+    for row in chosen.repartition("p").sortWithinPartitions("h").select("h").mapInArrow(run, "p binary, digest binary").orderBy("p").collect():
+        root.update(bytes(row["p"]) + bytes(row["digest"]))
+    return root.hexdigest()
+
+
 def droplist_sha256(ids: DataFrame, column: str = "doc_hash") -> str:
     """SHA-256 of the sorted drop list as little-endian bytes."""
     digest = hashlib.sha256()

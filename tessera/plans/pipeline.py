@@ -151,6 +151,7 @@ def build(docs: DataFrame, b: Build) -> tuple[DataFrame, dict]:
     receipt = {
         "corpus_id": b.corpus_id, "registry_sha256": b.registry_sha256, "parent_hash": (b.parent or {}).get("corpus_build_hash"), "config": config.content(), "filter_config_sha256": config.sha256(), "reasons": reasons,
         "warnings": warnings + manifest.build_warnings(reasons["kept"], sum(reasons.values())), "corpus_build_hash": hashing.ids_digest(docs), "filtered_build_hash": hashing.ids_digest(kept, distinct=False),
+        "corpus_tree_hash": hashing.ids_tree_digest(docs), "filtered_tree_hash": hashing.ids_tree_digest(kept, distinct=False),
         "shards": sorted(r[0] for r in docs.select("shard_id").distinct().collect()),
     }
     return judged, receipt

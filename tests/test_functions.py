@@ -1,5 +1,7 @@
 """Functions on hand-made texts, against row-wise definitions where there are any."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +130,15 @@ def test_model_identification(spark):
 
     got = _rows(spark, ["यह\nहै", "zz", None, " "]).select("i", lid.model_language(F.col("text"), "m", load=lambda _: Model()).alias("m")).orderBy("i").collect()
     assert [(r["m"]["language"], r["m"]["confidence"]) for r in got] == [("hin", 0.75), ("zz", 0.75), (None, None), (None, None)]
+
+
+def test_tree_digest(spark):
+    ids = [hashing.doc_hash_bytes(str(i % 900).encode()) for i in range(1000)]
+    d = spark.createDataFrame([(bytearray(h),) for h in ids] + [(None,)], "doc_hash binary")
+    for distinct in (True, False):
+        by = {}
+        for h in sorted(set(ids)) if distinct else sorted(ids):
+            by.setdefault(h[:2], hashlib.blake2b(digest_size=32)).update(h)
+        root = hashlib.blake2b(b"".join(p + x.digest() for p, x in sorted(by.items())), digest_size=32).hexdigest()
+        assert hashing.ids_tree_digest(d.repartition(7), distinct=distinct) == hashing.ids_tree_digest(d.coalesce(1), distinct=distinct) == root
+    assert hashing.ids_tree_digest(d.limit(0)) == hashlib.blake2b(digest_size=32).hexdigest()
