@@ -18,7 +18,7 @@ from tessera.session import materialize
 
 #: Trial points per source and pass.
 POINTS = 12
-#: Sources whose brackets the driver holds (a few numbers each); more must be run in blocks of sources.
+#: Sources whose brackets the driver holds at once (a few numbers each); more are taken block by block.
 MOST_SOURCES = 200_000
 
 
@@ -62,8 +62,11 @@ def cutoffs(scored: DataFrame, source: str, targets: dict[str, float], points: i
     target have no cutoff. The result holds, for each source, its records, its cutoff and the number kept.
     """
     spark = scored.sparkSession
-    if len(targets) > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources; run them in blocks")
+    if len(targets) > MOST_SOURCES:  # block by block
+        names, found = sorted(targets, key=str), {}
+        for at in range(0, len(names), MOST_SOURCES):
+            found |= cutoffs(scored, source, {k: targets[k] for k in names[at : at + MOST_SOURCES]}, points)
+        return found
     base = scored.groupBy(source).agg(F.count("score").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"), F.sum("score").alias("total"))
     known = spark.createDataFrame([(k,) for k in targets], f"{source} string")
     state, done = {}, {}
@@ -113,7 +116,7 @@ def keep_fraction(scores: DataFrame, targets: DataFrame) -> tuple[DataFrame, Dat
     """
     spark = scores.sparkSession
     goals = targets.where("shard_id is not null").groupBy("shard_id").agg(F.max("target_fraction").alias("target_fraction"), F.max("language").alias("language"), F.max("max_bits_per_char").alias("max_bits_per_char"))
-    wanted = {r["shard_id"]: r["target_fraction"] for r in goals.limit(MOST_SOURCES + 1).collect()}
+    wanted = {r["shard_id"]: r["target_fraction"] for r in goals.collect()}
     slim = scores.select("shard_id", "doc_index", "bits_per_char", "measured_at", "loaded_at").join(F.broadcast(spark.createDataFrame([(k,) for k in wanted], "shard_id string")), "shard_id", "left_semi")
     scored = materialize(latest_scores(slim, ["shard_id", "doc_index"], "bits_per_char", "measured_at", ["loaded_at"]), "scored")
     found = cutoffs(scored, "shard_id", wanted)

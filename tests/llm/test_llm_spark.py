@@ -65,6 +65,14 @@ def test_cutoffs_equal_sorting(spark):
         assert v["kept"] == sum(x <= v["cutoff"] for n, x in rows if n == k)
 
 
+def test_cutoffs_of_many_sources_in_blocks(spark, monkeypatch):
+    df = spark.createDataFrame([(f"s{i % 7}", float(i)) for i in range(70)], "shard_id string, score double")
+    shares = {f"s{i}": (i + 1) / 10 for i in range(7)}
+    whole = cutoffs.cutoffs(df, "shard_id", shares)
+    monkeypatch.setattr(cutoffs, "MOST_SOURCES", 3)
+    assert cutoffs.cutoffs(df, "shard_id", shares) == whole and len(whole) == 7
+
+
 def test_latest_score_counts(spark):
     rows = [("s", 1, 9.0, 1), ("s", 1, 2.0, 5), ("s", 1, 2.0, 5), ("s", 2, 3.0, 1), ("s", 2, None, 2), ("s", 3, 1.0, 1), ("s", 4, float("nan"), 1)]
     df = spark.createDataFrame(rows, "shard_id string, doc_index long, bits double, at int").withColumn("late", F.lit(0))
