@@ -282,7 +282,14 @@ class Paraphrases:
                 continue
             sums, sentence = None, self.index.sentences[j]
             kept = part[mine].tolist()
-            for a in first.tolist():
+            stretch = np.searchsorted(starts, begin + mine[first], "right") - 1
+            tried: set[tuple[int, bytes]] = set()
+            for a, which in zip(first.tolist(), stretch.tolist(), strict=True):
+                # texts that repeat themselves have few different windows
+                window = (which, part[mine[a] : mine[a] + size].tobytes())
+                if window in tried:
+                    continue
+                tried.add(window)
                 row, named = [0] * (len(sentence) + 1), set()
                 for b in range(a, len(mine)):
                     if mine[b] - mine[a] >= size:
@@ -299,7 +306,7 @@ class Paraphrases:
                         v = sums[mine[b] + 1] - sums[mine[a]]
                         cos = float(v @ self.sents_at[j] / max(np.linalg.norm(v), 1e-12))
                         if cos >= COSINE_PARAPHRASE:
-                            yield int(np.searchsorted(starts, begin + mine[a], "right")) - 1, j, row[-1], cos
+                            yield which, j, row[-1], cos
 
 
 class Judge:
