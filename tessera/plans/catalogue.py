@@ -63,7 +63,7 @@ def licence_rollup(spark: SparkSession, folder: str) -> DataFrame:
 def quality_metrics(spark: SparkSession, folder: str) -> DataFrame:
     q = quality.metrics(spread(table(spark, folder, "documents").select("doc_id", "text")))
     r = [F.round(c, 6).alias(c) for c in ("symbol_ratio", "digit_ratio", "mean_word_len", "dup_line_frac", "top_bigram_frac")]
-    return q.select("doc_id", *r, F.col("boilerplate_hits").cast("long").alias("boilerplate_hits"), F.round("quality_score", 3).alias("quality_score"), "quality_bucket")
+    return q.select("doc_id", *r, F.col("boilerplate_hits").cast("long").alias("boilerplate_hits"), "quality_score", "quality_bucket")
 
 
 def quality_buckets(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,6 +136,12 @@ def pii_scan(spark: SparkSession, folder: str) -> DataFrame:
     return d.groupBy("kind").agg(F.sum("n").alias("spans"), F.countDistinct("drop_id").alias("drops"))
 
 
+def pii_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    """Kinds of identifiers without a checksum in each preview, which SQL can look for too."""
+    d = spread(table(spark, folder, "drops")).select("drop_id", F.explode(F.map_keys(pii.scan(F.col("preview")))).alias("kind"))
+    return d.where(F.col("kind").isin(*pii.PATTERNS)).distinct()
+
+
 def pii_redact(spark: SparkSession, folder: str) -> DataFrame:
     d = spread(table(spark, folder, "drops")).where(F.size(pii.scan(F.col("preview"))) > 0)
     return d.select("drop_id", pii.redact(F.col("preview"))["text"].alias("redacted")).distinct()

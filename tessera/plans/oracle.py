@@ -2,7 +2,7 @@
 
 Left out, as SQL there lacks what they need: compatibility folding of words (word_counts, toxicity_flags,
 contamination_hits, eval_grams, verdict_*), BLAKE2b (doc_hashes, corpus_hash, neardup_drop_list), CRC-32 MinHash
-(neardup_*), checksums with lookarounds (pii_scan, pii_redact), tokenizers (token_ratio). These have tests of their own.
+(neardup_*), checksums (pii_scan, pii_redact), tokenizers (token_ratio). These have tests of their own.
 """
 
 from __future__ import annotations
@@ -90,6 +90,16 @@ g AS (SELECT *, CASE WHEN nth > 1 AND shard_id IS NOT NULL THEN 'duplicate shard
   WHEN regexp_matches(named, '(?i)customer|client|tenant|pilot|prod[-_]?log|bpo[-_]?qa|ticket') AND trim(coalesce(reviewed_by, '')) = '' THEN 'suspect name without reviewer' END AS reason FROM k)
 """
 
+# Boundaries consume a character here too; only whether a preview holds the kind is asked.
+_W = r"\p{L}\p{N}_"
+_KINDS = {
+    "email": rf"[{_W}.+-]+@[{_W}-]+(?:\.[{_W}-]+)*\.[A-Za-z]{{2,}}(?:$|[^{_W}])",
+    "phone_in": rf"(?:^|[^{_W}])(?:\+91[\s-]?|0)?[6-9]\p{{Nd}}{{9}}(?:$|[^\p{{Nd}}])",
+    "aadhaar": r"(?:^|[^\p{Nd}\s-]|(?:^|[^\p{Nd}])[\s-])\p{Nd}{4}[\s-]\p{Nd}{4}[\s-]\p{Nd}{4}(?:$|[^\s\p{Nd}-]|[\s-](?:$|[^\p{Nd}]))",
+    "pan": rf"(?:^|[^{_W}])[A-Z]{{5}}\p{{Nd}}{{4}}[A-Z](?:$|[^{_W}])",
+    "ip": r"(?:^|[^\p{Nd}])(?:\p{Nd}{1,3}\.){3}\p{Nd}{1,3}(?:$|[^\p{Nd}])",
+}
+
 _TRI = f"""
 WITH d AS (SELECT doc_id, {_LANG} AS lang, ' ' || trim(text) || ' ' AS p, ' ' || trim(text) || ' ' AS probe FROM documents WHERE text IS NOT NULL),
 t AS (SELECT lang, unnest(list_transform(range(1, len(cs) - 1), lambda i: cs[i] || cs[i + 1] || cs[i + 2])) AS g FROM (SELECT *, string_split(p, '') AS cs FROM d WHERE lang IS NOT NULL AND length(p) >= 3)),
@@ -136,7 +146,7 @@ SELECT sum(n)::BIGINT AS docs, count(*) AS unique_docs, sum(n - 1)::BIGINT AS gl
     "licence_rollup": _GATE + "SELECT kind AS data_class, license, count(*) AS shards, grouping(kind, license) AS level FROM g WHERE reason IS NULL GROUP BY ROLLUP (kind, license)",
     "quality_metrics": _QUALITY
     + """SELECT doc_id, round(symbol_ratio, 6) AS symbol_ratio, round(digit_ratio, 6) AS digit_ratio, round(mean_word_len, 6) AS mean_word_len, round(dup_line_frac, 6) AS dup_line_frac,
-  round(top_bigram_frac, 6) AS top_bigram_frac, boilerplate_hits, round(score, 3) AS quality_score, quality_bucket FROM z""",
+  round(top_bigram_frac, 6) AS top_bigram_frac, boilerplate_hits, round(score, 4) AS quality_score, quality_bucket FROM z""",
     "quality_buckets": _QUALITY + "SELECT shard_id, quality_bucket, count(*) AS docs, round(avg(digit_ratio), 6) AS mean_digit_ratio FROM z GROUP BY ALL",
     "quality_histogram": _QUALITY + "SELECT least(9, floor(round(score, 4) * 10))::INT AS bin, count(*) AS docs FROM z GROUP BY ALL",
     "script_lid": _SCRIPT + 'SELECT doc_id, script, round(share, 6) AS share, sl AS "language" FROM l',
@@ -148,6 +158,7 @@ SELECT sum(n)::BIGINT AS docs, count(*) AS unique_docs, sum(n - 1)::BIGINT AS gl
     "lexicon_terms": "SELECT DISTINCT lower(trim(term)) AS term FROM (SELECT term FROM abuse_terms UNION ALL SELECT * FROM (VALUES ('idiot'), ('Dolt ')))",
     "eval_set_build": r"""WITH t AS (SELECT coalesce(source, 'unknown') AS source, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM eval_set), o AS (SELECT text, min(source) AS source FROM t WHERE length(text) >= 40 GROUP BY text)
 SELECT regexp_extract(source, '([^/]*)$', 1) || ':' || substring(sha256(text), 1, 10) AS id, source, text FROM o""",
+    "pii_kinds": " UNION ".join(f"SELECT DISTINCT drop_id, '{k}' AS kind FROM drops WHERE regexp_matches(preview, '{p}')" for k, p in _KINDS.items()),
     "pii_pan": r"SELECT DISTINCT drop_id, n FROM (SELECT drop_id, len(regexp_extract_all(regexp_replace(preview, '([^\p{L}\p{N}_])', '\1\1', 'g'), '(?:^|[^\p{L}\p{N}_])[A-Z]{5}\p{Nd}{4}[A-Z](?:$|[^\p{L}\p{N}_])')) AS n FROM drops) WHERE n > 0",
     "char_trigram_train": _TRI + "SELECT lang, ctx, nxt, n FROM model",
     "bits_per_char": _BITS + "SELECT doc_id, round(bits, 3) AS bits FROM b",
