@@ -1,6 +1,7 @@
 """Functions on hand-made texts, against row-wise definitions where there are any."""
 
 import hashlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -142,3 +143,12 @@ def test_tree_digest(spark):
         root = hashlib.blake2b(b"".join(p + x.digest() for p, x in sorted(by.items())), digest_size=32).hexdigest()
         assert hashing.ids_tree_digest(d.repartition(7), distinct=distinct) == hashing.ids_tree_digest(d.coalesce(1), distinct=distinct) == root
     assert hashing.ids_tree_digest(d.limit(0)) == hashlib.blake2b(digest_size=32).hexdigest()
+
+
+def test_fixed_parts_of_signals():
+    parts = {s: domain.fixed_parts(s) for r in domain.RULES if not r.literal for s in r.signals}
+    assert [parts[s] for s in domain.CODE_SIGNALS] == [("def ",), ("function",), ("class",), ("import",), ("#include",), ("public",), ("console.log",), ("SELECT",), ("</",), ("=>",), ("return",), ("null", "None", "nullptr"), ()]
+    assert [parts[s] for s in domain.REASONING_SIGNALS[6:]] == [("solve for",), ("step ",), ("therefore",), (), (), ("q",), ("प्रमेय",), ("समीकरण",), ("हल कीजिए",)]
+    # whatever the case, also of letters with several small forms
+    for text in ("A THEOREM and a Lemma", "ſolve for x, ſtep 3", "Q.E.D. therefore", "the pröof lemma"):
+        assert domain.RULES[2].holds(text) == (sum(re.search(p.replace(domain.B, r"(?<!\w)").replace(domain.E, r"(?!\w)").replace(r"\p{Nd}", r"\d"), text, re.I) is not None for p in domain.REASONING_SIGNALS) >= 2)
