@@ -23,8 +23,8 @@ from tessera.session import materialize
 KINDS = ("email", "phone", "id_number", "address", "name")
 #: Score from which a span counts, and characters on either side in which context words are looked for.
 ACCEPT, REACH = 0.5, 34
-#: A word belongs to names if at least this share of its places in texts with forms of address is behind one, and if it stands
-#: there at least once in so many times, which bounds the words that every worker holds (to MOST_NAME_WORDS).
+#: A word belongs to names if at least this share of its places in texts with forms of address is behind one. Every worker holds
+#: up to MOST_NAME_WORDS of them; more are joined to the texts they stand in.
 NAME_SHARE, MOST_NAME_WORDS = 0.5, 200_000
 
 
@@ -326,14 +326,34 @@ def _count_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(list(all_), pa.string()), pa.array([behind[w] for w in all_], pa.int64()), pa.array(list(all_.values()), pa.int64())], ["word", "behind", "n"])
 
 
-def name_words(df: DataFrame, text: str) -> list[str]:
-    """Words of names, learned from all texts that hold a form of address; at most MOST_NAME_WORDS, since each of them makes up
-    at least so small a share of the places behind forms of address. Null texts tell nothing."""
-    counted = df.select(F.col(text).alias("t")).where(cue_test(F.col("t"))).mapInArrow(_count_names, "word string, behind long, n long").groupBy("word").agg(F.sum("behind").alias("behind"), F.sum("n").alias("n")).where("behind > 0")
-    kept = materialize(counted, "name-words")
-    slots = kept.agg(F.coalesce(F.sum("behind"), F.lit(0))).first()[0]
-    least = max(1, -(-slots // MOST_NAME_WORDS))
-    return sorted(r[0] for r in kept.where((F.col("behind") >= least) & (F.col("behind") >= NAME_SHARE * F.col("n"))).select("word").collect())
+def name_words(df: DataFrame, text: str) -> list[str] | DataFrame:
+    """Words of names, learned from all texts that hold a form of address: their list, or their table (``word``) if they are more
+    than MOST_NAME_WORDS. Null texts tell nothing."""
+    counted = df.select(F.col(text).alias("t")).where(cue_test(F.col("t"))).mapInArrow(_count_names, "word string, behind long, n long").groupBy("word").agg(F.sum("behind").alias("behind"), F.sum("n").alias("n")).where((F.col("behind") > 0) & (F.col("behind") >= NAME_SHARE * F.col("n")))
+    kept = materialize(counted.select("word"), "name-words")
+    return kept if kept.count() > MOST_NAME_WORDS else sorted(r[0] for r in kept.collect())
+
+
+def _askable(t: str) -> set[str]:
+    """Words of a text that tell names if they are words of names."""
+    return {w.casefold() for w in set(_TOKEN.findall(t)) if not _is_cased(w)}
+
+
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each word that a batch asks for, once, with the keys of the texts that do."""
+    for batch in batches:
+        asked: dict[str, list[int]] = {}
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for w in _askable(plain(text)):
+                asked.setdefault(w, []).append(key)
+        yield pa.RecordBatch.from_arrays([pa.array(list(asked), pa.string()), pa.array(list(asked.values()), pa.list_(pa.int64()))], ["word", "keys"])
+
+
+def _known_by_text(texts: DataFrame, words: DataFrame) -> DataFrame:
+    """``_known``, the words of names in the texts (``_text``) of every ``_key``, where there are any. Words, not texts, are
+    shuffled; texts that share a key by chance get each other's words, which are words of names all the same."""
+    asked = texts.select("_key", "_text").where("_text is not null").mapInArrow(_ask, "word string, keys array<long>")
+    return asked.join(words, "word", "left_semi").select("word", F.explode("keys").alias("_key")).groupBy("_key").agg(F.collect_set("word").alias("_known"))
 
 
 def _names(t: str, known: frozenset[str]) -> Iterator[tuple[int, int, str, float]]:
@@ -418,20 +438,28 @@ def detect(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """``keep`` columns, ``spans`` (start, end, kind, score) and the ``redacted`` text of every row.
 
     Null texts stay null and, like empty ones, have no spans; texts are read whole, twice: words of names are learned from all
-    of them first. Repeated rows give repeated rows.
+    of them first. If those are too many to be held, texts are read once more and shuffled once, to meet the words they hold;
+    the result is the same. Repeated rows give repeated rows.
     """
     kinds = dict(df.dtypes)
-    held = df.sparkSession.sparkContext.broadcast(name_words(df, text))
+    words = name_words(df, text)
+    rows = df.select(*keep, F.col(text).alias("_text"))
+    if isinstance(words, list):
+        held = df.sparkSession.sparkContext.broadcast(words)
+    else:
+        held = None
+        rows = rows.withColumn("_key", F.xxhash64("_text"))
+        rows = rows.join(_known_by_text(rows, words), "_key", "left").select(*keep, "_text", "_known")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = frozenset(held.value)
+        known = frozenset(held.value if held else ())
         for batch in batches:
-            n = batch.num_columns - 1
+            n = len(keep)
             texts = batch.column(n).to_pylist()
-            found = [find(t, known) for t in texts]
+            found = [find(t, known) for t in texts] if held else [find(t, frozenset(k or ())) for t, k in zip(texts, batch.column(n + 1).to_pylist(), strict=True)]
             spans = [[dict(zip(("start", "end", "kind", "score"), s, strict=True)) for s in f] for f in found]
             clear = [redact(t, f) if f else t for t, f in zip(texts, found, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), pa.array(spans, pa.list_(_SPAN)), pa.array(clear, pa.string())], [*batch.schema.names[:n], "spans", "redacted"])
 
     schema = ", ".join([*(f"`{k}` {kinds[k]}" for k in keep), "spans array<struct<start:bigint,end:bigint,kind:string,score:double>>, redacted string"])
-    return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)

@@ -99,3 +99,19 @@ def test_names_are_learned_from_the_table(spark):
     named = {r["rec"] for r in got if r["spans"] and any(s["kind"] == "name" for s in r["spans"])}
     assert {i for i, _ in want} <= named and not named & {i for i, _ in none}
     assert pii.name_words(df.limit(0), "text") == [] and len(pii.name_words(df, "text")) == 18
+
+
+def test_more_names_than_a_worker_holds(spark, monkeypatch):
+    names = [("Anvelo", "Galbrecht"), ("Brimka", "Hovanu"), ("Corvane", "Istrelli"), ("अनवेलो", "गालब्रेख")]
+    titled = [f"{'श्री' if not a.isascii() else 'Mr.'} {a} {b} came late." for a, b in names]
+    bare = [f"The bill went to {a} {b} by mistake." for a, b in names] + ["Nothing was left for Brimka K. ISTRELLI in the end."]
+    none = ["The market in Galbrecht stayed open.", "The Corvane Hovanu road is wet.", "anvelo galbrecht", "", None]
+    # one form of address and its name many times, so that the others are rare
+    texts = [*titled, *["Dr. Dulsha Jumbrae came late."] * 30, *bare, *none, bare[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "rec long, text string").repartition(3)
+    held = sorted(pii.detect(df, "text", ["rec"]).collect())
+    monkeypatch.setattr(pii, "MOST_NAME_WORDS", 3)
+    assert sorted(pii.detect(df, "text", ["rec"]).collect()) == held
+    named = {texts[r["rec"]] for r in held if any(s["kind"] == "name" for s in r["spans"])}
+    assert named == {*titled, *bare, "Dr. Dulsha Jumbrae came late."}
+    assert pii.name_words(df, "text").count() == 10
