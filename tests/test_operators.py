@@ -1,14 +1,16 @@
 """Operators on small tables: nulls, ties, repeats, empty tables, clashing columns, invariance to partitioning."""
 
 import random
+from pathlib import Path
 
 import numpy as np
+import psutil
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.toxicity import Lexicon
 from tessera.operators.percentiles import percentiles
-from tessera.operators import contamination, dedup, gate, lm, manifest, neardup, sampling, verdict
+from tessera.operators import contamination, dedup, gate, lm, manifest, neardup, sampling, tokenizer_lab, verdict
 from tessera.plans import catalogue
 from tessera.plugins import TextPlugin, identities, load, min_words
 
@@ -232,3 +234,39 @@ def test_token_ratio_measures_every_document(spark, tmp_path):
     docs = spark.createDataFrame([(i, lang, "a few words") for i, lang in ((0, "eng"), (1, "eng"), (2, "Rare"))], "doc_index long, lang string, text string")
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert sum(r["measured_docs"] for r in catalogue.queries()["token_ratio"](spark, str(tmp_path)).collect()) == 3
+
+
+def test_token_counts_by_chunks_are_those_of_whole_texts(tmp_path):
+    from tokenizers import Tokenizer, normalizers
+
+    rnd = random.Random(3)
+    parts = [*" \n\t\x0b\x1c\x1f\x85\xa0᠎  ​　", *"abZ09'\".,-_<|éΣς", *"́̈क्षि中가ẛ̣‍", "'s", " the", "  ", "<|endoftext|>"]
+    texts = ["", *("".join(rnd.choices(parts, k=rnd.randint(1, 25))) for _ in range(4000))]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        path = f"{tokenizer_lab.TOKENIZERS}/{name}"
+        whole, counter = Tokenizer.from_file(path), tokenizer_lab.TextCounter(path)
+        whole.encode_special_tokens = True
+        assert counter.additive and counter.count(None) is None
+        assert [counter.count(t) for t in texts] == [len(t) for t in whole.encode_batch(texts, add_special_tokens=False)]
+    whole.normalizer = normalizers.Replace(" ", "_")  # joins words
+    whole.save(str(tmp_path / "joined.json"))
+    joined = tokenizer_lab.TextCounter(str(tmp_path / "joined.json"))
+    assert not joined.additive and joined.count("to be or not") == len(whole.encode("to be or not", add_special_tokens=False))
+
+
+def test_token_ratio_keeps_no_encodings_of_a_batch(spark):
+    def workers():
+        alive = (p for p in psutil.Process(spark.sparkContext._gateway.proc.pid).children(recursive=True) if p.status() != psutil.STATUS_ZOMBIE)
+        return [p for p in alive if "pyspark" in " ".join(p.cmdline())]
+
+    words = "every number on the old bridge 17 was counted twice , and nobody knows why ; "
+    docs = spark.range(2001, numPartitions=1).select(F.lit("eng").alias("lang"), F.when(F.col("id") == 2000, F.repeat(F.lit(words), 100_000)).otherwise(F.repeat(F.lit(words), 80)).alias("text"))
+    tokenizer_lab.token_ratios(docs.limit(1), "lang", "text").collect()
+    before = {}
+    for p in workers():
+        Path(f"/proc/{p.pid}/clear_refs").write_text("5")  # the peak begins anew
+        before[p.pid] = p.memory_info().rss / 1e6
+    (row,) = tokenizer_lab.token_ratios(docs, "lang", "text").collect()
+    peaks = {p.pid: int(Path(f"/proc/{p.pid}/status").read_text().split("VmHWM:")[1].split()[0]) / 1e3 for p in workers()}
+    assert row["measured_docs"] == 2001 and row["measured_bytes"] == (2000 * 80 + 100_000) * len(words)
+    assert max(peak - before.get(pid, 0) for pid, peak in peaks.items()) < 400
